@@ -1,0 +1,86 @@
+"""Multiset overlap of gram arrays, row by row, with no shuffle and no Python."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def clipped_overlap(prediction: Column, references: Column) -> Column:
+    """``sum over g of min(count in prediction, max over references of count)``.
+
+    ``references`` is an array of gram arrays. All copies are tagged with their
+    side, sorted so that equal grams meet (prediction first), and folded once
+    with a state of constant size: a reference copy is a hit when it raises the
+    gram's best reference count and that count is still covered by predictions.
+    """
+    tagged = F.sort_array(
+        F.concat(
+            F.transform(prediction, lambda g: F.struct(g.alias("g"), F.lit(0).alias("side"))),
+            F.flatten(
+                F.transform(
+                    references,
+                    lambda ref, i: F.transform(ref, lambda g: F.struct(g.alias("g"), (i + 1).alias("side"))),
+                )
+            ),
+        )
+    )
+    start = F.struct(
+        F.lit("").alias("g"),
+        F.lit(0).alias("side"),
+        F.lit(0).alias("seen"),
+        F.lit(0).alias("limit"),
+        F.lit(0).alias("credit"),
+        F.lit(0).alias("hits"),
+    )
+
+    def state(g, side, seen, limit, credit, hits):
+        return F.struct(
+            g.alias("g"), side.alias("side"), seen.alias("seen"),
+            limit.alias("limit"), credit.alias("credit"), hits.alias("hits"),
+        )
+
+    def step(acc: Column, item: Column) -> Column:
+        g, side, zero, one = item["g"], item["side"], F.lit(0), F.lit(1)
+        again = acc["seen"] + 1
+        hit = (again > acc["credit"]) & (acc["credit"] < acc["limit"])
+        first_hit = (acc["credit"] == 0) & (acc["limit"] > 0)
+        same_side = (
+            F.when(side == 0, state(g, side, again, again, zero, acc["hits"]))
+            .when(hit, state(g, side, again, acc["limit"], acc["credit"] + 1, acc["hits"] + 1))
+            .otherwise(state(g, side, again, acc["limit"], acc["credit"], acc["hits"]))
+        )
+        other_side = F.when(
+            first_hit, state(g, side, one, acc["limit"], one, acc["hits"] + 1)
+        ).otherwise(state(g, side, one, acc["limit"], acc["credit"], acc["hits"]))
+        new_gram = state(g, side, one, F.when(side == 0, one).otherwise(zero), zero, acc["hits"])
+        return F.when(acc["g"] != g, new_gram).when(acc["side"] == side, same_side).otherwise(other_side)
+
+    return F.aggregate(tagged, start, step, lambda acc: acc["hits"])
+
+
+def lcs_udf():
+    """Length of the longest common subsequence of two token arrays.
+
+    The only token-pair dynamic program of the package; it has no form as a
+    built-in expression, so it runs as an Arrow-batched UDF. Each row costs
+    len(a) big-integer operations on len(b)-bit numbers.
+    """
+    def length(a, b) -> int:
+        where: dict[str, int] = {}
+        for i, token in enumerate(b):
+            where[token] = where.get(token, 0) | (1 << i)
+        full = (1 << len(b)) - 1
+        free = full
+        for token in a:
+            hit = free & where.get(token, 0)
+            if hit:
+                free = ((free + hit) | (free - hit)) & full
+        return len(b) - free.bit_count()
+
+    @F.pandas_udf("int")
+    def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([length(x, y) for x, y in zip(a, b)], dtype="int32")
+
+    return lcs
