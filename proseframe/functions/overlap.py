@@ -6,14 +6,16 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from proseframe.functions.bind import bind
 
-def clipped_overlap(prediction: Column, references: Column) -> Column:
-    """``sum over g of min(count in prediction, max over references of count)``.
 
-    ``references`` is an array of gram arrays. All copies are tagged with their
-    side, sorted so that equal grams meet (prediction first), and folded once
-    with a state of constant size: a reference copy is a hit when it raises the
-    gram's best reference count and that count is still covered by predictions.
+def _folded_overlap(prediction: Column, references: Column) -> Column:
+    """The overlap by one fold over all copies.
+
+    The copies are tagged with their side and sorted so that equal grams meet,
+    prediction first. The state has constant size: a reference copy is a hit
+    when it raises the gram's best reference count and that count is still
+    covered by predictions.
     """
     tagged = F.sort_array(
         F.concat(
@@ -60,6 +62,29 @@ def clipped_overlap(prediction: Column, references: Column) -> Column:
     return F.aggregate(tagged, start, step, lambda acc: acc["hits"])
 
 
+def _repeats(grams: Column) -> Column:
+    """Every copy of a gram but one."""
+    return bind(F.sort_array(grams), lambda s: F.filter(s, lambda g, i: F.get(s, i - 1) == g))
+
+
+def clipped_overlap(prediction: Column, references: Column) -> Column:
+    """``sum over g of min(count in prediction, max over references of count)``.
+
+    ``references`` is an array of gram arrays. The first copies of the shared
+    grams are counted by a set intersection; only where both sides repeat grams
+    are the further copies sorted and folded.
+    """
+    def distinct(grams: Column) -> Column:
+        return F.size(F.array_distinct(grams)) == F.size(grams)
+
+    def count(p: Column, refs: Column) -> Column:
+        shared = F.size(F.array_intersect(p, F.flatten(refs)))
+        more = _folded_overlap(_repeats(p), F.transform(refs, _repeats))
+        return F.when((shared == 0) | distinct(p) | F.forall(refs, distinct), shared).otherwise(shared + more)
+
+    return bind(prediction, lambda p: bind(references, lambda refs: count(p, refs)))
+
+
 def lcs_udf():
     """Length of the longest common subsequence of two token arrays.
 

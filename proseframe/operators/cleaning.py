@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from proseframe.functions.bind import computed_and_kept
 from proseframe.functions.text import clean_text, template_column
 
 
 def clean_samples(df: DataFrame, text_col: str = "text", label_col: str = "label", **options) -> DataFrame:
     """Clean the text, drop rows left empty, clean the label but keep its rows."""
-    out = df.withColumn(text_col, clean_text(text_col, **options)).where(F.col(text_col) != "")
+    cleaned = computed_and_kept(clean_text(text_col, **options), lambda t: t != "")
+    out = df.withColumn("_cleaned", cleaned).drop(text_col).withColumnRenamed("_cleaned", text_col)
     if label_col in df.columns:
         out = out.withColumn(label_col, clean_text(label_col))
-    return out
+    return out.select(*df.columns)
 
 
 def cleaning_counts(df: DataFrame, text_col: str = "text", **options) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proseframe.functions.bind import bind
+
 INFINITY = float("inf")
 
 
@@ -25,11 +27,13 @@ def perplexity_from_loss(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def cross_entropy(logits: Column, label: Column) -> Column:
-    """``logsumexp(logits) - logits[label]``, shifted by the largest logit."""
-    wide = F.transform(logits, lambda x: x.cast("double"))
-    top = F.array_max(wide)
-    total = F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
-    return top + F.ln(total) - F.get(wide, label)
+    """``logsumexp(logits) - logits[label]``, shifted by the largest logit; one pass per step."""
+    def shifted(w: Column, top: Column) -> Column:
+        total = F.aggregate(w, F.lit(0.0), lambda acc, x: acc + F.exp(x - top))
+        return top + F.ln(total) - F.get(w, label)
+
+    wide = logits.cast("array<double>")
+    return bind(wide, lambda w: bind(F.array_max(w), lambda top: shifted(w, top)))
 
 
 def perplexity_from_logits(df: DataFrame, ignore_id: int = -100, by: Sequence[str] = ()) -> DataFrame:

@@ -37,6 +37,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
+    """A table of long texts; a small one is spread over the cores, as the work per row is large."""
+    return use_all_cores(table(spark, sf, name))
+
+
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     """Round metric columns: the order of floating sums is not fixed."""
     return df.withColumns({n: F.round(n, 6) for n in names})
@@ -44,7 +49,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
 
 def _documents(spark, sf) -> DataFrame:
     """Documents as a sample table; the language serves as the label."""
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"), "text", F.col("lang").alias("label"))
+    return texts(spark, sf).select(F.col("doc_id").alias("sample_id"), "text", F.col("lang").alias("label"))
 
 
 # --- cleaning and projections ---------------------------------------------
@@ -55,22 +60,22 @@ def clean_text_default(spark, sf):
 
 
 def clean_text_max200(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     cleaned = clean_text("text", lowercase=True, min_length=50, max_length=200)
     return docs.select("doc_id", cleaned.alias("text")).where(F.col("text") != "")
 
 
 def clean_counts(spark, sf):
-    return cleaning_counts(table(spark, sf, "documents"), min_length=300)
+    return cleaning_counts(texts(spark, sf), min_length=300)
 
 
 def word_char_counts(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     return docs.select("doc_id", word_count("text").alias("n_words"), char_count("text").alias("n_characters"))
 
 
 def render_template_query(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     return render_template(docs, "Category: {lang}. Description: {text}").select("doc_id", "text")
 
 
@@ -253,7 +258,7 @@ def outputs_side_by_side(spark, sf):
 
 def inference_listing(spark, sf):
     """Local outputs for all documents beside remote ones for the labelled documents."""
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("source").alias("prompt"), F.col("text").alias("output"))
+    docs = texts(spark, sf).select(F.col("doc_id").alias("prompt_id"), F.col("source").alias("prompt"), F.col("text").alias("output"))
     marks = table(spark, sf, "labels").select(
         F.col("doc_id").alias("prompt_id"), F.when(F.col("quality") == 1, F.lit("good text")).otherwise(F.lit("")).alias("output")
     )
@@ -267,7 +272,7 @@ def inference_listing(spark, sf):
 
 def _altered(spark, sf) -> DataFrame:
     """Documents against copies altered in a way that depends on the language."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     prediction = (
         F.when(F.col("lang") == "en", F.lower("text"))
         .when(F.col("lang") == "fr", F.concat(F.lit("  "), "text", F.lit(" !")))
@@ -310,7 +315,7 @@ def rouge_stemmed(spark, sf):
 
 
 def _dropped_words(spark, sf) -> DataFrame:
-    docs = use_all_cores(table(spark, sf, "documents").select("doc_id", "lang", "text"))
+    docs = texts(spark, sf)
     return docs.select(
         F.col("doc_id").alias("row_id"),
         "lang",
@@ -446,7 +451,7 @@ def success_rate(spark, sf):
 
 
 def length_table(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("lang").alias("provider"), F.col("text").alias("output"))
+    docs = texts(spark, sf).select(F.col("lang").alias("provider"), F.col("text").alias("output"))
     return rounded(compare.length_table(docs), "mean")
 
 
@@ -515,7 +520,7 @@ def vocabulary(spark, sf) -> DataFrame:
 
 
 def _encoded(spark, sf, **options) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"), "text", F.col("source").alias("label"))
+    docs = texts(spark, sf).select(F.col("doc_id").alias("sample_id"), "text", F.col("source").alias("label"))
     return encode_fixed_length(docs, vocabulary(spark, sf), max_length=ENCODED_LENGTH, **options)
 
 

@@ -124,13 +124,17 @@ def _read_json(spark, path, text_col, label_col, id_col, encoding, glob):
     return _split(rows, reason, F.col(text_col), label, F.col(_CORRUPT), _sample_id(id_col))
 
 
-def json_line_columns(
-    value: Column, text_col: str, label_col: str | None, id_col: str | None = None
-) -> tuple[Column, Column, Column, Column]:
-    """(reason, text, label, id) of one JSON line; also used on streams."""
+def parse_json_lines(
+    lines: DataFrame, text_col: str, label_col: str | None = None, id_col: str | None = None, value_col: str = "value"
+) -> DataFrame:
+    """Add ``_reason`` (null for a good line), ``_text``, ``_label`` and ``_id``; also for streams."""
+    value = F.col(value_col)
     names = dict.fromkeys([text_col] + [c for c in (label_col, id_col) if c])
     schema = ", ".join(f"`{n}` string" for n in names) + f", `{_CORRUPT}` string"
-    item = F.from_json(value, schema, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+    parsed = F.from_json(value, schema, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
+    # generated, so that each line is parsed once however often its fields are used
+    out = lines.withColumn("_item", F.explode(F.array(parsed)))
+    item = F.col("_item")
     # wrapped in brackets, a line with anything after its value is no longer valid
     single = F.coalesce(F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))), F.lit(0)) == 1
     text = item.getField(text_col)
@@ -143,7 +147,8 @@ def json_line_columns(
     )
     label = item.getField(label_col) if label_col else F.lit(None).cast("string")
     key = item.getField(id_col).try_cast("bigint") if id_col else F.lit(None).cast("bigint")
-    return reason, text, label, key
+    columns = {"_reason": reason, "_text": text, "_label": label, "_id": key}
+    return out.withColumns(columns).drop("_item")
 
 
 def _read_jsonl(spark, path, text_col, label_col, id_col, encoding, glob):
@@ -160,8 +165,9 @@ def _read_jsonl(spark, path, text_col, label_col, id_col, encoding, glob):
         )
         .where(strip("value") != "")
     )
-    reason, text, label, key = json_line_columns(F.col("value"), text_col, label_col, id_col)
-    return _split(rows, reason, text, label, F.col("value"), key if id_col else F.col("_row"))
+    parsed = parse_json_lines(rows, text_col, label_col, id_col)
+    sample_id = F.col("_id" if id_col else "_row")
+    return _split(parsed, F.col("_reason"), F.col("_text"), F.col("_label"), F.col("value"), sample_id)
 
 
 def read_samples(

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from proseframe.functions.text import clean_text
+from proseframe.operators.cleaning import clean_samples
 from proseframe.operators.scans import CHUNK, key_constants
 from proseframe.operators.splits import hash_split_column
 from proseframe.operators.training_log import progress
-from proseframe.sources.samples import json_line_columns
+from proseframe.sources.samples import parse_json_lines
 
 
 def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
@@ -22,16 +22,16 @@ def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
 
 def clean_and_split(samples: DataFrame, id_col: str = "sample_id", seed: int = 42, **ratios) -> DataFrame:
     """The stateless part: clean the text, drop empty rows, add the hash split."""
-    out = samples.withColumn("text", clean_text("text")).where(F.col("text") != "")
-    if "label" in samples.columns:
-        out = out.withColumn("label", clean_text("label"))
+    out = clean_samples(samples)
     return out.withColumn("split", hash_split_column(id_col, seed=seed, **ratios))
 
 
 def samples_from_json_lines(lines: DataFrame, text_col: str, id_col: str, label_col: str | None = None) -> DataFrame:
     """Stream rows of JSON Lines text to samples; bad lines keep their reason and a null text."""
-    reason, text, label, key = json_line_columns(F.col("value"), text_col, label_col, id_col)
-    return lines.select(key.alias("sample_id"), text.alias("text"), label.alias("label"), reason.alias("reason"))
+    rows = parse_json_lines(lines, text_col, label_col, id_col)
+    return rows.select(
+        F.col("_id").alias("sample_id"), F.col("_text").alias("text"), F.col("_label").alias("label"), F.col("_reason").alias("reason")
+    )
 
 
 def stream_clean_split(
