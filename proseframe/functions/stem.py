@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import functions as F
-
 # Suffix tables and irregular forms.
 STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
@@ -127,12 +124,12 @@ def stem(word: str) -> str:
     return word
 
 
-def stem_udf():
-    """Stem the tokens longer than three characters.
+def caching_stemmer():
+    """A function from a token list to its stems; tokens up to three characters stay.
 
     Stemming in place keeps the step free of shuffles: joining tokens to a stem
     table would move every token and put the commonest word in one task. The
-    cache of each task holds the frequent words.
+    cache holds the frequent words.
     """
     known: dict[str, str] = {}
 
@@ -142,8 +139,5 @@ def stem_udf():
                 known.clear()
             known[token] = stem(token)
         return known[token]
-    @F.pandas_udf("array<string>")
-    def stems(tokens: pd.Series) -> pd.Series:
-        return pd.Series([None if row is None else [cached(t) if len(t) > 3 else t for t in row] for row in tokens])
 
-    return stems
+    return lambda tokens: [cached(t) if len(t) > 3 else t for t in tokens]

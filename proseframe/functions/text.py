@@ -22,8 +22,7 @@ _WS = rf"[\x{{1}}-\x{{20}}\x{{80}}-\x{{3000}}&&[{WS_CLASS}]]"
 WS_RUN = _WS + "+"
 # White space that collapsing changes: all but a lone space, which most of it is.
 WS_CHANGED = f" {_WS}+|(?! ){_WS}+"
-# The outer class lets ASCII letters and spaces fail at once.
-PUNCTUATION = rf"[[^a-zA-Z0-9_ ]&&[^\p{{L}}\p{{N}}_{WS_CLASS}]]"
+PUNCTUATION = rf"[^\p{{L}}\p{{N}}_{WS_CLASS}]"
 
 
 def _c(col: Column | str) -> Column:

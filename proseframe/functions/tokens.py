@@ -1,11 +1,18 @@
-"""Token lists and n-grams as column expressions."""
+"""Texts as lines of tokens, by built-in expressions only.
+
+A token line holds the tokens separated by white space; it crosses to a Python
+worker as one string, which is far cheaper than an array of strings.
+
+Spelling matters for speed: a negated class of ranges such as ``[^0-9]`` measured
+three to five times slower in a chain than the predefined class it equals.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from proseframe.functions.text import WS_CHARS, _c, split_words
+from proseframe.functions.text import WS_CHARS, _c
 
 # The 13a tokenization rules, in order. The published symbol class
 # also holds the space; padding a space with spaces cannot change the tokens and
@@ -21,18 +28,18 @@ BLEU_LITERALS = (
 )
 BLEU_PATTERNS = (
     (r"([\{-~\[-`!-&\(-\+:-@/])", " $1 "),
-    (r"([^0-9])([.,])", "$1 $2 "),
-    (r"([.,])([^0-9])", " $1 $2"),
-    (r"([0-9])(-)", "$1 $2 "),
+    (r"(\D)([.,])", "$1 $2 "),
+    (r"([.,])(\D)", " $1 $2"),
+    (r"(\d)(-)", "$1 $2 "),
 )
 
 
-def rouge_tokens(col: Column | str) -> Column:
+def rouge_line(col: Column | str) -> Column:
     """Lower-cased runs of ``a-z0-9``; every other character separates."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.regexp_replace(F.lower(_c(col)), r"[\W_]+", " ")
 
 
-def bleu_tokens(col: Column | str) -> Column:
+def bleu_line(col: Column | str) -> Column:
     """Case-sensitive 13a tokens."""
     line = F.rtrim(_c(col), F.lit(WS_CHARS))
     for old, new in BLEU_LITERALS:
@@ -40,13 +47,4 @@ def bleu_tokens(col: Column | str) -> Column:
     line = F.concat(F.lit(" "), line, F.lit(" "))
     for pattern, replacement in BLEU_PATTERNS:
         line = F.regexp_replace(line, pattern, replacement)
-    return split_words(line)
-
-
-def ngrams(tokens: Column, n: int) -> Column:
-    """Space-joined n-grams; an empty array when there are fewer than n tokens."""
-    if n == 1:
-        return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-    grams = F.transform(starts, lambda i: F.concat_ws(" ", F.slice(tokens, i, n)))
-    return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+    return line

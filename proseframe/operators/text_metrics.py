@@ -11,17 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proseframe.functions.overlap import clipped_overlap, lcs_udf
-from proseframe.functions.stem import stem_udf
+from proseframe.functions.paircounts import bleu_counts_udf, rouge_counts_udf
 from proseframe.functions.text import normalise_answer
-from proseframe.functions.tokens import bleu_tokens, ngrams, rouge_tokens
+from proseframe.functions.tokens import bleu_line, rouge_line
 
 ROUGE_KINDS = ("rouge1", "rouge2", "rougeL")
 BLEU_ORDER = 4
 
 
 def _prf(overlap: Column, n_pred: Column, n_ref: Column, kind: str) -> list[Column]:
-    """Precision, recall and F for one row from its overlap and lengths."""
+    """Precision, recall and F for one row from its overlap and the lengths in grams."""
     precision = overlap / F.greatest(n_pred, F.lit(1))
     recall = overlap / F.greatest(n_ref, F.lit(1))
     f = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)).otherwise(F.lit(0.0))
@@ -33,26 +32,19 @@ def _prf(overlap: Column, n_pred: Column, n_ref: Column, kind: str) -> list[Colu
 
 
 def rouge_rows(pairs: DataFrame, kinds: Sequence[str] = ROUGE_KINDS, use_stemmer: bool = True) -> DataFrame:
-    """``pairs`` with per-row scores; texts must not be null."""
+    """``pairs`` with per-row scores; a null text gives null scores."""
     unknown = set(kinds) - set(ROUGE_KINDS)
     if unknown:
         raise ValueError(f"unknown ROUGE kinds: {sorted(unknown)}")
-    p, r = rouge_tokens("prediction"), rouge_tokens("reference")
-    if use_stemmer:
-        stems = stem_udf()
-        p, r = stems(p), stems(r)
-    df = pairs.withColumn("_p", p).withColumn("_r", r)
+    orders = [int(k[-1]) for k in kinds if k != "rougeL"]
+    counts = rouge_counts_udf(orders, "rougeL" in kinds, use_stemmer)
+    df = pairs.withColumn("_c", counts(rouge_line("prediction"), rouge_line("reference")))
+    n_pred, n_ref = F.col("_c")[0], F.col("_c")[1]
     scores: list[Column] = []
     for kind in kinds:
-        if kind == "rougeL":
-            df = df.withColumn("_lcs", lcs_udf()("_p", "_r"))
-            scores += _prf(F.col("_lcs"), F.size("_p"), F.size("_r"), kind)
-            continue
-        n = int(kind[-1])
-        gp, gr = ngrams(F.col("_p"), n), ngrams(F.col("_r"), n)
-        df = df.withColumn(f"_{kind}", clipped_overlap(gp, F.array(gr)))
-        n_pred, n_ref = (F.greatest(F.size(c) - (n - 1), F.lit(0)) for c in ("_p", "_r"))
-        scores += _prf(F.col(f"_{kind}"), n_pred, n_ref, kind)
+        n = 1 if kind == "rougeL" else int(kind[-1])
+        at = 2 + (len(orders) if kind == "rougeL" else orders.index(n))
+        scores += _prf(F.col("_c")[at], n_pred - (n - 1), n_ref - (n - 1), kind)
     return df.select(*pairs.columns, *scores)
 
 
@@ -65,26 +57,19 @@ def rouge(
     return rows.groupBy(*by).agg(*[F.avg(n).alias(n) for n in names])
 
 
-def _grams_of(n: int):
-    return lambda tokens: ngrams(tokens, n)
-
-
 def bleu_statistics(pairs: DataFrame) -> DataFrame:
-    """Integer BLEU statistics per row.
+    """Integer BLEU statistics per row; null where a text is missing.
 
     ``reference`` may be a string or an array of strings; each gram is clipped
     by its largest count over that row's references.
     """
     is_list = pairs.schema["reference"].dataType.typeName() == "array"
-    references = F.col("reference") if is_list else F.array("reference")
-    df = pairs.withColumn("_p", bleu_tokens("prediction")).withColumn("_refs", F.transform(references, bleu_tokens))
-    n_pred = F.size("_p")
-    lengths = F.transform("_refs", lambda t: F.struct(F.abs(F.size(t) - n_pred).alias("gap"), F.size(t).alias("len")))
-    stats = [n_pred.cast("bigint").alias("sys_len"), F.array_min(lengths)["len"].cast("bigint").alias("ref_len")]
+    lines = F.transform("reference", bleu_line) if is_list else F.array(bleu_line("reference"))
+    df = pairs.withColumn("_c", bleu_counts_udf(BLEU_ORDER)(bleu_line("prediction"), lines))
+    stats = [F.col("_c")[0].alias("sys_len"), F.col("_c")[1].alias("ref_len")]
     for n in range(1, BLEU_ORDER + 1):
-        refs = F.transform("_refs", _grams_of(n))
-        stats.append(clipped_overlap(ngrams(F.col("_p"), n), refs).cast("bigint").alias(f"match{n}"))
-        stats.append(F.greatest(n_pred - (n - 1), F.lit(0)).cast("bigint").alias(f"total{n}"))
+        stats.append(F.col("_c")[1 + n].alias(f"match{n}"))
+        stats.append(F.greatest(F.col("_c")[0] - (n - 1), F.lit(0)).alias(f"total{n}"))
     return df.select(*pairs.columns, *stats)
 
 
