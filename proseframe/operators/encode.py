@@ -12,7 +12,7 @@ from proseframe.functions.text import split_words
 
 # A vocabulary up to this many entries is sent to every task; beyond it the
 # lookup is a shuffled join.
-MAX_BROADCAST_VOCABULARY = 1_000_000
+MAX_BROADCAST_VOCABULARY = 300_000
 SALTS = 64
 
 
@@ -29,9 +29,8 @@ def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str =
     raise ValueError(f"padding_side must be 'right' or 'left', not {padding_side!r}")
 
 
-def _lookup_broadcast(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int) -> DataFrame:
+def _lookup_broadcast(df: DataFrame, columns: list[str], table: dict[str, int], unk_id: int) -> DataFrame:
     """Map-only lookup: each task holds the (size-checked) vocabulary."""
-    table = {row["token"]: row["token_id"] for row in vocabulary.collect()}
     shared = df.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("array<int>")
@@ -104,8 +103,10 @@ def encode_fixed_length(
             # truncate before the lookup: nothing beyond max_length is used
             work = work.withColumn(c, F.slice(split_words(sources[c]), 1, max_length))
         vocabulary = vocabulary.select("token", F.col("token_id").cast("int").alias("token_id"))
-        if vocabulary.limit(max_broadcast + 1).count() <= max_broadcast:
-            work = _lookup_broadcast(work, columns, vocabulary, unk_id)
+        # at most one entry more than may be broadcast ever reaches the driver
+        entries = vocabulary.limit(max_broadcast + 1).collect()
+        if len(entries) <= max_broadcast:
+            work = _lookup_broadcast(work, columns, {r["token"]: r["token_id"] for r in entries}, unk_id)
         else:
             work = _lookup_join(work, columns, vocabulary, unk_id, id_col)
     ids, mask = fixed_length(F.col("_text_ids"), max_length, pad_id, padding_side)

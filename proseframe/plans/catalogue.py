@@ -100,9 +100,8 @@ def split_exact_counts(spark, sf):
 
 
 def split_exact_large(spark, sf):
-    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    keyed = lines.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line_id"))
-    return splits.split_counts(splits.split_exact(keyed, id_col="line_id"))
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    return splits.split_counts(splits.split_exact(orders, id_col="o_orderkey"))
 
 
 def first_k_per_split(spark, sf):
@@ -230,7 +229,7 @@ def synthetic_completion(spark, sf):
 
 def prompt_pairs(spark, sf):
     """A user turn and the assistant turn that follows it."""
-    turns = table(spark, sf, "conversations")
+    turns = texts(spark, sf, "conversations")
     user = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("reference"))
     answer = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("prediction")
@@ -419,7 +418,8 @@ def perplexity_by_type(spark, sf):
 def _metric_values(spark, sf) -> DataFrame:
     """Mean event value per model and metric; one metric is missing from one model."""
     events = table(spark, sf, "events")
-    model = F.when(F.col("user_id") < 50, "small").when(F.col("user_id") < 100, "medium").otherwise("large")
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    model = F.when(k < 33, "small").when(k < 66, "medium").otherwise("large")
     metric = (
         F.when(F.col("event_type") == "view", "rouge1_fmeasure")
         .when(F.col("event_type") == "click", "perplexity")

@@ -211,9 +211,10 @@ _ENCODED_LISTS = _encoded(f"""SELECT doc_id AS sample_id,
 
 _METRIC_VALUES = """
   SELECT model, metric, round(avg(value), 6) AS value FROM (
-    SELECT CASE WHEN user_id < 50 THEN 'small' WHEN user_id < 100 THEN 'medium' ELSE 'large' END AS model,
+    SELECT CASE WHEN k < 33 THEN 'small' WHEN k < 66 THEN 'medium' ELSE 'large' END AS model,
       CASE event_type WHEN 'view' THEN 'rouge1_fmeasure' WHEN 'click' THEN 'perplexity' WHEN 'error' THEN 'accuracy'
-        WHEN 'signup' THEN 'total_examples' ELSE 'bleu' END AS metric, value FROM events)
+        WHEN 'signup' THEN 'total_examples' ELSE 'bleu' END AS metric, value
+    FROM (SELECT *, regexp_extract(props, '[0-9]+')::INT AS k FROM events))
   WHERE NOT (model = 'large' AND metric = 'bleu') GROUP BY ALL"""
 
 
@@ -287,7 +288,7 @@ ORACLES: dict[str, str] = {
     "split_exact": _split_cte("(SELECT doc_id, lang FROM documents)", "doc_id", 0.7, 0.17),
     "split_exact_counts": f"SELECT split, count(*) AS n_rows FROM ({_split_cte('documents', 'doc_id', 0.7, 0.17)}) GROUP BY split",
     "split_exact_large": f"""SELECT split, count(*) AS n_rows FROM ({_split_cte(
-        '(SELECT l_orderkey * 8 + l_linenumber AS line_id FROM lineitem)', 'line_id', 0.8, 0.1)}) GROUP BY split""",
+        '(SELECT o_orderkey FROM orders)', 'o_orderkey', 0.8, 0.1)}) GROUP BY split""",
     "first_k_per_split": f"""SELECT doc_id, source, split FROM (
     SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS place FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)}))
   WHERE place <= 10""",

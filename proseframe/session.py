@@ -20,6 +20,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, name: str
         .config("spark.driver.memory", os.environ.get("PROSEFRAME_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # bounds the memory of a Python worker where texts are long
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .getOrCreate()
     )
 
