@@ -385,7 +385,7 @@ def metric_union(spark, sf):
 
 
 def all_text_metrics(spark, sf):
-    return rounded(compare.all_metrics(prompt_pairs(spark, sf), "generation"), "value")
+    return rounded(compare.all_metrics(prompt_pairs(spark, sf), "generation", use_stemmer=False), "value")
 
 
 # --- perplexity --------------------------------------------------------------

@@ -1,7 +1,6 @@
 """DuckDB SQL twins of the catalogue's queries.
 
-Queries whose core is an iterative or per-pair program (longest common
-subsequence, stemming) have none and are checked by tests instead.
+Only the stemmed ROUGE query has none; tests check it against a plain model.
 """
 
 from __future__ import annotations
@@ -182,6 +181,41 @@ def _rouge_n(n: int) -> str:
     round(avg(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END), 6) AS {name}_fmeasure FROM s"""
 
 
+# the table of the subsequence program, one row of it per recursion step
+_ROUGE_L = f"""
+  WITH RECURSIVE pairs AS ({_PAIRS}),
+  t AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS id, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p,
+        regexp_extract_all(lower(reference), '[a-z0-9]+') AS r FROM pairs),
+  walk AS (SELECT id, 0 AS i, list_transform(range(len(r) + 1), lambda j: 0::BIGINT) AS cells FROM t
+      UNION ALL
+      SELECT w.id, w.i + 1, list_reduce(list_transform(range(1, len(t.r) + 1), lambda j: [j]),
+        lambda acc, j: list_append(acc, CASE WHEN t.p[w.i + 1] = t.r[j[1]] THEN w.cells[j[1]] + 1
+          ELSE greatest(w.cells[j[1] + 1], acc[j[1]]) END), [0::BIGINT])
+      FROM walk w JOIN t USING (id) WHERE w.i < len(t.p)),
+  s AS (SELECT w.cells[-1] / greatest(len(t.p), 1) AS pr, w.cells[-1] / greatest(len(t.r), 1) AS re
+      FROM t JOIN walk w ON w.id = t.id AND w.i = len(t.p))
+  SELECT round(avg(pr), 6) AS "rougeL_precision", round(avg(re), 6) AS "rougeL_recall",
+    round(avg(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END), 6) AS "rougeL_fmeasure" FROM s"""
+
+
+def _all_text_metrics() -> str:
+    pairs = f"SELECT conv_id * 1000 + turn AS row_id, 0 AS g, [reference] AS refs, prediction FROM ({_PAIRS})"
+    exact = f"""SELECT round(avg((p = r)::INT), 6) AS exact_match, count(*)::DOUBLE AS total_examples,
+        sum((p = r)::INT)::DOUBLE AS correct_examples
+      FROM (SELECT {_answer("prediction")} AS p, {_answer("reference")} AS r FROM ({_PAIRS}))"""
+    shares = ("precision", "recall", "fmeasure")
+    parts = {
+        "a": (_rouge_n(1), [f"rouge1_{m}" for m in shares]),
+        "b": (_rouge_n(2), [f"rouge2_{m}" for m in shares]),
+        "c": (_ROUGE_L, [f"rougeL_{m}" for m in shares]),
+        "d": (_bleu(pairs), ["bleu"]),
+        "e": (exact, ["exact_match", "total_examples", "correct_examples"]),
+    }
+    ctes = ", ".join(f"{name} AS ({sql})" for name, (sql, _) in parts.items())
+    rows = [f"SELECT '{m}' AS metric, \"{m}\"::DOUBLE AS value FROM {name}" for name, (_, ms) in parts.items() for m in ms]
+    return f"WITH {ctes} " + " UNION ALL ".join(rows)
+
+
 def _pick(options: tuple[str, ...], id_col: str, purpose: str) -> str:
     values = ", ".join("'" + o.replace("'", "''") + "'" for o in options)
     number = f"('0x' || substr(md5('42-' || {id_col}::VARCHAR || '-{purpose}'), 1, 7))::BIGINT"
@@ -337,6 +371,8 @@ ORACLES: dict[str, str] = {
     "exact_match_by_lang": _exact("lang", False),
     "rouge1": _rouge_n(1),
     "rouge2": _rouge_n(2),
+    "rouge_l": _ROUGE_L,
+    "all_text_metrics": _all_text_metrics(),
     "bleu_corpus": _bleu(
         "SELECT doc_id AS row_id, 0 AS g, [text] AS refs, regexp_replace(text, ' [a-zA-Z]{2} ', ' ', 'g') AS prediction FROM documents"
     ),
