@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from proseframe.functions.text import char_count, word_count
 from proseframe.operators.classify import classification_report
-from proseframe.operators.text_metrics import bleu, exact_match, rouge
+from proseframe.operators.text_metrics import generation_metrics
 
 TEXT_TASKS = ("generation", "summarization", "completion")
 
@@ -37,14 +37,12 @@ def all_metrics(
 ) -> DataFrame:
     """Every metric of the task as long rows; ``extra`` functions return such rows too."""
     if task_type in TEXT_TASKS:
-        parts = [rouge(pairs, use_stemmer=use_stemmer, by=by), bleu(pairs, by=by), exact_match(pairs, by=by)]
+        wide = generation_metrics(pairs, by, use_stemmer)
     elif task_type == "classification":
-        parts = [classification_report(pairs, labels, by=by)]
+        wide = classification_report(pairs, labels, by=by)
     else:
         raise ValueError(f"unknown task type: {task_type!r}")
-    rows = to_long(parts[0], by)
-    for part in parts[1:]:
-        rows = rows.unionByName(to_long(part, by))
+    rows = to_long(wide, by)
     for fn in extra:
         rows = rows.unionByName(fn(pairs))
     return rows
