@@ -60,7 +60,7 @@ def _lookup_join(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_i
     place = F.struct(F.col("_pos").alias("p"), F.coalesce("token_id", F.lit(unk_id)).alias("t"))
     lists = found.groupBy(id_col).agg(
         *[
-            F.transform(F.array_sort(F.collect_list(F.when(F.col("_side") == c, place))), lambda s: s["t"]).alias(f"_ids{i}")
+            F.transform(F.sort_array(F.collect_list(F.when(F.col("_side") == c, place))), lambda s: s["t"]).alias(f"_ids{i}")
             for i, c in enumerate(columns)
         ]
     )

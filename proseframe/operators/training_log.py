@@ -131,15 +131,19 @@ def training_summary(log: DataFrame, run: str = "run_id", order: str = "log_seq"
     )
 
 
+def checkpoint_name(path: Column) -> Column:
+    return F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
+
+
 def checkpoint_step(path: Column) -> Column:
     """The integer after the first ``-`` of the last path part; 0 if there is none."""
-    name = F.regexp_extract(path, "([^/]*)/*$", 1)
-    return F.coalesce(F.split_part(name, F.lit("-"), F.lit(2)).try_cast("bigint"), F.lit(0))
+    number = F.split_part(checkpoint_name(path), F.lit("-"), F.lit(2))
+    return F.coalesce(number.try_cast("bigint"), F.lit(0))
 
 
 def latest_checkpoint(manifest: DataFrame, run: str = "run_id", path: str = "path") -> DataFrame:
     """The checkpoint with the highest step per run; equal steps go to the first path by name."""
-    named = manifest.where(F.regexp_extract(F.col(path), "([^/]*)/*$", 1).startswith("checkpoint-"))
+    named = manifest.where(checkpoint_name(F.col(path)).startswith("checkpoint-"))
     return (
         named.groupBy(run)
         .agg(F.min(F.struct((-checkpoint_step(F.col(path))).alias("k"), F.col(path).alias("p"))).alias("_m"))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proseframe.functions.text import char_count, clean_text, continuation, strip, word_count
+from proseframe.functions.text import char_count, continuation, strip, word_count
 from proseframe.operators import classify, compare, pairs, perplexity, report, splits, text_metrics, training_log
 from proseframe.operators.cleaning import clean_samples, cleaning_counts, render_template, resolve_pair_columns
 from proseframe.operators.complete import complete, complete_with_fallback, fallback_from_columns
@@ -60,9 +60,8 @@ def clean_text_default(spark, sf):
 
 
 def clean_text_max200(spark, sf):
-    docs = texts(spark, sf)
-    cleaned = clean_text("text", lowercase=True, min_length=50, max_length=200)
-    return docs.select("doc_id", cleaned.alias("text")).where(F.col("text") != "")
+    docs = texts(spark, sf).select("doc_id", "text")
+    return clean_samples(docs, lowercase=True, min_length=50, max_length=200)
 
 
 def clean_counts(spark, sf):

@@ -76,7 +76,7 @@ def _state_schema(run: str) -> str:
 
 def advance_runs(
     batch: DataFrame,
-    state: DataFrame,
+    state: DataFrame | None,
     metric: str = "eval_loss",
     greater_is_better: bool = False,
     patience: int = 3,
@@ -90,20 +90,20 @@ def advance_runs(
     Rows not newer than the state of their run are marked late and left out of
     the scan. Runs are scanned in chunks, so one hot run does not land in one task.
     """
-    known = key_constants(batch, state.select(run, "last_seq", "stop_at"), [run], order, chunk)
-    is_late = F.coalesce(F.col(order) <= F.col("last_seq"), F.lit(False))
-    known = known.withColumn("is_late", is_late)
-    fresh = progress(
-        known.where(~F.col("is_late")), metric, threshold, greater_is_better, run, order, chunk, initial=state
-    )
-    late = known.where(F.col("is_late"))
+    settings = (metric, threshold, greater_is_better, run, order, chunk)
     stop = F.when(F.col("strikes") >= patience, F.col(order))
-    rows = fresh.unionByName(late, allowMissingColumns=True)
+    if state is None:
+        fresh = progress(batch, *settings)
+        return fresh.withColumn("is_late", F.lit(False)).withColumn("stop_mark", stop)
+    known = key_constants(batch, state.select(run, "last_seq", "stop_at"), [run], order, chunk)
+    known = known.withColumn("is_late", F.coalesce(F.col(order) <= F.col("last_seq"), F.lit(False)))
+    fresh = progress(known.where(~F.col("is_late")), *settings, initial=state)
+    rows = fresh.unionByName(known.where(F.col("is_late")), allowMissingColumns=True)
     return rows.withColumn("stop_mark", F.coalesce("stop_at", stop)).drop("last_seq", "stop_at")
 
 
 def merge_state(
-    state: DataFrame, rows: DataFrame, metric: str, greater_is_better: bool, run: str, order: str
+    state: DataFrame | None, rows: DataFrame, metric: str, greater_is_better: bool, run: str, order: str
 ) -> DataFrame:
     """State after a micro-batch: every part is a min or max, so old and new rows just aggregate."""
     fresh = rows.where(~F.col("is_late"))
@@ -118,10 +118,9 @@ def merge_state(
     )
     sign = -1.0 if greater_is_better else 1.0
     key = F.when(F.col("best").isNotNull(), F.struct((F.col("best") * sign).alias("v"), F.col("best_at").alias("a")))
+    both = new if state is None else state.select(run, *STATE_COLUMNS).unionByName(new)
     return (
-        state.select(run, *STATE_COLUMNS)
-        .unionByName(new)
-        .groupBy(run)
+        both.groupBy(run)
         .agg(
             F.min_by("best", key).alias("best"),
             F.min_by("best_at", key).alias("best_at"),
@@ -151,15 +150,15 @@ def stream_running_best(
 
     The state is a table with one row per run and one version per micro-batch.
     A micro-batch reads version n-1 and overwrites its own output and version
-    n, so a repeated batch gives the same tables.
+    n, so a repeated batch gives the same tables. Versions before n-1 are no
+    longer needed.
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         schema = _state_schema(run)
-        if batch_id == 0:
-            state = session.createDataFrame([], schema)
-        else:
+        state = None
+        if batch_id > 0:
             state = session.read.schema(schema).parquet(f"{state_dir}/version={batch_id - 1}")
         path = f"{out}/batch={batch_id}"
         batch.persist()  # read by each of the scans below
