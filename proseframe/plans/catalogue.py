@@ -635,7 +635,7 @@ def stream_success_rate(spark, sf):
     metrics = [F.count(F.lit(1)).alias("n_prompts"), F.count_if(ok).alias("n_success"), F.avg(ok.cast("double")).alias("success_rate")]
     out, checkpoint = shared_dir(spark, "stream-out"), shared_dir(spark, "stream-checkpoint")
     jobs.stream_metrics(rows, out, checkpoint, metrics, by=["user_id"], once=True).awaitTermination()
-    return rounded(jobs.latest_version(spark, out), "success_rate")
+    return rounded(jobs.latest_groups(spark, out, ["user_id"]), "success_rate")
 
 
 def stream_running_best(spark, sf):

@@ -43,11 +43,12 @@ def stream_clean_split(
     return _start(writer, checkpoint, once)
 
 
-def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a versioned table."""
+def latest_groups(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
+    """The newest row of every group written by ``stream_metrics``."""
     table = spark.read.parquet(path)
-    newest = table.agg(F.max("version")).scalar()
-    return table.where(F.col("version") == newest).drop("version")
+    values = [c for c in table.columns if c not in (*by, "version")]
+    newest = F.max_by(F.struct(*values), "version").alias("_newest")
+    return table.groupBy(*by).agg(newest).select(*by, "_newest.*")
 
 
 def stream_metrics(
@@ -58,13 +59,13 @@ def stream_metrics(
     by: Sequence[str] = (),
     once: bool = False,
 ) -> StreamingQuery:
-    """Running aggregates; every micro-batch writes a new version of the (small) result table."""
+    """Running aggregates; a micro-batch writes only the groups it changed, as one version."""
     table = rows.groupBy(*by).agg(*metrics)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
 
-    return _start(table.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, once)
+    return _start(table.writeStream.outputMode("update").foreachBatch(publish), checkpoint, once)
 
 
 STATE_COLUMNS = ("best", "best_at", "evals", "last_reset", "last_seq", "stop_at")

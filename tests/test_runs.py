@@ -11,6 +11,7 @@ from proseframe.operators.complete import (
     RateLimited, ServiceError, call_with_retry, complete, complete_with_fallback, fallback_from_columns,
 )
 from proseframe.operators.encode import encode_fixed_length, token_counts
+from proseframe.sources.metric_log import read_metric_log
 from proseframe.streaming import jobs
 
 LOG = "run_id string, log_seq bigint, epoch double, step bigint, train_loss double, eval_loss double, total_time double"
@@ -203,11 +204,13 @@ def test_stream_metrics_keep_running(spark, tmp_path):
     source.mkdir()
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
     for part in range(2):
-        (source / f"f{part}.json").write_text('{"m": "a", "ok": true}\n{"m": "b", "ok": false}\n')
+        second = '{"m": "b", "ok": false}\n' if part == 0 else '{"m": "c", "ok": true}\n'
+        (source / f"f{part}.json").write_text('{"m": "a", "ok": true}\n' + second)
         stream = spark.readStream.schema("m string, ok boolean").json(str(source))
         metrics = [F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("n_ok")]
         jobs.stream_metrics(stream, out, checkpoint, metrics, by=["m"], once=True).awaitTermination()
-    assert rows(jobs.latest_version(spark, out)) == [("a", 2, 2), ("b", 2, 0)]
+    assert rows(jobs.latest_groups(spark, out, ["m"])) == [("a", 2, 2), ("b", 1, 0), ("c", 1, 1)]
+    assert spark.read.parquet(out).where("version = 1").count() == 2  # group b did not change
 
 
 def test_stream_running_best_over_batches_equals_walk(spark, tmp_path):
@@ -219,7 +222,7 @@ def test_stream_running_best_over_batches_equals_walk(spark, tmp_path):
         if part == 2:
             chunk = chunk + [(chunk[0][0], 0, 0.0, 0, 0.0, 0.0001, 0.0)]  # older than the state: late
         spark.createDataFrame(chunk, LOG).coalesce(1).write.mode("append").json(str(source))
-        stream = spark.readStream.schema(LOG).json(str(source))
+        stream = read_metric_log(spark, str(source), stream=True)
         jobs.stream_running_best(stream, out, state, checkpoint, chunk=7, once=True).awaitTermination()
     got = spark.read.parquet(out)
     late = got.where("is_late").collect()
