@@ -80,3 +80,16 @@ def test_no_query_uses_a_cross_join(spark):
 def test_first_k_limits_before_the_shuffle(spark):
     text = plan(QUERIES["first_k_per_split"](spark, SMALL))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_runs_are_shuffled_by_chunk(spark):
+    """Log rows never meet by run alone: only the chunk summaries do."""
+    text = plan(QUERIES["running_best"](spark, SMALL))
+    by_run_alone = [line for line in text.splitlines() if "hashpartitioning(run_id#" in line and "_chunk#" not in line]
+    by_chunk = [line for line in text.splitlines() if "hashpartitioning(run_id#" in line and "_chunk#" in line]
+    assert len(by_run_alone) <= 1 and by_chunk
+
+
+def test_one_python_step_for_all_text_metrics(spark):
+    text = plan(QUERIES["all_text_metrics"](spark, SMALL))
+    assert text.count("ArrowEvalPython") == 1
