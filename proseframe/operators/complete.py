@@ -9,7 +9,7 @@ repeats, and a result used twice should be written first.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from proseframe.schemas import COMPLETION
 
 Fn = Callable[..., Sequence[str | None]]
 
-# The provider order of the fallback.
+# The provider order where the caller gives none.
 PROVIDERS = ("openai", "openrouter", "local")
 
 
@@ -58,7 +58,7 @@ def ordered_providers(names: Sequence[str], prefer: str | None) -> list[str]:
 
 def complete_with_fallback(
     prompts: DataFrame,
-    providers: Sequence[tuple[str, Fn]],
+    providers: Sequence[tuple[str, Fn]] | Mapping[str, Fn],
     prefer: str | None = None,
     batch_size: int = 8,
     max_retries: int = 3,
@@ -68,12 +68,16 @@ def complete_with_fallback(
 ) -> DataFrame:
     """Try the providers in order; the first non-empty output of a prompt wins.
 
+    A list gives the order itself; a mapping is tried in the order of ``PROVIDERS``.
     One pass over the prompts: a later provider sees only the prompts of the
     batch that are still empty. ``attempts`` and ``error`` are those of the last
     provider tried. All fail: ``output`` and ``provider`` are null.
     """
     table = dict(providers)
-    order = ordered_providers([n for n, _ in providers], prefer)
+    names = list(table)
+    if isinstance(providers, Mapping):
+        names.sort(key=lambda n: PROVIDERS.index(n) if n in PROVIDERS else len(PROVIDERS))
+    order = ordered_providers(names, prefer)
     options = dict(options or {})
 
     def run(batches: Iterator) -> Iterator:

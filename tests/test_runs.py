@@ -171,6 +171,8 @@ def test_complete_and_fallback(spark):
     assert (got[2]["provider"], got[3]["provider"], got[3]["output"], got[21]["provider"]) == ("openrouter", "local", "P3", None)
     got = {r["prompt_id"]: r for r in complete_with_fallback(prompts, [("openrouter", even), ("local", small)], prefer="local", **quiet).collect()}
     assert got[2]["provider"] == "local" and got[22]["provider"] == "openrouter"
+    got = {r["prompt_id"]: r for r in complete_with_fallback(prompts, {"local": small, "openrouter": even}, **quiet).collect()}
+    assert got[2]["provider"] == "openrouter" and got[3]["provider"] == "local"
     failed = complete(prompts, broken, batch_size=7, **quiet).collect()
     assert all(r["output"] is None and r["attempts"] == 3 and r["error"] == "ServiceError: down" for r in failed)
 
