@@ -19,6 +19,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, name: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PROSEFRAME_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("PROSEFRAME_SHARED") or tempfile.mkdtemp(prefix="proseframe-"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # bounds the memory of a Python worker where texts are long
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
@@ -26,17 +27,37 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, name: str
     )
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
+def shared_base(spark: SparkSession, base: str | None = None) -> str:
+    """The folder that driver and executors share.
 
-    Only where the cluster names none (local tests) is a temporary folder made
-    and set as the session's checkpoint folder.
+    ``base`` if given, else the session's ``spark.checkpoint.dir``. Only a
+    ``local`` master, where all tasks run on this machine, may fall back to a
+    temporary folder; a cluster without a shared folder is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="proseframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    base = base or spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("no shared folder: set spark.checkpoint.dir to one that all executors can read and write")
+    if "base" not in _LOCAL:
+        _LOCAL["base"] = tempfile.mkdtemp(prefix="proseframe-")
+    return _LOCAL["base"]
+
+
+#: the temporary folder of a local session that names none
+_LOCAL: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession, purpose: str, base: str | None = None) -> str:
+    """A fresh path in the shared folder (see :func:`shared_base`)."""
+    return f"{shared_base(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that ``write_through`` made."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_through(df, purpose: str):
