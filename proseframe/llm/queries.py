@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proseframe.llm.decontaminate import hit_words, with_matches
+from proseframe.llm.oracles import DECONTAMINATE
+from proseframe.llm.packing import pack
 from proseframe.llm.simhash import simhash_groups
 
 
@@ -14,13 +17,35 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = pack(table(spark, sf, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "sequence_tokens")
+
+
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    found = found.select("doc_id", "__hits.*").withColumn("n_hit", hit_words(F.col("spans")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.sort_array("items"), ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_groups(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_decontaminate": op2_decontaminate,
     "op7_simhash": op7_simhash,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op2_decontaminate": DECONTAMINATE,
+}
