@@ -1,13 +1,23 @@
-"""Token ids from a public tokenizer file, with a bounded cache of words."""
+"""Token ids from a public tokenizer file, with bounded caches of words."""
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
+import numpy as np
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 WORD_BPE = "word_bpe_49k.json"
+#: letters and numbers among the plain characters below, lower-cased
+_LETTERS, _NUMBERS = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+#: how the word_bpe file cuts normalised text (a fixed value of the file), for plain characters
+_UNIT = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{_LETTERS}{_NUMBERS}\\s]+")
+#: ASCII white space and printable characters up to Latin Extended-B: composed already, and lower-cased one by one
+_PLAIN = re.compile("[\t-\r -~¡-ɏ]*")
+JOIN = 500
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -18,45 +28,60 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
 
 
 class WordEncoder:
-    """Encodes texts to little-endian unsigned 32-bit ids, word by word.
+    """Encodes texts to little-endian unsigned 32-bit ids of ``word_bpe_49k``, unit by unit.
 
-    For a tokenizer whose normalisation and pre-tokenisation never look across
-    white space (``word_bpe_49k``), a text's ids are those of its words in
-    order. Texts are cut at ASCII white space only; whatever else a word holds
-    is left to the tokenizer itself. Words seen before come from a cache of at
-    most ``limit`` words. Strings of special tokens are ordinary text.
+    A text of plain Latin characters is cut into the tokenizer's own units
+    here; their ids come from a cache of at most ``limit`` units, and new units
+    go through the tokenizer's merges many at a time (a unit's last id is
+    marked in the vocabulary). Any other text is left to the tokenizer whole.
+    Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 250_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str | None = None, limit: int = 800_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        self.tokenizer.encode_special_tokens = True
+        path = path or tokenizer_path()
+        self.whole, self.units = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = self.units.encode_special_tokens = True
+        self.units.normalizer = normalizers.Sequence([])
+        self.units.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        size = self.whole.get_vocab_size()
+        self.last = np.array([(self.whole.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.limit = limit
-        self.cache: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.cache) + len(words) > self.limit:
-            self.cache.clear()
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        for word, found in zip(words, encoded):
-            self.cache[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
+        self.cache: dict[str, bytes] = {}
+
+    def _learn(self, units: list[str]) -> None:
+        for at in range(0, len(units), JOIN):
+            some = units[at : at + JOIN]
+            ids = np.array(self.units.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                raise ValueError("the vocabulary does not mark the ends of units")
+            data, at_byte = ids.tobytes(), 0
+            for unit, end in zip(some, (4 * ends).tolist()):
+                self.cache[unit] = data[at_byte:end]
+                at_byte = end
+
+    def encode_one(self, text: str | None) -> bytes:
+        """The ids of a text; a null text counts as empty."""
+        if not text:
+            return b""
+        if not _PLAIN.fullmatch(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        units = _UNIT.findall(text.lower())
+        try:
+            return b"".join(map(self.cache.__getitem__, units))
+        except KeyError:
+            known = self.cache.keys()
+            missing = [u for u in dict.fromkeys(units) if u not in known]
+            if len(self.cache) + len(missing) > self.limit:
+                self.cache.clear()
+                missing = list(dict.fromkeys(units))
+            self._learn(missing)
+            return b"".join(map(self.cache.__getitem__, units))
 
     def encode(self, texts) -> list[bytes]:
-        """The ids of each text; a null text counts as empty."""
-        out: list[bytes] = []
-        for text in texts:
-            words = text.encode().split() if text else []
-            parts = list(map(self.cache.get, words))
-            if None in parts:
-                missing = list({w for w, p in zip(words, parts) if p is None})
-                for at in range(0, len(missing), 20_000):
-                    chunk = missing[at : at + 20_000]
-                    self._learn(chunk)
-                    fresh = self.cache
-                    parts = [fresh.get(w) if p is None else p for w, p in zip(words, parts)]
-            out.append(b"".join(parts))
-        return out
+        return [self.encode_one(text) for text in texts]
 
 
 @lru_cache(maxsize=2)
