@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 
@@ -62,26 +64,24 @@ class WordEncoder:
                 self.cache[unit] = data[at_byte:end]
                 at_byte = end
 
-    def encode_one(self, text: str | None) -> bytes:
-        """The ids of a text; a null text counts as empty."""
-        if not text:
-            return b""
-        if not _PLAIN.fullmatch(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        units = _UNIT.findall(text.lower())
-        try:
-            return b"".join(map(self.cache.__getitem__, units))
-        except KeyError:
-            known = self.cache.keys()
-            missing = [u for u in dict.fromkeys(units) if u not in known]
+    def encode(self, texts) -> list[bytes]:
+        """The ids of each text; a null text counts as empty."""
+        cut = [_UNIT.findall(t.lower()) if t and _PLAIN.fullmatch(t) else None for t in texts]
+        get = self.cache.get
+        missing: set[str] = set()
+        for units in cut:
+            if units:
+                missing.update(compress(units, map(is_, map(get, units), repeat(None))))
+        if missing:
             if len(self.cache) + len(missing) > self.limit:
                 self.cache.clear()
-                missing = list(dict.fromkeys(units))
-            self._learn(missing)
-            return b"".join(map(self.cache.__getitem__, units))
+                missing = {u for units in cut if units for u in units}
+            self._learn(list(missing))
+        read = self.cache.__getitem__
+        return [self._whole(t) if units is None else b"".join(map(read, units)) for t, units in zip(texts, cut)]
 
-    def encode(self, texts) -> list[bytes]:
-        return [self.encode_one(text) for text in texts]
+    def _whole(self, text: str | None) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
 
 
 @lru_cache(maxsize=2)
