@@ -19,8 +19,8 @@ import zlib
 import numpy as np
 
 MAGIC = b"PFB1"
-LANES = 4096
-BLOCK = 1 << 20
+LANES = 8192
+BLOCK = 1 << 21
 #: bits of the mixing weights, of the order-0 frequencies, of both
 WEIGHT, ZERO = 16, 20
 BOTH = WEIGHT + ZERO
@@ -40,7 +40,7 @@ class CorruptBlock(ValueError):
 class Mixer:
     """The shared model of a block. ``look`` gives the step's intervals, ``learn`` updates it with the ids that came."""
 
-    def __init__(self, alphabet: int, lanes: int):
+    def __init__(self, alphabet: int, lanes: int, decodes: bool = False):
         if alphabet >= 1 << (ZERO - 1):
             raise ValueError("ids must be below 2**19")
         self.alphabet = alphabet
@@ -53,6 +53,7 @@ class Mixer:
         self.previous = np.full(lanes, alphabet, dtype=np.int64)
         self.before = np.full(lanes, alphabet, dtype=np.int64)
         self.step = 0
+        self.decodes = decodes
         self.rebuild()
 
     def rebuild(self) -> None:
@@ -63,6 +64,8 @@ class Mixer:
         share = 1 + self.seen * ((1 << ZERO) - self.alphabet) // total
         self.starts = np.zeros(self.alphabet + 1, dtype=np.int64)
         np.cumsum(share, out=self.starts[1:])
+        if self.decodes:  # the id at each place of the order-0 scale
+            self.at = np.repeat(np.arange(self.alphabet, dtype=np.int32), share)
 
     def look(self, lanes: int) -> None:
         if self.step < REBUILD and self.step & (self.step - 1) == 0 or self.step % REBUILD == 0:
@@ -176,7 +179,7 @@ def decode_block(data: bytes) -> np.ndarray:
         code = code << SHIFT | words[at]
         at += 1
     span = np.full(lanes, 2**64 - 1, dtype=np.uint64)
-    model = Mixer(alphabet, lanes)
+    model = Mixer(alphabet, lanes, decodes=True)
     grid = np.zeros((steps, lanes), dtype=np.int64)
     for step, k in enumerate(_active(n, lanes, steps)):
         model.look(k)
@@ -186,8 +189,8 @@ def decode_block(data: bytes) -> np.ndarray:
         zone1 = w0 << ZERO
         zone2 = zone1 + (w1 << ZERO)
         zone = (place >= zone1).astype(np.int64) + (place >= zone2)
-        literal = np.searchsorted(model.starts, place // w0, side="right") - 1
-        x = np.where(zone == 2, model.c2, np.where(zone == 1, model.c1, np.minimum(literal, alphabet - 1)))
+        literal = model.at[np.minimum(place // w0, len(model.at) - 1)]
+        x = np.where(zone == 2, model.c2, np.where(zone == 1, model.c1, literal))
         first = model.starts[x]
         start = np.where(zone == 2, zone2, np.where(zone == 1, zone1, w0 * first))
         width = np.where(zone == 2, (1 << BOTH) - zone2, np.where(zone == 1, w1 << ZERO, w0 * (model.starts[x + 1] - first)))

@@ -11,6 +11,8 @@ from proseframe.llm.decontaminate import hit_words, with_matches
 from proseframe.llm.oracles import DECONTAMINATE
 from proseframe.llm.packing import pack
 from proseframe.llm.simhash import simhash_groups
+from proseframe.llm.tokenfiles import read_token_files, segment_starts, with_starts, write_token_files
+from proseframe.session import shared_dir
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -40,10 +42,18 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_dir(spark, "token-files")
+    write_token_files(table(spark, sf, "documents"), path)
+    found = read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return with_starts(found, segment_starts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
     "op7_simhash": op7_simhash,
+    "op10_token_files": op10_token_files,
 }
 
 LLM_ORACLES: dict[str, str] = {
