@@ -12,6 +12,7 @@ from proseframe.llm.oracles import DECONTAMINATE
 from proseframe.llm.packing import pack
 from proseframe.llm.simhash import simhash_groups
 from proseframe.llm.tokenfiles import read_token_files, segment_starts, with_starts, write_token_files
+from proseframe.llm.urlfilter import judge
 from proseframe.session import shared_dir
 
 
@@ -42,6 +43,10 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     write_token_files(table(spark, sf, "documents"), path)
@@ -53,6 +58,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
     "op7_simhash": op7_simhash,
+    "op9_url_filter": op9_url_filter,
     "op10_token_files": op10_token_files,
 }
 
