@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proseframe.llm.decontaminate import hit_words, with_matches
+from proseframe.llm.language import fit_texts, identify, page_evidence
 from proseframe.llm.oracles import DECONTAMINATE
 from proseframe.llm.packing import pack
+from proseframe.llm.quality import fit_quality, fold, score_column
 from proseframe.llm.simhash import simhash_groups
 from proseframe.llm.tokenfiles import read_token_files, segment_starts, with_starts, write_token_files
 from proseframe.llm.urlfilter import judge
@@ -38,6 +40,24 @@ def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = fit_quality(docs, table(spark, sf, "labels"))
+    scored = docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), score_column(model, docs).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op6_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents (host: their source) and raw pages (declared language, address suffix, host) by one text model."""
+    docs, pages = table(spark, sf, "documents"), table(spark, sf, "pages")
+    model = fit_texts(docs)
+    texts = identify(docs.select("doc_id", "text", "source"), model, host="source")
+    found = identify(page_evidence(pages), model, declared="declared", host="host")
+    nothing = F.lit(None).cast("bigint")
+    texts = texts.select("doc_id", nothing.alias("page_id"), "lang", "probability", "rejected")
+    return texts.unionByName(found.select(nothing.alias("doc_id"), "page_id", "lang", "probability", "rejected"))
+
+
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash_groups(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,6 +77,8 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
+    "op6_language": op6_language,
     "op7_simhash": op7_simhash,
     "op9_url_filter": op9_url_filter,
     "op10_token_files": op10_token_files,
