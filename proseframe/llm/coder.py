@@ -28,8 +28,8 @@ LOW_RANGE = np.uint64(1 << 48)
 SHIFT = np.uint64(16)
 HASH = 1 << 18
 TOP = 7
-#: the next confidence after a miss; a prediction of confidence 0 or 1 is replaced
-DOWN = np.array([1, 1, 1, 1, 2, 2, 3, 3], dtype=np.int64)
+#: what a confidence changes by after a miss (0 and 1: the prediction is replaced instead), then after a hit
+STEP = np.array([0, 0, -1, -2, -2, -3, -3, -4] + [1] * 7 + [0], dtype=np.int64)
 REBUILD = 16
 
 
@@ -61,7 +61,7 @@ class Mixer:
             self.seen += np.bincount(np.concatenate(self.fresh), minlength=self.alphabet)
             self.fresh = []
         total = max(1, int(self.seen.sum()))
-        share = 1 + self.seen * ((1 << ZERO) - self.alphabet) // total
+        share = self.share = 1 + self.seen * ((1 << ZERO) - self.alphabet) // total
         self.starts = np.zeros(self.alphabet + 1, dtype=np.int64)
         np.cumsum(share, out=self.starts[1:])
         if self.decodes:  # the id at each place of the order-0 scale
@@ -91,8 +91,9 @@ class Mixer:
         self.fresh.append(ids[zone == 0])
         own = ids * 8 + 1
         p1 = self.previous[:lanes]
-        self.after_two[self.h] = np.where(self.c2 == ids, self.e2 + (self.k2 < TOP), np.where(self.k2 > 1, self.e2 - self.k2 + DOWN[self.k2], own))
-        self.after_one[p1] = np.where(self.c1 == ids, self.e1 + (self.k1 < TOP), np.where(self.k1 > 1, self.e1 - self.k1 + DOWN[self.k1], own))
+        for table, at, entry, guess, sure in ((self.after_two, self.h, self.e2, self.c2, self.k2), (self.after_one, p1, self.e1, self.c1, self.k1)):
+            right, firm = guess == ids, sure > 1
+            table[at] = np.where(right | firm, entry + STEP[sure + (TOP + 1) * right], own)
         self.before[:lanes] = p1
         self.previous[:lanes] = ids
         self.step += 1
@@ -124,12 +125,15 @@ def encode_block(ids: np.ndarray) -> bytes:
     for step, k in enumerate(_active(n, lanes, steps)):
         model.look(k)
         x = grid[step, :k]
-        two = (model.c2 == x) & (model.k2 > 0)
-        one = (model.c1 == x) & (model.w1 > 0) & ~two
         w0, w1 = model.w0, model.w1
-        first = model.starts[x]
-        start = np.where(two, (w0 + w1) << ZERO, np.where(one, w0 << ZERO, w0 * first))
-        width = np.where(two, ((1 << WEIGHT) - w0 - w1) << ZERO, np.where(one, w1 << ZERO, w0 * (model.starts[x + 1] - first)))
+        zone = (model.c1 == x) & (w1 > 0)
+        zone = zone.astype(np.int64)
+        zone[(model.c2 == x) & (model.k2 > 0)] = 2
+        start, width = w0 * model.starts[x], w0 * model.share[x]
+        hit = np.flatnonzero(zone)
+        two, low0, low1 = zone[hit] == 2, w0[hit], w1[hit]
+        start[hit] = (low0 + two * low1) << ZERO
+        width[hit] = np.where(two, (1 << WEIGHT) - low0 - low1, low1) << ZERO
         unit = span[:k] >> np.uint64(BOTH)
         add = unit * start.astype(np.uint64)
         now = low[:k] + add
@@ -151,7 +155,7 @@ def encode_block(ids: np.ndarray) -> bytes:
             wider = span[short] << SHIFT
             span[short] = wider
             short = short[wider < LOW_RANGE]
-        model.learn(x, two * 2 + one)
+        model.learn(x, zone)
     every = np.arange(lanes)
     for shift in (48, 32, 16, 0):
         words[every, used] = ((low >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
@@ -191,9 +195,11 @@ def decode_block(data: bytes) -> np.ndarray:
         zone = (place >= zone1).astype(np.int64) + (place >= zone2)
         literal = model.at[np.minimum(place // w0, len(model.at) - 1)]
         x = np.where(zone == 2, model.c2, np.where(zone == 1, model.c1, literal))
-        first = model.starts[x]
-        start = np.where(zone == 2, zone2, np.where(zone == 1, zone1, w0 * first))
-        width = np.where(zone == 2, (1 << BOTH) - zone2, np.where(zone == 1, w1 << ZERO, w0 * (model.starts[x + 1] - first)))
+        start, width = w0 * model.starts[x], w0 * model.share[x]
+        hit = np.flatnonzero(zone)
+        two, low1, low2 = zone[hit] == 2, zone1[hit], zone2[hit]
+        start[hit] = np.where(two, low2, low1)
+        width[hit] = np.where(two, (1 << BOTH) - low2, low2 - low1)
         code[:k] -= unit * start.astype(np.uint64)
         span[:k] = unit * width.astype(np.uint64)
         short = np.flatnonzero(span[:k] < LOW_RANGE)

@@ -19,7 +19,9 @@ _LETTERS, _NUMBERS = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
 _UNIT = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{_LETTERS}{_NUMBERS}\\s]+")
 #: ASCII white space and printable characters up to Latin Extended-B: composed already, and lower-cased one by one
 _PLAIN = re.compile("[\t-\r -~¡-ɏ]*")
-JOIN = 500
+#: the character that stands for each byte in the vocabulary: itself if it can be seen, else one from U+0100 on
+_SEEN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_SHOWN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SEEN)))}
 
 
 def tokenizer_path(name: str = WORD_BPE) -> str:
@@ -33,52 +35,45 @@ class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids of ``word_bpe_49k``, unit by unit.
 
     A text of plain Latin characters is cut into the tokenizer's own units
-    here; their ids come from a cache of at most ``limit`` units, and new units
-    go through the tokenizer's merges many at a time (a unit's last id is
-    marked in the vocabulary). Any other text is left to the tokenizer whole.
+    here; their ids come from a cache of at most ``limit`` units, a new unit's
+    from the tokenizer's merges. Any other text is left to the tokenizer whole.
     Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str | None = None, limit: int = 800_000):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        path = path or tokenizer_path()
-        self.whole, self.units = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = self.units.encode_special_tokens = True
-        self.units.normalizer = normalizers.Sequence([])
-        self.units.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        size = self.whole.get_vocab_size()
-        self.last = np.array([(self.whole.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path or tokenizer_path())
+        self.whole.encode_special_tokens = True
+        self.merges = self.whole.model
         self.limit = limit
         self.cache: dict[str, bytes] = {}
 
-    def _learn(self, units: list[str]) -> None:
-        for at in range(0, len(units), JOIN):
-            some = units[at : at + JOIN]
-            ids = np.array(self.units.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):
-                raise ValueError("the vocabulary does not mark the ends of units")
-            data, at_byte = ids.tobytes(), 0
-            for unit, end in zip(some, (4 * ends).tolist()):
-                self.cache[unit] = data[at_byte:end]
-                at_byte = end
+    def _learn(self, units) -> None:
+        merge = self.merges.tokenize
+        for unit in units:
+            text = unit if unit.isascii() else unit.encode().decode("latin-1").translate(_SHOWN)
+            self.cache[unit] = b"".join([t.id.to_bytes(4, "little") for t in merge(text)])
 
     def encode(self, texts) -> list[bytes]:
         """The ids of each text; a null text counts as empty."""
         cut = [_UNIT.findall(t.lower()) if t and _PLAIN.fullmatch(t) else None for t in texts]
-        get = self.cache.get
+        found = [list(map(self.cache.get, units)) if units else None for units in cut]
         missing: set[str] = set()
-        for units in cut:
-            if units:
-                missing.update(compress(units, map(is_, map(get, units), repeat(None))))
-        if missing:
-            if len(self.cache) + len(missing) > self.limit:
-                self.cache.clear()
-                missing = {u for units in cut if units for u in units}
-            self._learn(list(missing))
-        read = self.cache.__getitem__
-        return [self._whole(t) if units is None else b"".join(map(read, units)) for t, units in zip(texts, cut)]
+        for units, parts in zip(cut, found):
+            if parts and None in parts:
+                missing.update(compress(units, map(is_, parts, repeat(None))))
+        if len(self.cache) + len(missing) > self.limit:
+            self.cache.clear()
+        self._learn(missing)
+        get = self.cache.__getitem__
+        out = []
+        for text, units, parts in zip(texts, cut, found):
+            if not parts:
+                out.append(b"" if units is not None else self._whole(text))
+            else:
+                out.append(b"".join([get(u) if p is None else p for u, p in zip(units, parts)] if None in parts else parts))
+        return out
 
     def _whole(self, text: str | None) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
