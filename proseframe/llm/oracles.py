@@ -26,3 +26,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+_CONTROL = r"<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<\|system\|>|<\|user\|>|<\|assistant\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>"
+
+
+def _escaped(column: str) -> str:
+    return f"length(regexp_replace(replace({column}, chr(92), chr(92) || chr(92)), '{_CONTROL}', '++\\0', 'g'))"
+
+
+CHAT = f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(12 + {_escaped('role')} + length(role) - length(replace(role, chr(10), '')) + 1 + {_escaped('text')} + 10 + 1) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
