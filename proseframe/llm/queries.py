@@ -16,6 +16,7 @@ from proseframe.llm.quality import fit_quality, fold, score_column
 from proseframe.llm.simhash import simhash_groups
 from proseframe.llm.tokenfiles import read_token_files, segment_starts, with_starts, write_token_files
 from proseframe.llm.urlfilter import judge
+from proseframe.llm.vectors import near_vectors
 from proseframe.session import shared_dir
 
 
@@ -57,6 +58,10 @@ def op4_chat(spark: SparkSession, sf: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(extra)), ordered=True)
 
 
+def op5_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op6_language(spark: SparkSession, sf: str) -> DataFrame:
     """Documents (host: their source) and raw pages (declared language, address suffix, host) by one text model."""
     docs, pages = table(spark, sf, "documents"), table(spark, sf, "pages")
@@ -89,6 +94,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
+    "op5_near_vectors": op5_near_vectors,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
     "op9_url_filter": op9_url_filter,
