@@ -25,8 +25,8 @@ BLOCK = 1 << 21
 WEIGHT, ZERO = 16, 20
 BOTH = WEIGHT + ZERO
 LOW_RANGE = np.uint64(1 << 48)
-SHIFT = np.uint64(16)
-HASH = 1 << 18
+SHIFT, FOUR, TOP_WORD = np.uint64(16), np.uint64(4), np.uint64(48)
+HASH = 1 << 16
 TOP = 7
 #: what a confidence changes by after a miss (0 and 1: the prediction is replaced instead), then after a hit
 STEP = np.array([0, 0, -1, -2, -2, -3, -3, -4] + [1] * 7 + [0], dtype=np.int64)
@@ -121,7 +121,9 @@ def encode_block(ids: np.ndarray) -> bytes:
     grid = grid.reshape(lanes, steps).T.copy()
     model = Mixer(alphabet, lanes)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 2**64 - 1, dtype=np.uint64)
-    words, used = np.zeros((lanes, 3 * steps + 4), dtype=np.uint16), np.zeros(lanes, dtype=np.int64)
+    room = 3 * steps + 5
+    words, begin = np.zeros(lanes * room, dtype=np.uint16), np.arange(lanes) * room
+    at = begin.copy()  # the next word of each lane
     for step, k in enumerate(_active(n, lanes, steps)):
         model.look(k)
         x = grid[step, :k]
@@ -139,28 +141,33 @@ def encode_block(ids: np.ndarray) -> bytes:
         now = low[:k] + add
         carry = np.flatnonzero(now < add)
         if len(carry):
-            back = used[carry] - 1
-            while len(carry):
-                words[carry, back] += 1
-                again = words[carry, back] == 0
-                carry, back = carry[again], back[again] - 1
+            back = at[carry] - 1
+            while len(back):
+                words[back] += 1
+                back = back[words[back] == 0] - 1
         low[:k] = now
         span[:k] = unit * width.astype(np.uint64)
-        short = np.flatnonzero(span[:k] < LOW_RANGE)
-        while len(short):
-            value = low[short]
-            words[short, used[short]] = (value >> np.uint64(48)).astype(np.uint16)
-            used[short] += 1
-            low[short] = value << SHIFT
-            wider = span[short] << SHIFT
-            span[short] = wider
-            short = short[wider < LOW_RANGE]
+        # a word is put down in every lane, but only those that are short of range move on
+        short = span[:k] < LOW_RANGE
+        shift = short.astype(np.uint64) << FOUR
+        words[at[:k]] = (low[:k] >> TOP_WORD).astype(np.uint16)
+        at[:k] += short
+        low[:k] <<= shift
+        span[:k] <<= shift
+        still = np.flatnonzero(span[:k] < LOW_RANGE)
+        while len(still):
+            words[at[still]] = (low[still] >> TOP_WORD).astype(np.uint16)
+            at[still] += 1
+            low[still] <<= SHIFT
+            span[still] <<= SHIFT
+            still = still[span[still] < LOW_RANGE]
         model.learn(x, zone)
-    every = np.arange(lanes)
     for shift in (48, 32, 16, 0):
-        words[every, used] = ((low >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
-        used += 1
-    body = used.astype("<u4").tobytes() + words[np.arange(words.shape[1]) < used[:, None]].astype("<u2").tobytes()
+        words[at] = ((low >> np.uint64(shift)) & np.uint64(0xFFFF)).astype(np.uint16)
+        at += 1
+    used = at - begin
+    kept = np.arange(room) < used[:, None]
+    body = used.astype("<u4").tobytes() + words.reshape(lanes, room)[kept].astype("<u2").tobytes()
     head = np.array([n, lanes, steps, alphabet, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)], dtype="<u4")
     return MAGIC + head.tobytes() + body
 
@@ -177,7 +184,7 @@ def decode_block(data: bytes) -> np.ndarray:
         raise CorruptBlock("checksum of the block does not fit")
     used = np.frombuffer(body, "<u4", lanes).astype(np.int64)
     words = np.concatenate([np.frombuffer(body, "<u2", offset=4 * lanes), np.zeros(8, dtype="<u2")]).astype(np.uint64)
-    at = np.concatenate([[0], np.cumsum(used)[:-1]])
+    at, last = np.concatenate([[0], np.cumsum(used)[:-1]]), len(words) - 1
     code = np.zeros(lanes, dtype=np.uint64)
     for _ in range(4):
         code = code << SHIFT | words[at]
@@ -202,13 +209,17 @@ def decode_block(data: bytes) -> np.ndarray:
         width[hit] = np.where(two, (1 << BOTH) - low2, low2 - low1)
         code[:k] -= unit * start.astype(np.uint64)
         span[:k] = unit * width.astype(np.uint64)
-        short = np.flatnonzero(span[:k] < LOW_RANGE)
-        while len(short):
-            code[short] = code[short] << SHIFT | words[np.minimum(at[short], len(words) - 1)]
-            at[short] += 1
-            wider = span[short] << SHIFT
-            span[short] = wider
-            short = short[wider < LOW_RANGE]
+        short = (span[:k] < LOW_RANGE).astype(np.uint64)
+        shift = short << FOUR
+        code[:k] = code[:k] << shift | words[np.minimum(at[:k], last)] * short
+        at[:k] += short.astype(np.int64)
+        span[:k] <<= shift
+        still = np.flatnonzero(span[:k] < LOW_RANGE)
+        while len(still):
+            code[still] = code[still] << SHIFT | words[np.minimum(at[still], last)]
+            at[still] += 1
+            span[still] <<= SHIFT
+            still = still[span[still] < LOW_RANGE]
         grid[step, :k] = x
         model.learn(x, zone)
     ids = grid.T.reshape(-1)[:n]

@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import compress, repeat
-from operator import is_
 
 import numpy as np
 
@@ -31,11 +29,23 @@ def tokenizer_path(name: str = WORD_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+class _Units(dict):
+    """The ids of units, found through the tokenizer's merges the first time."""
+
+    def __init__(self, merges):
+        self.merge = merges.tokenize
+
+    def __missing__(self, unit: str) -> bytes:
+        text = unit if unit.isascii() else unit.encode().decode("latin-1").translate(_SHOWN)
+        found = self[unit] = b"".join([t.id.to_bytes(4, "little") for t in self.merge(text)])
+        return found
+
+
 class WordEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids of ``word_bpe_49k``, unit by unit.
 
     A text of plain Latin characters is cut into the tokenizer's own units
-    here; their ids come from a cache of at most ``limit`` units, a new unit's
+    here; their ids come from a cache of about ``limit`` units, a new unit's
     from the tokenizer's merges. Any other text is left to the tokenizer whole.
     Strings of special tokens are ordinary text.
     """
@@ -45,35 +55,15 @@ class WordEncoder:
 
         self.whole = Tokenizer.from_file(path or tokenizer_path())
         self.whole.encode_special_tokens = True
-        self.merges = self.whole.model
         self.limit = limit
-        self.cache: dict[str, bytes] = {}
-
-    def _learn(self, units) -> None:
-        merge = self.merges.tokenize
-        for unit in units:
-            text = unit if unit.isascii() else unit.encode().decode("latin-1").translate(_SHOWN)
-            self.cache[unit] = b"".join([t.id.to_bytes(4, "little") for t in merge(text)])
+        self.cache = _Units(self.whole.model)
 
     def encode(self, texts) -> list[bytes]:
         """The ids of each text; a null text counts as empty."""
-        cut = [_UNIT.findall(t.lower()) if t and _PLAIN.fullmatch(t) else None for t in texts]
-        found = [list(map(self.cache.get, units)) if units else None for units in cut]
-        missing: set[str] = set()
-        for units, parts in zip(cut, found):
-            if parts and None in parts:
-                missing.update(compress(units, map(is_, parts, repeat(None))))
-        if len(self.cache) + len(missing) > self.limit:
+        if len(self.cache) > self.limit:
             self.cache.clear()
-        self._learn(missing)
-        get = self.cache.__getitem__
-        out = []
-        for text, units, parts in zip(texts, cut, found):
-            if not parts:
-                out.append(b"" if units is not None else self._whole(text))
-            else:
-                out.append(b"".join([get(u) if p is None else p for u, p in zip(units, parts)] if None in parts else parts))
-        return out
+        ids = self.cache.__getitem__
+        return [b"".join(map(ids, _UNIT.findall(t.lower()))) if t and _PLAIN.fullmatch(t) else self._whole(t) for t in texts]
 
     def _whole(self, text: str | None) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
