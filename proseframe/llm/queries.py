@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from proseframe.llm.chat import format_conversations, read_back
 from proseframe.llm.decontaminate import hit_words, with_matches
 from proseframe.llm.language import fit_texts, identify, page_evidence
+from proseframe.llm.lm import score_documents
 from proseframe.llm.oracles import CHAT, DECONTAMINATE
 from proseframe.llm.packing import pack
 from proseframe.llm.quality import fit_quality, fold, score_column
@@ -78,6 +79,10 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
@@ -97,6 +102,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_near_vectors": op5_near_vectors,
     "op6_language": op6_language,
     "op7_simhash": op7_simhash,
+    "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_token_files": op10_token_files,
 }
