@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:

@@ -9,7 +9,8 @@ one that last followed the same id (order 1), and the adaptive frequencies of
 ids (order 0). All arithmetic is on integers, so any machine decodes alike.
 
 Block: magic, then little-endian uint32s: ids, lanes, steps, alphabet, CRC-32 of
-the ids, CRC-32 of what follows the header, 16-bit words of each lane; then the words.
+the ids, CRC-32 of these numbers and of all that follows; then the number of
+16-bit words of each lane and the words.
 """
 
 from __future__ import annotations
@@ -113,7 +114,8 @@ def encode_block(ids: np.ndarray) -> bytes:
     """The block of at most ``BLOCK`` ids."""
     n = len(ids)
     if not n:
-        return MAGIC + np.zeros(6, dtype="<u4").tobytes()
+        head = np.zeros(5, dtype="<u4").tobytes()
+        return MAGIC + head + zlib.crc32(head).to_bytes(4, "little")
     lanes, steps = _layout(n)
     alphabet = int(ids.max()) + 1
     grid = np.zeros(lanes * steps, dtype=np.int64)
@@ -168,8 +170,8 @@ def encode_block(ids: np.ndarray) -> bytes:
     used = at - begin
     kept = np.arange(room) < used[:, None]
     body = used.astype("<u4").tobytes() + words.reshape(lanes, room)[kept].astype("<u2").tobytes()
-    head = np.array([n, lanes, steps, alphabet, zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(body)], dtype="<u4")
-    return MAGIC + head.tobytes() + body
+    head = np.array([n, lanes, steps, alphabet, zlib.crc32(ids.astype("<u4").tobytes())], dtype="<u4").tobytes()
+    return b"".join([MAGIC, head, zlib.crc32(body, zlib.crc32(head)).to_bytes(4, "little"), body])
 
 
 def decode_block(data: bytes) -> np.ndarray:
@@ -177,11 +179,11 @@ def decode_block(data: bytes) -> np.ndarray:
     if data[:4] != MAGIC or len(data) < 28:
         raise CorruptBlock("no block here")
     n, lanes, steps, alphabet, crc_ids, crc_body = map(int, np.frombuffer(data, "<u4", 6, 4))
-    if not n:
-        return np.zeros(0, dtype=np.int64)
     body = data[28:]
-    if zlib.crc32(body) != crc_body:
+    if zlib.crc32(body, zlib.crc32(data[4:24])) != crc_body:
         raise CorruptBlock("checksum of the block does not fit")
+    if not n:
+        return np.zeros(0, dtype=np.int64)
     used = np.frombuffer(body, "<u4", lanes).astype(np.int64)
     words = np.concatenate([np.frombuffer(body, "<u2", offset=4 * lanes), np.zeros(8, dtype="<u2")]).astype(np.uint64)
     at, last = np.concatenate([[0], np.cumsum(used)[:-1]]), len(words) - 1

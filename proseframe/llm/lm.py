@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 from typing import NamedTuple
 
 import numpy as np
@@ -29,7 +30,7 @@ WORDS, OTHERS, HEAD = 2048, 48, 150_000
 ALPHA = 0.1
 #: rates of the rounds of training; words per document and round; documents learned from at a time
 RATES, WINDOW, LANES = (0.02, 0.008, 0.003), 32, 128
-BLOCK = 2_000_000
+BLOCK = 4_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -57,7 +58,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             for text in batch["text"]:
                 counts.update(words_of(text))
                 counts[b""] += 1
-                if len(counts) > 200_000:
+                if len(counts) > 400_000:
                     yield frame()
         if counts:
             yield frame()
@@ -85,16 +86,29 @@ class Vocabulary(NamedTuple):
         if None in found:
             found = [-1 - word_class(w) if i is None else i for w, i in zip(words, found)]
         found.append(0)
-        return np.array(found, dtype=np.int64)
+        return np.array(found, dtype=np.int32)
 
     def for_net(self, numbers: np.ndarray) -> np.ndarray:
         return np.where(numbers >= 0, self.inputs[np.maximum(numbers, 0)], self.net.words - 1 - numbers)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the written counts: totals, the head and what is left in each class."""
+    """From the written counts: totals, the head and what is left in each class.
+
+    The head are all words from a count on (a step of a logarithmic histogram)
+    that leaves at most ``HEAD`` of them.
+    """
     whole = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    head = counts.orderBy(F.desc(F.col("word") == ""), F.desc("c"), "word").limit(HEAD).collect()
+    step = F.floor(F.log2("c") * 32)
+    steps = sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    least, held = None, 0
+    for at, n in steps:
+        held += n
+        if held > HEAD:
+            break
+        least = at
+    head = counts.where((F.col("word") == "") | (step >= least if least is not None else F.lit(False))).select("word", "c").collect()
+    head.sort(key=lambda r: (r["word"] != "", -r["c"], r["word"]))
     per_class = {r["class"]: (r["n"], r["v"]) for r in counts.where("word <> ''").groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     sizes = np.array([per_class.get(k, (0, 0)) for k in range(OTHERS)], dtype=np.float64)
     words = [r["word"].encode() for r in head] or [b""]
@@ -112,15 +126,17 @@ def training_windows(docs: DataFrame, vocab, text_col: str = "text", id_col: str
     """One row per document: for each round a stretch of ``WINDOW`` words at a place drawn from its id, and the word before it."""
 
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        v: Vocabulary = vocab.value
         for batch in batches:
             out = []
             for name, text in zip(batch["id"], batch["text"]):
-                read = np.concatenate([[0], vocab.value.for_net(vocab.value.read(words_of(text)))])
+                words = words_of(text)
                 rows = np.full((len(RATES), WINDOW + 1), -1, dtype="<i4")
-                for k in range(len(RATES)):
-                    at = zlib.crc32(f"{k}:{name}".encode()) % max(1, len(read) - WINDOW)
-                    part = read[at : at + WINDOW + 1]
-                    rows[k, : len(part)] = part
+                for k in range(len(RATES)):  # of: an end, the words, an end
+                    at = zlib.crc32(f"{k}:{name}".encode()) % max(1, len(words) + 2 - WINDOW)
+                    part = v.for_net(v.read(words[max(0, at - 1) : at + WINDOW]))
+                    part = np.concatenate([[0], part]) if at == 0 else part
+                    rows[k, : min(len(part), WINDOW + 1)] = part[: WINDOW + 1]
                 out.append(rows.tobytes())
             yield pd.DataFrame({"windows": out})
 
@@ -231,7 +247,7 @@ def _scorer(vocab, known_end: bool):
             for name, held, text in zip(ids, batch["held_out"], batch["text"]):
                 words = words_of(text)
                 read = v.read(words)
-                tails.append(Counter(w for w, i in zip(words, read.tolist()) if i < 0))
+                tails.append(Counter(compress(words, (read[:-1] < 0).tolist())))
                 reads.append(read)
                 meta.append((name, held))
                 tokens += len(read)

@@ -78,7 +78,7 @@ def pack_block(lengths: np.ndarray, capacity: int = 4096, linear: float = LINEAR
     return np.array(pieces, dtype=np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = 4096, block_tokens: int = 2_000_000, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = 4096, block_tokens: int = 1_000_000, tokenizer: str | None = None) -> DataFrame:
     """Pieces of all documents: doc_id, start, length, ids (little-endian uint32), doc_tokens, sequence_id, offset, sequence_tokens.
 
     A map over the table as it is dealt: each task tokenises its rows and packs

@@ -80,7 +80,7 @@ def near_pairs(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp, component_id) per row: component_id is the smallest id reachable over links.
+    """(id, fp, component_id, group) per row: component_id is the smallest id reachable over links, group a fingerprint that names the component.
 
     Texts are read once and never shuffled: rows shrink to (id, fp), equal
     fingerprints to one row, and only those are indexed. A null or empty text,
@@ -94,22 +94,32 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected(near_pairs(prints.select("fp"), distance)).select(F.col("node").alias("fp"), "root")
     grouped = prints.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(grouped.join(lowest, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
+    told = grouped.join(lowest, "root").select("fp", "component_id", F.col("root").alias("group"))
+    return rows.join(told, "fp").select("id", "fp", "component_id", "group")
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3) -> DataFrame:
     """``docs`` without near-duplicates: the row with the smallest id of each group stays.
 
-    Of rows that repeat an id, one stays (they are told apart only by that id).
-    A row without an id stays if no row of its group has one.
+    Ids that several rows share are looked at again by fingerprint: one row
+    stays in each group of which the id is the smallest. A row without an id
+    stays if no row of its group has one, once for each group. Only ids and
+    fingerprints are compared; texts are shuffled once, to meet the ids that stay.
     """
-    groups = simhash_groups(docs, id_col, text_col, distance)
-    named = groups.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    named = named.select(F.col("id").alias("__id"), F.col("rows_of_id").alias("__n"))
-    kept = docs.join(named, docs[id_col] == F.col("__id"))
-    single = kept.where("__n = 1").select(*docs.columns)
-    repeated = kept.where("__n > 1").select(*docs.columns).dropDuplicates([id_col])
-    alone = groups.where("id is null and component_id is null").select("fp").distinct()
-    unnamed = docs.where(F.col(id_col).isNull()).withColumn("__fp", fingerprint_column(F.col(text_col)))
-    unnamed = unnamed.join(alone, F.col("__fp") == alone.fp, "left_semi").dropDuplicates(["__fp"]).drop("__fp")
-    return single.unionByName(repeated).unionByName(unnamed)
+    groups = write_through(simhash_groups(docs, id_col, text_col, distance), "simhash-groups")
+    first = F.col("id") == F.col("component_id")
+    ids = groups.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(first).alias("stays"))
+    single = ids.where("n = 1 and stays").select(F.col("id").alias("__id"))
+    shared = ids.where("n > 1 and stays").select(F.col("id").alias("__id"))
+    chosen = groups.where(first | (F.col("id").isNull() & F.col("component_id").isNull())).groupBy("id", "group").agg(F.min("fp").alias("__kept"))
+    chosen = chosen.select(F.col("id").alias("__id"), "__kept")
+
+    def again(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        printed = rows.withColumn("__fp", fingerprint_column(F.col(text_col)))
+        same = printed[id_col].eqNullSafe(wanted["__id"]) & (printed["__fp"] == wanted["__kept"])
+        return printed.join(wanted, same, "left_semi").dropDuplicates([id_col, "__fp"]).select(*docs.columns)
+
+    kept = docs.join(single, docs[id_col] == single["__id"], "left_semi")
+    repeated = docs.join(shared, docs[id_col] == shared["__id"], "left_semi")
+    unnamed = docs.where(F.col(id_col).isNull())
+    return kept.unionByName(again(repeated, chosen.where("__id is not null"))).unionByName(again(unnamed, chosen.where("__id is null")))
