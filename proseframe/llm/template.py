@@ -305,6 +305,8 @@ def parse(source: str, filters: Mapping[str, Callable] = FILTERS) -> tuple:
             kind, content = pieces[at]
             at += 1
             if kind == "text":
+                if re.search(r"\{[{%#]", content):
+                    raise TemplateError("a tag does not end")
                 body.append(Text(content))
             elif kind == "show":
                 body.append(Show(_Expression(content, filters).whole()))
