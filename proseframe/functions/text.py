@@ -68,13 +68,16 @@ def clean_text(
     return bind(text, limited)
 
 
-def split_words(col: Column | str) -> Column:
+def split_words(col: Column | str, first: int = 0) -> Column:
     """White-space separated words; an empty array for a blank text.
 
+    With ``first``, at least the first so many words are separate; a longer
+    text is not split to its end.
+
     Splitting on the positive class measured about four times as fast as
     extracting runs of the negated one.
     """
-    return F.array_remove(F.split(strip(col), WS_RUN), "")
+    return F.array_remove(F.split(strip(col), WS_RUN, first + 1 if first else -1), "")
 
 
 def word_count(col: Column | str) -> Column:

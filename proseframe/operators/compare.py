@@ -59,14 +59,14 @@ def higher_is_better(metric: Column, direction: str = "natural") -> Column:
 def compare_models(
     metric_values: DataFrame, direction: str = "natural", order_col: str = "model", directions: DataFrame | None = None
 ) -> DataFrame:
-    """Best and worst model of every metric that all models have.
+    """Best and worst model of every metric that all models have a value for (null and NaN are none).
 
     Equal values go to the model first in ``order_col``. ``directions``
     (metric, higher) overrides the rule for the metrics it lists. Fewer than
     two models is an error. Everything is a partial aggregation: no window and
     no gathering of a metric's rows.
     """
-    values = metric_values
+    values = metric_values.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
     if direction == "natural":
         values = values.where(~F.col("metric").isin(*COUNTS))
     rule = higher_is_better(F.col("metric"), direction)

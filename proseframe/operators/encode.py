@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from proseframe.functions.text import split_words
 
-# A vocabulary up to this many entries is sent to every task; beyond it the
-# lookup is a shuffled join.
-MAX_BROADCAST_VOCABULARY = 300_000
-SALTS = 64
-
-
 def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str = "right") -> tuple[Column, Column]:
     """(ids, attention mask), both exactly ``max_length`` long."""
     kept = F.slice(ids, 1, max_length)
@@ -29,46 +22,50 @@ def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str =
     raise ValueError(f"padding_side must be 'right' or 'left', not {padding_side!r}")
 
 
-def _lookup_broadcast(df: DataFrame, columns: list[str], table: dict[str, int], unk_id: int) -> DataFrame:
-    """Map-only lookup: each task holds the (size-checked) vocabulary."""
-    shared = df.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf("array<int>")
-    def ids(tokens: pd.Series) -> pd.Series:
-        get = shared.value.get
-        return pd.Series([None if row is None else [get(t, unk_id) for t in row] for row in tokens])
-
-    for c in columns:
-        df = df.withColumn(c, ids(c))
-    return df
+def lookup(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int) -> DataFrame:
+    """Replace the token arrays in ``columns`` by arrays of ids.
 
+    One plan for a vocabulary of any size: tokens are exploded, joined and
+    regrouped by a generated row number, so rows may repeat in every column.
+    The row's other columns travel with one extra entry that matches nothing,
+    so the table is read once and not joined again. Catalyst broadcasts the
+    vocabulary if its size allows; else the join may split the rows of the
+    commonest word. A token that the vocabulary lists twice is an error.
+    """
+    rest = [c for c in df.columns if c not in columns]
 
-def _lookup_join(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int, id_col: str) -> DataFrame:
-    """Shuffled lookup for a vocabulary too large to send around.
+    def tokens(side: int, column: str) -> Column:
+        entry = F.transform(column, lambda t, i: F.struct(F.lit(side).alias("_side"), i.alias("_pos"), t.alias("token")))
+        return F.coalesce(entry, F.array().cast("array<struct<_side: int, _pos: int, token: string>>"))
 
-    Both sides carry a salt taken from the row id, so the uses of the commonest
-    word spread over ``SALTS`` tasks. The regrouping by id gathers no more than
-    ``max_length`` tokens per row and side.
-    """
-    salt = F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int")
-    uses = None
-    for c in columns:
-        part = df.select(F.col(id_col), F.lit(c).alias("_side"), F.posexplode(c).alias("_pos", "token"), salt.alias("_salt"))
-        uses = part if uses is None else uses.unionByName(part)
-    salted = vocabulary.select("token", "token_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    found = uses.join(salted, ["token", "_salt"], "left")
+    entries = F.concat(
+        *[tokens(k, c) for k, c in enumerate(columns)],
+        # null arrays stay null: the row's own entry tells which there are
+        F.array(F.struct(F.lit(-1).alias("_side"), F.lit(-1).alias("_pos"), F.lit(None).cast("string").alias("token"))),
+    )
+    given = [F.col(c).isNotNull().alias(c) for c in columns]
+    rows = df.select(F.monotonically_increasing_id().alias("_key"), F.struct(*[F.col(c) for c in rest], F.struct(*given).alias("_given")).alias("_row"), entries.alias("_e"))
+    uses = rows.select("_key", "_row", F.explode("_e").alias("_e"))
+    own = F.col("_e._side") == -1
+    uses = uses.select(
+        "_key",
+        F.when(own, F.col("_row")).alias("_row"),
+        "_e._side",
+        "_e._pos",
+        # no word holds a line break, so this matches nothing and is spread by the row's number
+        F.when(own, F.concat(F.lit("\n"), F.col("_key").cast("string"))).otherwise(F.col("_e.token")).alias("token"),
+    )
+    once = vocabulary.groupBy("token").agg(F.max("token_id").alias("token_id"), F.count(F.lit(1)).alias("_n"))
+    repeated = F.raise_error(F.concat(F.lit("the vocabulary lists a token more than once: "), F.col("token")))
+    once = once.select("token", F.when(F.col("_n") == 1, F.col("token_id")).otherwise(repeated.cast("int")).alias("token_id"))
+    found = uses.join(once, "token", "left")
     place = F.struct(F.col("_pos").alias("p"), F.coalesce("token_id", F.lit(unk_id)).alias("t"))
-    lists = found.groupBy(id_col).agg(
-        *[
-            F.transform(F.sort_array(F.collect_list(F.when(F.col("_side") == c, place))), lambda s: s["t"]).alias(f"_ids{i}")
-            for i, c in enumerate(columns)
-        ]
+    lists = found.groupBy("_key").agg(
+        F.first("_row", ignorenulls=True).alias("_row"),
+        *[F.collect_list(F.when(F.col("_side") == k, place)).alias(f"_ids{k}") for k in range(len(columns))],
     )
-    out = df.join(lists, id_col, "left")
-    for i, c in enumerate(columns):
-        empty = F.array().cast("array<int>")
-        out = out.withColumn(c, F.when(F.col(c).isNull(), None).otherwise(F.coalesce(f"_ids{i}", empty))).drop(f"_ids{i}")
-    return out
+    ids = [F.when(F.col(f"_row._given.{c}"), F.transform(F.sort_array(f"_ids{k}"), lambda s: s["t"])).alias(c) for k, c in enumerate(columns)]
+    return lists.select("_row.*", *ids).drop("_given")
 
 
 def encode_fixed_length(
@@ -79,8 +76,6 @@ def encode_fixed_length(
     pad_id: int = 0,
     unk_id: int = 1,
     padding_side: str = "right",
-    id_col: str = "sample_id",
-    max_broadcast: int = MAX_BROADCAST_VOCABULARY,
 ) -> DataFrame:
     """Add ``input_ids``, ``attention_mask`` and ``labels``.
 
@@ -101,14 +96,8 @@ def encode_fixed_length(
     else:
         for c in columns:
             # truncate before the lookup: nothing beyond max_length is used
-            work = work.withColumn(c, F.slice(split_words(sources[c]), 1, max_length))
-        vocabulary = vocabulary.select("token", F.col("token_id").cast("int").alias("token_id"))
-        # at most one entry more than may be broadcast ever reaches the driver
-        entries = vocabulary.limit(max_broadcast + 1).collect()
-        if len(entries) <= max_broadcast:
-            work = _lookup_broadcast(work, columns, {r["token"]: r["token_id"] for r in entries}, unk_id)
-        else:
-            work = _lookup_join(work, columns, vocabulary, unk_id, id_col)
+            work = work.withColumn(c, F.slice(split_words(sources[c], max_length), 1, max_length))
+        work = lookup(work, columns, vocabulary.select("token", F.col("token_id").cast("int").alias("token_id")), unk_id)
     ids, mask = fixed_length(F.col("_text_ids"), max_length, pad_id, padding_side)
     work = work.withColumn("input_ids", ids).withColumn("attention_mask", mask)
     labels = F.col("input_ids")

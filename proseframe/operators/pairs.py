@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -10,16 +10,18 @@ def pair(predictions: DataFrame, references: DataFrame, on: str = "row_id", stri
     """Join predictions to references by id.
 
     ``strict`` turns a row without a partner into an error when the plan runs,
-    within the same join (no extra counting pass). Ids must be unique; see
-    ``pairing_report`` for a check.
+    within the same join (no extra counting pass), and an id that either side
+    repeats too. Without it, ids must be unique; see ``pairing_report``.
     """
     if not strict:
         return predictions.join(references, on)
-    left = predictions.withColumn("_has_prediction", F.lit(True))
-    right = references.withColumn("_has_reference", F.lit(True))
+    # a window on the join's own key needs no shuffle of its own
+    per_id = Window.partitionBy(on)
+    left = predictions.withColumn("_has_prediction", F.count(F.lit(1)).over(per_id))
+    right = references.withColumn("_has_reference", F.count(F.lit(1)).over(per_id))
     joined = left.join(right, on, "full_outer")
-    complete = F.col("_has_prediction").isNotNull() & F.col("_has_reference").isNotNull()
-    message = F.concat(F.lit(f"{on} without a partner: "), F.col(on).cast("string"))
+    complete = (F.col("_has_prediction") == 1) & (F.col("_has_reference") == 1)
+    message = F.concat(F.lit(f"{on} repeated or without a partner: "), F.col(on).cast("string"))
     checked = F.when(complete, F.col(on)).otherwise(F.raise_error(message))
     return joined.withColumn(on, checked).drop("_has_prediction", "_has_reference")
 
@@ -43,9 +45,16 @@ def with_prediction(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("prediction").isNotNull())
 
 
-def side_by_side(completions: DataFrame, models: list[str], key: str = "prompt_id", model_col: str = "provider") -> DataFrame:
-    """One row per prompt and one output column per model; absent outputs are null."""
-    return completions.groupBy(key).pivot(model_col, models).agg(F.first("output", ignorenulls=True))
+def side_by_side(completions: DataFrame, models: list[str] | None = None, key: str = "prompt_id", model_col: str = "provider") -> DataFrame:
+    """One row per prompt and one output column per model (all that occur, if none are listed).
+
+    Absent outputs are null. Two different outputs of one model for one prompt are an error.
+    """
+    wide = completions.groupBy(key)
+    wide = wide.pivot(model_col, models) if models else wide.pivot(model_col)
+    low, high = F.min("output"), F.max("output")
+    message = F.concat(F.lit(f"{key} with several outputs of a {model_col}: "), F.first(F.col(key)).cast("string"))
+    return wide.agg(F.when(low == high, low).when(low.isNull(), low).otherwise(F.raise_error(message)))
 
 
 def beside_local(local: DataFrame, remote: DataFrame, on: str = "prompt_id") -> DataFrame:

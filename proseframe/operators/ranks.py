@@ -8,14 +8,24 @@ that holds it has to be sorted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_DIGITS = 4
 
 
-def shuffle_key(id_col: str = "sample_id", seed: int = 42) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string")))
+def shuffle_key(id_col: str = "sample_id", seed: int = 42, ties: Sequence[str] = ()) -> Column:
+    """The place of a row in the seeded order; a null id is an error.
+
+    ``ties`` are further columns that tell rows with the same id apart.
+    """
+    missing = F.raise_error(F.lit(f"{id_col} is null: such a row has no place in an exact sample or split"))
+    key = F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(F.col(id_col).cast("string"), missing.cast("string"))))
+    if ties:
+        key = F.concat(key, F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ties])))
+    return key
 
 
 def _bucket_counts(keys: DataFrame) -> DataFrame:
@@ -33,13 +43,14 @@ def _bucket_counts(keys: DataFrame) -> DataFrame:
     )
 
 
-def keys_at_ranks(df: DataFrame, ranks: dict[str, Column], id_col: str = "sample_id", seed: int = 42) -> Column:
+def keys_at_ranks(df: DataFrame, ranks: dict[str, Column], id_col: str = "sample_id", seed: int = 42, ties: Sequence[str] = ()) -> Column:
     """A struct-valued scalar: for each name the shuffle key at that 1-based rank.
 
     A rank is a Column over ``total`` (the row count); a rank outside 1..total
-    gives null. ``id_col`` must be unique. Cost: two scans of the id column.
+    gives null. Cost: two scans of the id column (and ``ties``). If rows with
+    one key stand on both sides of a rank, no key can cut there: an error.
     """
-    keys = df.select(shuffle_key(id_col, seed).alias("key")).withColumn(
+    keys = df.select(shuffle_key(id_col, seed, ties).alias("key")).withColumn(
         "bucket", F.substring("key", 1, BUCKET_DIGITS)
     )
     wanted = F.explode(F.array(*[F.struct(F.lit(k).alias("name"), r.cast("bigint").alias("rank")) for k, r in ranks.items()]))
@@ -52,7 +63,10 @@ def keys_at_ranks(df: DataFrame, ranks: dict[str, Column], id_col: str = "sample
     # one row per rank asked for, so the broadcast has a fixed size
     inside = keys.join(F.broadcast(cuts), "bucket")
     place = F.row_number().over(Window.partitionBy("name").orderBy("key"))
-    found = inside.withColumn("place", place).where(F.col("place") == F.col("nth"))
+    upto = F.count(F.lit(1)).over(Window.partitionBy("name").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    found = inside.select("name", "key", "nth", place.alias("place"), upto.alias("upto")).where(F.col("place") == F.col("nth"))
+    shared = F.raise_error(F.lit(f"rows with the same {id_col} stand at the cut; name columns in `ties` that tell them apart"))
+    found = found.withColumn("key", F.when(F.col("upto") == F.col("nth"), F.col("key")).otherwise(shared.cast("string")))
     return found.agg(
         F.struct(*[F.max(F.when(F.col("name") == k, F.col("key"))).alias(k) for k in ranks]).alias("cut")
     ).scalar()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,20 +16,22 @@ def check_ratios(train: float, val: float, test: float) -> None:
         raise ValueError("split ratios must sum to 1.0")
 
 
-def sample_exact(df: DataFrame, n: int | None, id_col: str = "sample_id", seed: int = 42) -> DataFrame:
+def sample_exact(df: DataFrame, n: int | None, id_col: str = "sample_id", seed: int = 42, ties: Sequence[str] = ()) -> DataFrame:
     """Exactly ``n`` rows without replacement, or all rows if there are no more than n.
 
+    Where ids repeat, ``ties`` names further columns that tell the rows apart.
+
     The n-th shuffle key is found first, then one filter keeps the rows up to
     it: no sort, and no limit that would gather n rows in one task.
     """
     if not n:
         return df
-    cut = keys_at_ranks(df, {"last": F.lit(n)}, id_col, seed).getField("last")
-    return df.where(cut.isNull() | (shuffle_key(id_col, seed) <= cut))
+    cut = keys_at_ranks(df, {"last": F.lit(n)}, id_col, seed, ties).getField("last")
+    return df.where(cut.isNull() | (shuffle_key(id_col, seed, ties) <= cut))
 
 
 def split_exact(
-    df: DataFrame, train: float = 0.8, val: float = 0.1, test: float = 0.1, seed: int = 42, id_col: str = "sample_id"
+    df: DataFrame, train: float = 0.8, val: float = 0.1, test: float = 0.1, seed: int = 42, id_col: str = "sample_id", ties: Sequence[str] = ()
 ) -> DataFrame:
     """Add ``split`` with exactly ``floor(n*train)`` and ``floor(n*val)`` rows, the rest test.
 
@@ -36,8 +40,8 @@ def split_exact(
     check_ratios(train, val, test)
     total = F.col("total").cast("double")
     n_train, n_val = F.floor(total * F.lit(float(train))), F.floor(total * F.lit(float(val)))
-    cut = keys_at_ranks(df, {"train": n_train, "validation": n_train + n_val}, id_col, seed)
-    key = shuffle_key(id_col, seed)
+    cut = keys_at_ranks(df, {"train": n_train, "validation": n_train + n_val}, id_col, seed, ties)
+    key = shuffle_key(id_col, seed, ties)
     split = (
         F.when(key <= cut.getField("train"), SPLITS[0])
         .when(key <= cut.getField("validation"), SPLITS[1])

@@ -18,7 +18,7 @@ from proseframe.operators.encode import encode_fixed_length, token_counts
 from proseframe.operators.ranks import batch_number
 from proseframe.plans.evaluate import evaluate_predictions, predictions_for
 from proseframe.plans.prepare import prepared_splits
-from proseframe.session import shared_dir, use_all_cores
+from proseframe.session import shared_dir
 from proseframe.sinks import writers
 from proseframe.sources.datasets import load_named, read_split, resolve_dataset
 from proseframe.sources.metric_log import append_metric_log, read_metric_log
@@ -30,7 +30,7 @@ from proseframe.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 
 VOCABULARY_IDS = 50_000
-ENCODED_LENGTH = 64
+ENCODED_LENGTH = 512
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -38,8 +38,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
-    """A table of long texts; a small one is spread over the cores, as the work per row is large."""
-    return use_all_cores(table(spark, sf, name))
+    return table(spark, sf, name)
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -104,7 +103,7 @@ def split_exact_large(spark, sf):
 
 
 def first_k_per_split(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
     return splits.first_k(splits.split_exact(docs, id_col="doc_id"), 10, order="doc_id")
 
 
@@ -112,13 +111,33 @@ def sample_exact(spark, sf):
     return splits.sample_exact(table(spark, sf, "documents").select("doc_id", "n_chars"), 250, "doc_id", seed=7)
 
 
+def sample_exact_string_ids(spark, sf):
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("u-"), F.col("doc_id").cast("string")).alias("key"), "n_chars")
+    return splits.sample_exact(docs, 300, "key")
+
+
+def split_exact_repeated_ids(spark, sf):
+    """A few users with many rows each: the event tells rows with one id apart."""
+    events = table(spark, sf, "events").select("user_id", "event_id")
+    return splits.split_exact(events, 0.6, 0.3, 0.1, id_col="user_id", ties=["event_id"])
+
+
 def batch_numbers(spark, sf):
     return batch_number(table(spark, sf, "documents").select("doc_id"), 8, "doc_id")
 
 
 def prepared_dataset(spark, sf):
-    """Limit, clean, split as one plan; counts and lengths per split."""
-    data = prepared_splits(_documents(spark, sf), max_examples=600, clean_options={"min_length": 300})
+    """Clean and split all documents; counts and lengths per split."""
+    return _prepared(spark, sf, None)
+
+
+def prepared_dataset_limited(spark, sf):
+    """The same with the example limit, which is the feature here."""
+    return _prepared(spark, sf, 600)
+
+
+def _prepared(spark, sf, limit):
+    data = prepared_splits(_documents(spark, sf), max_examples=limit, clean_options={"min_length": 300})
     return data.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("n_characters")
     )
@@ -139,6 +158,7 @@ def _roundtrip(spark, sf, fmt: str) -> DataFrame:
     path = shared_dir(spark, f"samples-{fmt}")
     writers.write_samples(_documents(spark, sf), path, fmt)
     samples, quarantine = read_samples(spark, path, "text", "label", fmt=fmt, id_col="sample_id")
+    samples = samples.withColumn("sample_id", F.col("sample_id").cast("bigint"))
     bad = quarantine.select(F.lit(None).cast("bigint").alias("sample_id"), F.col("raw").alias("text"), F.col("reason").alias("label"))
     return samples.unionByName(bad)
 
@@ -190,29 +210,43 @@ def prompt_lines(spark, sf):
 
 def read_split_present(spark, sf):
     path = shared_dir(spark, "splits")
-    writers.write_splits(splits.split_exact(table(spark, sf, "documents").select("doc_id"), id_col="doc_id"), path)
+    writers.write_splits(splits.split_exact(table(spark, sf, "documents").select("doc_id", "text"), id_col="doc_id"), path)
     return read_split(spark, path, "validation")
 
 
 def read_split_fallback(spark, sf):
     path = shared_dir(spark, "splits")
-    data = splits.split_exact(table(spark, sf, "documents").select("doc_id"), 0.5, 0.5, 0.0, id_col="doc_id")
+    data = splits.split_exact(table(spark, sf, "documents").select("doc_id", "text"), 0.5, 0.5, 0.0, id_col="doc_id")
     writers.write_splits(data, path)
     return read_split(spark, path, "dev")
 
 
 def named_dataset(spark, sf):
     table(spark, sf, "documents").createOrReplaceTempView("named_documents")
-    return load_named(spark, "named_documents", label_col="source").select("doc_id", "label", "lang")
+    return load_named(spark, "named_documents", label_col="source").select("doc_id", "text", "label", "lang")
 
 
 def resolved_dataset(spark, sf):
     path = shared_dir(spark, "prepared")
-    data = splits.split_exact(table(spark, sf, "documents").select("doc_id", F.col("lang").alias("target")), id_col="doc_id")
+    data = splits.split_exact(table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("target")), id_col="doc_id")
     writers.write_splits(data, path)
     return resolve_dataset(spark, path, label_col="target", sample_size=40, id_col="doc_id")
 
 
+def load_named_path(spark, sf):
+    return load_named(spark, f"{sf}/documents.parquet", text_col="text", label_col="lang").select("doc_id", "text", "label")
+
+
+def directory_scan(spark, sf):
+    """A folder with files of two formats: the first format in the fixed order is read, by suffix."""
+    path = shared_dir(spark, "folder")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{path}/a")
+    docs.write.json(f"{path}/b")
+    samples, _ = read_samples(spark, f"{path}/*", "text", "lang", id_col="doc_id")
+    return samples.withColumn("sample_id", F.col("sample_id").cast("bigint"))
+
+
 def synthetic_classification(spark, sf):
     ids = table(spark, sf, "documents").select(F.col("doc_id").alias("sample_id"))
     return draw_samples(ids, "classification")
@@ -242,6 +276,12 @@ def pairing_report(spark, sf):
     return pairs.pairing_report(marks, docs)
 
 
+def pair_strict(spark, sf):
+    docs = table(spark, sf, "documents")
+    predictions = docs.select(F.col("doc_id").alias("row_id"), F.col("lang").alias("prediction"))
+    return pairs.pair(predictions, docs.select(F.col("doc_id").alias("row_id"), F.col("source").alias("reference")), strict=True)
+
+
 def continuations(spark, sf):
     both = prompt_pairs(spark, sf)
     return both.select("conv_id", "turn", continuation("reference", "prediction").alias("text"))
@@ -251,7 +291,7 @@ def outputs_side_by_side(spark, sf):
     events = table(spark, sf, "events").select(
         F.col("event_id").alias("prompt_id"), F.col("event_type").alias("provider"), F.col("props").alias("output")
     )
-    return pairs.side_by_side(events, ["click", "error", "view"])
+    return pairs.side_by_side(events)
 
 
 def inference_listing(spark, sf):
@@ -435,6 +475,13 @@ def compare_models(spark, sf):
     return compare.compare_models(_metric_values(spark, sf))
 
 
+def compare_models_null_value(spark, sf):
+    """A model without a value for a metric: the metric isn't common to all."""
+    values = _metric_values(spark, sf)
+    gone = (F.col("model") == "small") & (F.col("metric") == "accuracy")
+    return compare.compare_models(values.withColumn("value", F.when(~gone, F.col("value"))))
+
+
 def compare_models_strict(spark, sf):
     return compare.compare_models(_metric_values(spark, sf), direction="strict_list")
 
@@ -504,6 +551,15 @@ def evaluate_completions(spark, sf):
     return rounded(evaluate_predictions(scored, "classification"), "value")
 
 
+def evaluate_by_model(spark, sf):
+    """Two models, told apart by the parity of the document, scored separately."""
+    docs = table(spark, sf, "documents")
+    said = F.when(F.col("source").endswith("9"), None).when(F.col("source").endswith("3"), "fr").otherwise("en")
+    model = F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")
+    rows = docs.select(F.col("doc_id").alias("row_id"), F.col("lang").alias("reference"), said.alias("prediction"), model.alias("model"))
+    return rounded(evaluate_predictions(rows, "classification", by=["model"]), "value")
+
+
 def _source_language(prompts: list[str]) -> list[str | None]:
     return [None if p.endswith("9") else ("fr" if p.endswith("3") else "en") for p in prompts]
 
@@ -512,15 +568,16 @@ def _source_language(prompts: list[str]) -> list[str | None]:
 
 
 def vocabulary(spark, sf) -> DataFrame:
-    """The words of the benchmark texts with an id from the word's md5."""
-    words = table(spark, sf, "benchmark").select(F.explode(F.split(strip("text"), " ")).alias("token")).distinct()
+    """The words of all documents with an id from the word's md5."""
+    words = table(spark, sf, "documents").select(F.explode(F.split(strip("text"), " ")).alias("token")).distinct()
     number = F.conv(F.substring(F.md5("token"), 1, 7), 16, 10).cast("bigint")
     return words.where(F.col("token") != "").select("token", (number % VOCABULARY_IDS + 2).cast("int").alias("token_id"))
 
 
-def _encoded(spark, sf, **options) -> DataFrame:
+def _encoded(spark, sf, shuffled: bool = False, **options) -> DataFrame:
     docs = texts(spark, sf).select(F.col("doc_id").alias("sample_id"), "text", F.col("source").alias("label"))
-    return encode_fixed_length(docs, vocabulary(spark, sf), max_length=ENCODED_LENGTH, **options)
+    words = vocabulary(spark, sf)
+    return encode_fixed_length(docs, words.hint("shuffle_merge") if shuffled else words, max_length=ENCODED_LENGTH, **options)
 
 
 def encode_fixed(spark, sf):
@@ -529,9 +586,9 @@ def encode_fixed(spark, sf):
 
 
 def encode_fixed_joined(spark, sf):
-    """The same by the shuffled lookup that a vocabulary too large to broadcast takes."""
+    """The same with a vocabulary that must not be broadcast."""
     joined = [F.array_join(F.col(c).cast("array<string>"), " ").alias(c) for c in ("input_ids", "attention_mask", "labels")]
-    return _encoded(spark, sf, padding_side="left", max_broadcast=0).select("sample_id", *joined)
+    return _encoded(spark, sf, padding_side="left", shuffled=True).select("sample_id", *joined)
 
 
 def encoded_token_counts(spark, sf):
@@ -616,7 +673,8 @@ def latest_checkpoint(spark, sf):
 
 def _stream(spark, sf, name: str) -> DataFrame:
     static = table(spark, sf, name)
-    return spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    # the pattern names the table whether it is one file or a folder of them
+    return spark.readStream.schema(static.schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/{name}.parque[t]")
 
 
 def stream_clean_split(spark, sf):
@@ -659,8 +717,11 @@ QUERIES: dict[str, Query] = {
     "split_exact_large": split_exact_large,
     "first_k_per_split": first_k_per_split,
     "sample_exact": sample_exact,
+    "sample_exact_string_ids": sample_exact_string_ids,
+    "split_exact_repeated_ids": split_exact_repeated_ids,
     "batch_numbers": batch_numbers,
     "prepared_dataset": prepared_dataset,
+    "prepared_dataset_limited": prepared_dataset_limited,
     "data_summary": data_summary,
     "roundtrip_csv": roundtrip_csv,
     "roundtrip_tsv": roundtrip_tsv,
@@ -671,11 +732,14 @@ QUERIES: dict[str, Query] = {
     "read_split_present": read_split_present,
     "read_split_fallback": read_split_fallback,
     "named_dataset": named_dataset,
+    "load_named_path": load_named_path,
+    "directory_scan": directory_scan,
     "resolved_dataset": resolved_dataset,
     "synthetic_classification": synthetic_classification,
     "synthetic_completion": synthetic_completion,
     "prompt_pairs": prompt_pairs,
     "pairing_report": pairing_report,
+    "pair_strict": pair_strict,
     "continuations": continuations,
     "outputs_side_by_side": outputs_side_by_side,
     "inference_listing": inference_listing,
@@ -700,6 +764,7 @@ QUERIES: dict[str, Query] = {
     "perplexity_by_type": perplexity_by_type,
     "compare_models": compare_models,
     "compare_models_strict": compare_models_strict,
+    "compare_models_null_value": compare_models_null_value,
     "success_rate": success_rate,
     "length_table": length_table,
     "length_comparison": length_comparison,
@@ -707,6 +772,7 @@ QUERIES: dict[str, Query] = {
     "batch_complete": batch_complete,
     "complete_fallback": complete_fallback,
     "evaluate_completions": evaluate_completions,
+    "evaluate_by_model": evaluate_by_model,
     "encode_fixed_length": encode_fixed,
     "encode_fixed_length_joined": encode_fixed_joined,
     "token_counts": encoded_token_counts,

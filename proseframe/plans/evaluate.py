@@ -35,15 +35,19 @@ def evaluate_predictions(
     labels: Sequence[str] | None = None,
     losses: DataFrame | None = None,
     out: str | None = None,
+    by: Sequence[str] = (),
     **settings,
 ) -> DataFrame:
-    """Long metric rows, with perplexity and success rate among them; optionally a JSON report."""
+    """Long metric rows, with perplexity and success rate among them; optionally a JSON report.
+
+    ``by`` names columns (such as the model) for which each metric is computed apart.
+    """
     pairs = with_prediction(predictions)
-    metrics = all_metrics(pairs, task_type, labels, **settings)
-    rate = success_rate(predictions.withColumn("output", F.col("prediction")))
-    metrics = metrics.unionByName(rate.select(F.lit("success_rate").alias("metric"), F.col("success_rate").alias("value")))
+    metrics = all_metrics(pairs, task_type, labels, by=by, **settings)
+    rate = success_rate(predictions.withColumn("output", F.col("prediction")), by)
+    metrics = metrics.unionByName(rate.select(*by, F.lit("success_rate").alias("metric"), F.col("success_rate").alias("value")))
     if losses is not None:
-        ppl = perplexity_from_loss(losses).select(F.lit("perplexity").alias("metric"), F.col("perplexity").alias("value"))
+        ppl = perplexity_from_loss(losses, by=by).select(*by, F.lit("perplexity").alias("metric"), F.col("perplexity").alias("value"))
         metrics = metrics.unionByName(ppl)
     if out:
         metrics = write_through(metrics, "metrics")

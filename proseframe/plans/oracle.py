@@ -226,7 +226,7 @@ def _encoded(select: str) -> str:
     length = ENCODED_LENGTH
     return f"""
   WITH vocabulary AS (SELECT DISTINCT token, (('0x' || substr(md5(token), 1, 7))::BIGINT % {VOCABULARY_IDS} + 2)::INT AS token_id
-      FROM (SELECT unnest(string_split({_strip("text")}, ' ')) AS token FROM benchmark) WHERE token <> ''),
+      FROM (SELECT unnest(string_split({_strip("text")}, ' ')) AS token FROM documents) WHERE token <> ''),
   words AS (SELECT doc_id, 0 AS side, ({_words("text")})[1:{length}] AS w FROM documents
       UNION ALL SELECT doc_id, 1, ({_words("source")})[1:{length}] FROM documents),
   ids AS (SELECT doc_id, side, list(coalesce(token_id, 1) ORDER BY pos) AS ids FROM (
@@ -323,12 +323,15 @@ ORACLES: dict[str, str] = {
     "split_exact_counts": f"SELECT split, count(*) AS n_rows FROM ({_split_cte('documents', 'doc_id', 0.7, 0.17)}) GROUP BY split",
     "split_exact_large": f"""SELECT split, count(*) AS n_rows FROM ({_split_cte(
         '(SELECT o_orderkey FROM orders)', 'o_orderkey', 0.8, 0.1)}) GROUP BY split""",
-    "first_k_per_split": f"""SELECT doc_id, source, split FROM (
+    "first_k_per_split": f"""SELECT doc_id, text, source, split FROM (
     SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS place FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)}))
   WHERE place <= 10""",
     "sample_exact": f"SELECT doc_id, n_chars FROM documents ORDER BY {_key('doc_id', 7)}, doc_id LIMIT 250",
     "batch_numbers": f"""SELECT doc_id, ((row_number() OVER (ORDER BY {_key('doc_id')}, doc_id) - 1) // 8)::BIGINT AS batch FROM documents""",
-    "prepared_dataset": f"""WITH limited AS (SELECT * FROM documents ORDER BY {_key('doc_id')}, doc_id LIMIT 600),
+    "prepared_dataset": f"""WITH cleaned AS (SELECT doc_id, {_collapse('text')} AS text FROM documents WHERE length({_collapse('text')}) >= 300)
+  SELECT split, count(*) AS n_rows, sum(length(text))::BIGINT AS n_characters
+  FROM ({_split_cte('cleaned', 'doc_id', 0.8, 0.1)}) GROUP BY split""",
+    "prepared_dataset_limited": f"""WITH limited AS (SELECT * FROM documents ORDER BY {_key('doc_id')}, doc_id LIMIT 600),
   cleaned AS (SELECT doc_id, {_collapse('text')} AS text FROM limited WHERE length({_collapse('text')}) >= 300)
   SELECT split, count(*) AS n_rows, sum(length(text))::BIGINT AS n_characters
   FROM ({_split_cte('cleaned', 'doc_id', 0.8, 0.1)}) GROUP BY split""",
@@ -345,10 +348,31 @@ ORACLES: dict[str, str] = {
     "prompt_lines": f"""SELECT prompt, count(*) AS n_rows FROM (
     SELECT {_strip('line')} AS prompt FROM (SELECT unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM conversations))
   WHERE prompt <> '' GROUP BY prompt""",
-    "read_split_present": f"SELECT * FROM ({_split_cte('(SELECT doc_id FROM documents)', 'doc_id', 0.8, 0.1)}) WHERE split = 'validation'",
-    "read_split_fallback": f"SELECT * FROM ({_split_cte('(SELECT doc_id FROM documents)', 'doc_id', 0.5, 0.5)}) WHERE split = 'train'",
-    "named_dataset": "SELECT doc_id, source AS label, lang FROM documents",
-    "resolved_dataset": f"""SELECT doc_id, lang AS label, split FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)})
+    "sample_exact_string_ids": "SELECT 'u-' || doc_id AS key, n_chars FROM documents ORDER BY md5('42-u-' || doc_id) LIMIT 300",
+    "split_exact_repeated_ids": """SELECT user_id, event_id, CASE WHEN rk <= floor(n * 0.6::DOUBLE) THEN 'train'
+      WHEN rk <= floor(n * 0.6::DOUBLE) + floor(n * 0.3::DOUBLE) THEN 'validation' ELSE 'test' END AS split
+    FROM (SELECT user_id, event_id, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY md5('42-' || user_id) || md5(event_id::VARCHAR)) AS rk FROM events)""",
+    "load_named_path": "SELECT doc_id, text, lang AS label FROM documents",
+    "directory_scan": _ROUNDTRIP,
+    "pair_strict": "SELECT doc_id AS row_id, lang AS prediction, source AS reference FROM documents",
+    "compare_models_null_value": _comparison("'rouge1_fmeasure', 'accuracy', 'bleu'", "metric NOT IN ('total_examples', 'accuracy')"),
+    "evaluate_by_model": """WITH scored AS (SELECT lang AS reference, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS model,
+      CASE WHEN source LIKE '%9' THEN NULL WHEN source LIKE '%3' THEN 'fr' ELSE 'en' END AS prediction FROM documents),
+  graded AS (SELECT * FROM scored WHERE prediction IS NOT NULL),
+  sides AS (SELECT model, reference AS class, 1 AS support, 0 AS predicted, (reference = prediction)::INT AS hit FROM graded
+      UNION ALL SELECT model, prediction, 0, 1, 0 FROM graded),
+  sums AS (SELECT model, class, sum(support) AS support, sum(predicted) AS predicted, sum(hit) AS hit FROM sides GROUP BY ALL),
+  pr AS (SELECT *, CASE WHEN predicted > 0 THEN hit / predicted ELSE 0.0 END AS p, CASE WHEN support > 0 THEN hit / support ELSE 0.0 END AS r FROM sums),
+  wide AS (SELECT model, sum(hit) / sum(support) AS a, sum(p * support) / sum(support) AS p, sum(r * support) / sum(support) AS r,
+      sum(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END * support) / sum(support) AS f FROM pr GROUP BY model)
+  SELECT model, 'accuracy' AS metric, round(a, 6)::DOUBLE AS value FROM wide UNION ALL SELECT model, 'precision', round(p, 6) FROM wide
+  UNION ALL SELECT model, 'recall', round(r, 6) FROM wide UNION ALL SELECT model, 'f1', round(f, 6) FROM wide
+  UNION ALL SELECT model, 'success_rate', round(avg((prediction IS NOT NULL)::INT), 6) FROM scored GROUP BY model""",
+    "read_split_present": f"SELECT * FROM ({_split_cte('(SELECT doc_id, text FROM documents)', 'doc_id', 0.8, 0.1)}) WHERE split = 'validation'",
+    "read_split_fallback": f"SELECT * FROM ({_split_cte('(SELECT doc_id, text FROM documents)', 'doc_id', 0.5, 0.5)}) WHERE split = 'train'",
+    "named_dataset": "SELECT doc_id, text, source AS label, lang FROM documents",
+    "resolved_dataset": f"""SELECT doc_id, text, lang AS label, split FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)})
   WHERE split = 'test' ORDER BY {_key('doc_id')}, doc_id LIMIT 40""",
     "synthetic_classification": f"""SELECT doc_id AS sample_id, {_pick(CHOICES['classification'][0], 'doc_id', 'text')} AS text,
     {_pick(CHOICES['classification'][1], 'doc_id', 'label')} AS label FROM documents""",
@@ -363,7 +387,8 @@ ORACLES: dict[str, str] = {
   FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
     "continuations": f"SELECT conv_id, turn, reference || ' ' || prediction AS text FROM ({_PAIRS})",
     "outputs_side_by_side": """SELECT event_id AS prompt_id, CASE WHEN event_type = 'click' THEN props END AS click,
-    CASE WHEN event_type = 'error' THEN props END AS error, CASE WHEN event_type = 'view' THEN props END AS view FROM events""",
+    CASE WHEN event_type = 'error' THEN props END AS error, CASE WHEN event_type = 'purchase' THEN props END AS purchase,
+    CASE WHEN event_type = 'signup' THEN props END AS signup, CASE WHEN event_type = 'view' THEN props END AS view FROM events""",
     "inference_listing": f"""SELECT d.doc_id AS prompt_id, d.source AS input, len({_words('d.text')})::INT AS local_output_length,
     CASE WHEN l.quality = 1 THEN 'good text' END AS remote_output, CASE WHEN l.quality = 1 THEN 2 END AS remote_output_length
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",

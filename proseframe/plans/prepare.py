@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,17 +51,22 @@ def prepare_dataset(
     vocabulary: DataFrame | None = None,
     tokenizer: Callable[[Column], Column] | None = None,
     max_length: int = 512,
+    id_col: str | None = None,
     **options,
 ) -> DataFrame:
     """Prepare a file or directory into ``out``: splits, quarantine, summary, samples."""
-    samples, quarantine = read_samples(spark, path, text_col, label_col, fmt)
+    samples, quarantine = read_samples(spark, path, text_col, label_col, fmt, id_col=id_col)
     data = prepared_splits(samples, **options)
     if vocabulary is not None or tokenizer is not None:
         data = encode_fixed_length(data, vocabulary, tokenizer, max_length)
     write_splits(data, f"{out}/data")
     quarantine.write.json(f"{out}/quarantine")
     result = spark.read.parquet(f"{out}/data")
-    plain = {k: v for k, v in options.items() if isinstance(v, (str, int, float, bool))}
+    # all options at the values that took effect
+    defaults = {n: p.default for n, p in inspect.signature(prepared_splits).parameters.items() if p.default is not p.empty}
+    given = {**defaults, **options}
+    plain = {k: v for k, v in given.items() if isinstance(v, (str, int, float, bool))}
+    plain |= {f"clean_{k}": v for k, v in (given.get("clean_options") or {}).items()}
     facts = {"input_source": path, "processing": {**plain, "max_length": max_length}, "columns": {"text_column": text_col, "label_column": label_col}}
     write_report(data_summary(result, facts), f"{out}/summary")
     write_samples_by_split(inspection_samples(result), f"{out}/samples")

@@ -69,13 +69,3 @@ def write_through(df, purpose: str):
     path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def use_all_cores(df):
-    """Spread a scan that has fewer splits than there are cores.
-
-    For a map-only plan over a small table. A table with more splits than cores
-    is returned as it is, so nothing is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

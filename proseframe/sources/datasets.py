@@ -22,11 +22,11 @@ def read_split(spark: SparkSession, path: str, split: str = "test") -> DataFrame
     wanted = table.where(F.col("split") == split)
     if not wanted.isEmpty():
         return wanted
-    present = {r["split"] for r in table.select("split").distinct().limit(100).collect()}
-    order = [s for s in SPLITS if s in present] + sorted(present - set(SPLITS))
-    if not order:
-        return wanted
-    return table.where(F.col("split") == order[0])
+    # the standard splits in their order, then others by name
+    place = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in SPLITS]), F.col("split")), F.lit(0))
+    place = F.when(place == 0, len(SPLITS) + 1).otherwise(place)
+    first = table.select("split").agg(F.min(F.struct(place.alias("place"), F.col("split").alias("split"))).alias("s")).first()["s"]
+    return wanted if first is None else table.where(F.col("split") == first["split"])
 
 
 def load_named(
@@ -38,7 +38,8 @@ def load_named(
     label_col: str | None = None,
 ) -> DataFrame:
     """A catalog table, or Parquet under ``name/subset``, with standard column names."""
-    table = spark.table(name) if spark.catalog.tableExists(name) else spark.read.parquet(os.path.join(name, subset or ""))
+    in_catalog = "/" not in name and spark.catalog.tableExists(name)
+    table = spark.table(name) if in_catalog else spark.read.parquet(name if in_catalog or not subset else os.path.join(name, subset))
     if subset and "subset" in table.columns:
         table = table.where(F.col("subset") == subset)
     if split:
@@ -61,7 +62,8 @@ def resolve_dataset(
     """A data file, a prepared directory or a table, then an exact seeded sample."""
     suffix = os.path.splitext(source.rstrip("/"))[1].lower().lstrip(".")
     if suffix in FORMATS:
-        data, _ = read_samples(spark, source, text_col, label_col)
+        data, _ = read_samples(spark, source, text_col, label_col, id_col=None if id_col == "sample_id" else id_col)
+        data = data if id_col == "sample_id" else data.withColumnRenamed("sample_id", id_col)
     elif "/" in source:
         data = rename_columns(read_split(spark, source, split), text_col, label_col)
     else:

@@ -59,8 +59,13 @@ def _split(rows: DataFrame, reason: Column, text: Column, label: Column, raw: Co
 
 
 def _sample_id(id_col: str | None) -> Column:
-    """The caller's key, else a number fixed by file order and split sizes."""
-    return F.col(id_col).try_cast("bigint") if id_col else F.col("_row")
+    """The caller's key as it stands in the file, else a number fixed by file order and split sizes."""
+    return F.col(id_col) if id_col else F.col("_row")
+
+
+def _needs_id(reason: Column, id_col: str | None, key: Column) -> Column:
+    """A record without the key it should have is quarantined."""
+    return F.coalesce(reason, F.when(key.isNull(), F.lit("id missing"))) if id_col else reason
 
 
 def _read_delimited(spark, path, text_col, label_col, id_col, sep, encoding, multi_line, glob):
@@ -88,7 +93,8 @@ def _read_delimited(spark, path, text_col, label_col, id_col, sep, encoding, mul
     label = F.lit(None).cast("string")
     if label_col and label_col in names:
         label = F.when(F.col(label_col).isNull() & absent, None).otherwise(F.coalesce(F.col(label_col), F.lit("")))
-    return _split(rows, reason, text, label, F.col(_CORRUPT), _sample_id(id_col))
+    raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*[F.col(f"`{n}`") for n in names])))
+    return _split(rows, _needs_id(reason, id_col, _sample_id(id_col)), text, label, raw, _sample_id(id_col))
 
 
 def _first_characters(spark, path, encoding, glob) -> DataFrame:
@@ -98,7 +104,7 @@ def _first_characters(spark, path, encoding, glob) -> DataFrame:
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_at"),
         F.monotonically_increasing_id().alias("_line"),
-        F.substring(F.ltrim("value"), 1, 1).alias("_ch"),
+        F.substring(strip("value"), 1, 1).alias("_ch"),
     )
     first = F.min(F.struct("_at", "_line", "_ch"))
     return lines.where(F.col("_ch") != "").groupBy("_file").agg(first["_ch"].alias("first"))
@@ -121,7 +127,8 @@ def _read_json(spark, path, text_col, label_col, id_col, encoding, glob):
         F.col(text_col).isNull(), F.lit("text missing or null")
     )
     label = F.col(label_col) if label_col else F.lit(None).cast("string")
-    return _split(rows, reason, F.col(text_col), label, F.col(_CORRUPT), _sample_id(id_col))
+    raw = F.coalesce(F.col(_CORRUPT), F.to_json(F.struct(*[F.col(f"`{n}`") for n in dict.fromkeys(names)])))
+    return _split(rows, _needs_id(reason, id_col, _sample_id(id_col)), F.col(text_col), label, raw, _sample_id(id_col))
 
 
 def parse_json_lines(
@@ -146,7 +153,8 @@ def parse_json_lines(
         .otherwise(F.lit("text key missing"))
     )
     label = item.getField(label_col) if label_col else F.lit(None).cast("string")
-    key = item.getField(id_col).try_cast("bigint") if id_col else F.lit(None).cast("bigint")
+    key = item.getField(id_col) if id_col else F.lit(None).cast("string")
+    reason = _needs_id(reason, id_col, key)
     columns = {"_reason": reason, "_text": text, "_label": label, "_id": key}
     return out.withColumns(columns).drop("_item")
 
@@ -184,7 +192,8 @@ def read_samples(
 
     A directory is searched by suffix; with ``fmt`` all its files are read.
     Without ``id_col`` the ids are unique and stay the same while the files and
-    the split sizes do. ``multi_line=False`` lets Spark split large CSV files;
+    the split sizes do; with it, ids are kept as they stand (strings) and a
+    record without one goes to quarantine. ``multi_line=False`` lets Spark split large CSV files;
     it is right only where no field holds a line break.
     """
     glob = None

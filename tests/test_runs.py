@@ -98,12 +98,12 @@ def test_summary_and_checkpoints(spark):
 SAMPLES = [(1, "a b zz", "b"), (2, "", "a a a a a"), (3, "b b b b b", None), (4, None, "a")]
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("limit", ["broadcast", "shuffle_merge"])
 @pytest.mark.parametrize("side", ["right", "left"])
 def test_encode(spark, limit, side):
     df = spark.createDataFrame(SAMPLES, "sample_id bigint, text string, label string").where("text is not null")
     vocabulary = spark.createDataFrame([("a", 10), ("b", 11)], "token string, token_id int")
-    got = encode_fixed_length(df, vocabulary, max_length=4, padding_side=side, max_broadcast=limit)
+    got = encode_fixed_length(df, vocabulary.hint(limit), max_length=4, padding_side=side)
     want = {1: ([10, 11, 1], [11]), 2: ([], [10] * 4), 3: ([11] * 4, [11] * 4)}
 
     def padded(ids, pad=0):
