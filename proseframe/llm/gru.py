@@ -68,7 +68,8 @@ def new_net(counts: np.ndarray, other_counts: np.ndarray, seed: int = 1) -> Net:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(np.minimum(-x, 80)))
+    with np.errstate(over="ignore"):  # beyond single precision the result is 0, as it should be
+        return 1 / (1 + np.exp(-x))
 
 
 def step(net: Net, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, tuple]:
@@ -188,15 +189,20 @@ class Trainer:
         return loss
 
     def update(self, gradient: Net) -> None:
+        """A step of Adam. Input and word rows that no word of the window used keep their averages as they are."""
         self.steps += 1
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in gradient)))
+        norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in gradient)))
         scale = np.float32(min(1.0, self.clip / max(norm, 1e-9)))
-        correct = self.rate * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps)
-        for a, m, v, g in zip(self.net, self.mean, self.square, gradient):
-            g = g * scale
+        correct = np.float32(self.rate * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps))
+        for a, mean, square, g in zip(self.net, self.mean, self.square, gradient):
+            rows = np.flatnonzero(g.any(axis=1)) if len(a) > 4 * HIDDEN and g.ndim == 2 else slice(None)
+            g = g[rows] * scale
+            m, v = mean[rows], square[rows]
             m += np.float32(0.1) * (g - m)
-            v += np.float32(0.01) * (g * g - v)
-            a -= np.float32(correct) * m / (np.sqrt(v) + np.float32(1e-6))
+            g *= g
+            v += np.float32(0.01) * (g - v)
+            mean[rows], square[rows] = m, v
+            a[rows] -= correct * m / (np.sqrt(v) + np.float32(1e-6))
 
 
 def score_texts(net: Net, texts: list[np.ndarray], held: int = 1 << 14) -> np.ndarray:
