@@ -128,13 +128,14 @@ def merged(spans: list[int]) -> list[int]:
     return out
 
 
-def _matcher(shared):
-    @F.pandas_udf("struct<n_words: bigint, spans: array<int>, items: array<string>>")
+def _matcher(shared, cut: bool):
+    @F.pandas_udf("struct<n_words: bigint, spans: array<int>, items: array<string>, left: string>")
     def matches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         phrases = shared.value
         for texts in batches:
             n_words, spans, items = match_shard(list(texts), phrases)
-            yield pd.DataFrame({"n_words": n_words, "spans": spans, "items": [[phrases.names[i] for i in x] for x in items]})
+            left = [cut_words(t, s) if cut and s else None for t, s in zip(texts, spans)]
+            yield pd.DataFrame({"n_words": n_words, "spans": spans, "items": [[phrases.names[i] for i in x] for x in items], "left": pd.Series(left, dtype=object)})
 
     return matches
 
@@ -144,11 +145,12 @@ def _merge(spans: pd.Series) -> pd.Series:
     return spans.map(lambda x: merged(list(x)))
 
 
-def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
-    """``docs`` with a column ``__hits``: struct(n_words, spans, items).
+def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = 8 << 20, cut: bool = False) -> DataFrame:
+    """``docs`` with a column ``__hits``: struct(n_words, spans, items, left).
 
     ``spans`` are the merged stretches of words inside an occurrence of a
-    window, ``items`` the ids of the items found. Documents are neither
+    window, ``items`` the ids of the items found, ``left`` (with ``cut``, where
+    there are hits) the text without the spans. Documents are neither
     shuffled nor gathered: a shard is an Arrow batch of bounded bytes, indexed
     and searched where it lies. The benchmark goes out in blocks of
     ``block_bytes``; a larger one takes a pass per block, and what the passes
@@ -164,12 +166,13 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
             docs = write_through(docs, "matched")
         shared = spark.sparkContext.broadcast(Phrases([(name if name is not None else "null", text) for name, text in block], window))
         names.append(f"__hits{len(names)}")
-        docs = docs.withColumn(names[-1], _matcher(shared)(F.col(text_col)))
+        docs = docs.withColumn(names[-1], _matcher(shared, cut)(F.col(text_col)))
     if len(names) == 1:
         return docs.withColumnRenamed(names[0], "__hits")
     spans = _merge(F.concat(*[F.col(f"{n}.spans") for n in names]))
     found = F.array_distinct(F.concat(*[F.col(f"{n}.items") for n in names]))
-    return docs.withColumn("__hits", F.struct(F.col(f"{names[0]}.n_words").alias("n_words"), spans.alias("spans"), found.alias("items"))).drop(*names)
+    left = F.when(F.size(spans) > 0, _cut(F.col(text_col), spans)) if cut else F.lit(None).cast("string")
+    return docs.withColumn("__hits", F.struct(F.col(f"{names[0]}.n_words").alias("n_words"), spans.alias("spans"), found.alias("items"), left.alias("left"))).drop(*names)
 
 
 def hit_words(spans):
@@ -190,7 +193,7 @@ def cut_words(text: str, spans: list[int]) -> str:
 
 @F.pandas_udf(StringType())
 def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([cut_words(t, list(s)) for t, s in zip(texts, spans)], dtype=object)
+    return pd.Series([cut_words(t or "", list(s)) for t, s in zip(texts, spans)], dtype=object)
 
 
 def remove_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", **options) -> DataFrame:
@@ -200,12 +203,11 @@ def remove_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", le
     anew where the text changed, if there is such a column.
     """
     columns = docs.columns
-    found = with_matches(docs, items, text_col, **options)
-    hit = F.size("__hits.spans") > 0
-    clean = found.where(~hit).select(*columns)
-    mended = found.where(hit).withColumn("__left", _cut(F.col(text_col), F.col("__hits.spans")))
-    whole = (F.size("__hits.spans") == 2) & (F.element_at("__hits.spans", 1) == 0) & (F.element_at("__hits.spans", 2) == F.col("__hits.n_words"))
-    mended = mended.where(~whole).withColumn(text_col, F.col("__left"))
+    found = with_matches(docs, items, text_col, cut=True, **options)
+    spans, hit = F.col("__hits.spans"), F.size("__hits.spans") > 0
+    whole = (F.size(spans) == 2) & (F.get(spans, F.lit(0)) == 0) & (F.get(spans, F.lit(1)) == F.col("__hits.n_words"))
+    changed = {text_col: F.when(hit, F.col("__hits.left")).otherwise(F.col(text_col))}
     if length_col in columns:
-        mended = mended.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    return clean.unionByName(mended.select(*columns))
+        length = F.length("__hits.left").cast(docs.schema[length_col].dataType)
+        changed[length_col] = F.when(hit, length).otherwise(F.col(length_col))
+    return found.where(~whole).withColumns(changed).select(*columns)

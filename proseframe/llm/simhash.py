@@ -80,7 +80,9 @@ def near_pairs(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp, component_id, group) per row: component_id is the smallest id reachable over links, group a fingerprint that names the component.
+    """(id, key, fp, component_id, group) per row: component_id is the smallest id reachable over links.
+
+    ``group`` is a fingerprint that names the component, ``key`` a hash of id and text.
 
     Texts are read once and never shuffled: rows shrink to (id, fp), equal
     fingerprints to one row, and only those are indexed. A null or empty text,
@@ -89,37 +91,31 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     none of the group has one. Other columns are ignored. No rows give no rows.
     """
     small_batches(docs.sparkSession)
-    rows = write_through(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), shingle, seed).alias("fp")), "fingerprints")
+    rows = write_through(docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), fingerprint_column(F.col(text_col), shingle, seed).alias("fp")), "fingerprints")
     prints = write_through(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "prints")
     roots = connected(near_pairs(prints.select("fp"), distance)).select(F.col("node").alias("fp"), "root")
     grouped = prints.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     told = grouped.join(lowest, "root").select("fp", "component_id", F.col("root").alias("group"))
-    return rows.join(told, "fp").select("id", "fp", "component_id", "group")
+    return rows.join(told, "fp").select("id", "key", "fp", "component_id", "group")
+
+
+def row_key(id_col: str, text_col: str):
+    return F.xxhash64(id_col, text_col)
 
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3) -> DataFrame:
-    """``docs`` without near-duplicates: the row with the smallest id of each group stays.
+    """``docs`` without near-duplicates: one row of each group stays, one with the smallest id.
 
-    Ids that several rows share are looked at again by fingerprint: one row
-    stays in each group of which the id is the smallest. A row without an id
-    stays if no row of its group has one, once for each group. Only ids and
-    fingerprints are compared; texts are shuffled once, to meet the ids that stay.
+    Of rows that repeat an id, the one that lies in the group is found by a
+    hash of id and text; rows that repeat both are one. Where no row of a group
+    has an id, one of them stays. The decision is a narrow table; texts are
+    shuffled once, to meet it.
     """
-    groups = write_through(simhash_groups(docs, id_col, text_col, distance), "simhash-groups")
-    first = F.col("id") == F.col("component_id")
-    ids = groups.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.max(first).alias("stays"))
-    single = ids.where("n = 1 and stays").select(F.col("id").alias("__id"))
-    shared = ids.where("n > 1 and stays").select(F.col("id").alias("__id"))
-    chosen = groups.where(first | (F.col("id").isNull() & F.col("component_id").isNull())).groupBy("id", "group").agg(F.min("fp").alias("__kept"))
-    chosen = chosen.select(F.col("id").alias("__id"), "__kept")
-
-    def again(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-        printed = rows.withColumn("__fp", fingerprint_column(F.col(text_col)))
-        same = printed[id_col].eqNullSafe(wanted["__id"]) & (printed["__fp"] == wanted["__kept"])
-        return printed.join(wanted, same, "left_semi").dropDuplicates([id_col, "__fp"]).select(*docs.columns)
-
-    kept = docs.join(single, docs[id_col] == single["__id"], "left_semi")
-    repeated = docs.join(shared, docs[id_col] == shared["__id"], "left_semi")
-    unnamed = docs.where(F.col(id_col).isNull())
-    return kept.unionByName(again(repeated, chosen.where("__id is not null"))).unionByName(again(unnamed, chosen.where("__id is null")))
+    groups = simhash_groups(docs, id_col, text_col, distance)
+    first = (F.col("id") == F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())
+    chosen = groups.where(first).groupBy("group").agg(F.min(F.struct("key", "id")).alias("row"))
+    chosen = write_through(chosen.select(F.col("row.key").alias("__key"), F.col("row.id").alias("__id")), "simhash-kept")
+    keyed = docs.withColumn("__own", row_key(id_col, text_col))
+    same = (keyed["__own"] == chosen["__key"]) & keyed[id_col].eqNullSafe(chosen["__id"])
+    return keyed.join(chosen, same, "left_semi").dropDuplicates(["__own", id_col]).select(*docs.columns)

@@ -50,7 +50,7 @@ class WordEncoder:
     Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str | None = None, limit: int = 500_000):
+    def __init__(self, path: str | None = None, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path or tokenizer_path())
