@@ -196,8 +196,8 @@ def test_stream_clean_split_equals_batch(spark, tmp_path):
         (source / f"f{part}.jsonl").write_text("\n".join(lines))
         stream = jobs.samples_from_json_lines(spark.readStream.text(str(source)), "text", "id")
         jobs.stream_clean_split(stream.where("reason is null").drop("reason"), out, checkpoint, once=True).awaitTermination()
-    got = rows(spark.read.schema("sample_id bigint, text string, split string").parquet(out))
-    ids = spark.range(30).select(F.col("id").alias("sample_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    got = rows(spark.read.schema("sample_id string, text string, split string").parquet(out))
+    ids = spark.range(30).select(F.col("id").cast("string").alias("sample_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     assert got == rows(jobs.clean_and_split(ids).select("sample_id", "text", "split"))
 
 
