@@ -12,7 +12,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +31,7 @@ ALPHA = 0.1
 #: rates of the rounds of training; words per document and round; documents learned from at a time
 RATES, WINDOW, LANES = (0.02, 0.008, 0.003), 32, 128
 BLOCK = 4_000_000
+UNSEEN = -(1 << 30)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -81,12 +82,10 @@ class Vocabulary(NamedTuple):
 
     def read(self, words: list[bytes]) -> np.ndarray:
         """Head numbers of a text's words and its end; -1 - class for words that aren't in the head."""
-        get = self.words.get
-        found = [get(w) for w in words]
-        if None in found:
-            found = [-1 - word_class(w) if i is None else i for w, i in zip(words, found)]
-        found.append(0)
-        return np.array(found, dtype=np.int32)
+        found = np.fromiter(map(self.words.get, words, repeat(UNSEEN)), dtype=np.int32, count=len(words))
+        for at in np.flatnonzero(found == UNSEEN).tolist():
+            found[at] = -1 - word_class(words[at])
+        return np.append(found, np.int32(0))
 
     def for_net(self, numbers: np.ndarray) -> np.ndarray:
         return np.where(numbers >= 0, self.inputs[np.maximum(numbers, 0)], self.net.words - 1 - numbers)
@@ -215,23 +214,27 @@ def _scorer(vocab, known_end: bool):
 
         def flush() -> pd.DataFrame:
             nonlocal row, tokens
-            nets = score_texts(v.net, [v.for_net(r) for r in reads]) / np.log(10)
-            base, score = np.zeros(len(reads)), np.zeros(len(reads))
-            for i, r in enumerate(reads):
-                head = r[r >= 0]
-                logs = v.logs[head]
-                base[i] = logs.sum()
-                other = v.inputs[head] >= v.net.words
-                classes = np.concatenate([v.inputs[head[other]] - v.net.words, -1 - r[r < 0]])
-                score[i] = nets[i] + logs[other].sum() - v.class_logs[classes].sum()
+            sizes = np.array([len(r) for r in reads], dtype=np.int64)
+            flat, doc = np.concatenate(reads), np.repeat(np.arange(len(reads)), sizes)
+            inputs, head = v.for_net(flat), flat >= 0
+            other = inputs >= v.net.words
+            logs = np.where(head, v.logs[np.maximum(flat, 0)], 0.0)
+
+            def per_doc(values: np.ndarray, part=slice(None)) -> np.ndarray:
+                return np.bincount(doc[part], weights=values, minlength=len(reads))
+
+            nets = score_texts(v.net, np.split(inputs, np.cumsum(sizes)[:-1])) / np.log(10)
+            base = per_doc(logs)
+            score = nets + per_doc(logs[other] - v.class_logs[inputs[other] - v.net.words], other)
+            known = per_doc(head.astype(np.float64)).astype(np.int64) - (not known_end)
             ids, held = zip(*meta)
             out = pd.DataFrame(
                 {
                     "row": np.arange(row, row + len(reads)),
                     "doc_id": pd.array(ids, dtype="Int64"),
                     "held_out": held,
-                    "n_tokens": [len(r) for r in reads],
-                    "n_known": [int((r >= 0).sum()) - (not known_end) for r in reads],
+                    "n_tokens": sizes,
+                    "n_known": known,
                     "base": base,
                     "score": score,
                     "words": [" ".join(w.decode() for w in t) for t in tails],
