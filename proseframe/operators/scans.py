@@ -1,10 +1,14 @@
 """Running values per key that survive one key holding most of the rows.
 
 A plain window partitioned by run puts a hot run in one task. Here a run is cut
-into chunks of its order column; each chunk is reduced to one summary row, the
-summaries are scanned, and the result is carried into a window over
-(run, chunk). A chunk holds at most ``chunk`` rows because the order column is
-an integer that is unique within a run.
+into chunks; each chunk is reduced to one summary row, the summaries are
+scanned, and the result is carried into a window over (run, chunk).
+
+Chunks go by position: the rows are dealt out by ranges of (run, order) and
+written once, and the number of the range is the chunk (``positioned``). There
+are at most as many summaries as ranges plus runs, however dense or sparse the
+order column is. A caller whose order column is a dense integer may instead
+give the width of a chunk in that column, which saves the write.
 """
 
 from __future__ import annotations
@@ -15,7 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 100_000
+from proseframe.session import write_through
+
+#: by position
+CHUNK: int | str | None = None
+POSITION = "_position_chunk"
 FIRST_CHUNK = -(2**62)
 
 
@@ -62,15 +70,36 @@ def _combine(kind: str, carried: Column, inside: Column) -> Column:
     return F.coalesce(inside, carried)
 
 
+def positioned(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``df`` in ranges of (keys, order), written once, with the number of its range in ``POSITION``."""
+    dealt = df.repartitionByRange(*[F.col(k) for k in keys], F.col(order))
+    return write_through(dealt.withColumn(POSITION, F.spark_partition_id().cast("bigint")), "ranges")
+
+
+def in_chunks(df: DataFrame, keys: Sequence[str], order: str, chunk: int | str | None) -> DataFrame:
+    """``df`` with ``_chunk``: from a column that has it, from a width of the order column, else by position."""
+    if chunk is None:
+        return positioned(df, keys, order).withColumnRenamed(POSITION, "_chunk")
+    if isinstance(chunk, str):
+        return df.withColumn("_chunk", F.col(chunk))
+    return df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+
+
+def _named(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A null key is an error: it would not join with its summary."""
+    message = F.raise_error(F.lit(f"a key of {list(keys)} is null"))
+    return df.withColumns({k: F.coalesce(F.col(k), message.cast(df.schema[k].dataType)) for k in keys})
+
+
 def running_values(
     df: DataFrame,
     values: dict[str, Running],
     keys: Sequence[str],
     order: str,
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
     initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Add one column per running value. Keys must not be null.
+    """Add one column per running value. A null key is an error.
 
     The rows are shuffled once, by (keys, chunk), which the join and the window
     share; the summaries are partially aggregated before their shuffle.
@@ -80,7 +109,7 @@ def running_values(
     for v in values.values():
         if v.kind not in ("min", "max", "count", "last"):
             raise ValueError(f"unknown running value: {v.kind!r}")
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+    chunked = in_chunks(_named(df, keys), keys, order, chunk)
     for name, v in values.items():
         chunked = chunked.withColumn(f"_in_{name}", v.expr)
     parts = [*keys, "_chunk"]
@@ -111,10 +140,10 @@ def running_values(
 
 
 def key_minimum(
-    df: DataFrame, expr: Column, out: str, keys: Sequence[str], order: str, chunk: int = CHUNK
+    df: DataFrame, expr: Column, out: str, keys: Sequence[str], order: str, chunk: int | str | None = CHUNK
 ) -> DataFrame:
     """Add the minimum of ``expr`` over all rows of the key, joined per chunk for the same reason."""
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk))).withColumn("_v", expr)
+    chunked = in_chunks(_named(df, keys[:1]), keys, order, chunk).withColumn("_v", expr)
     parts = [*keys, "_chunk"]
     summary = chunked.groupBy(*parts).agg(F.min("_v").alias("_v"))
     whole = summary.select(*parts, F.min("_v").over(Window.partitionBy(*keys)).alias(out))
@@ -122,10 +151,10 @@ def key_minimum(
 
 
 def key_constants(
-    df: DataFrame, constants: DataFrame, keys: Sequence[str], order: str, chunk: int = CHUNK
+    df: DataFrame, constants: DataFrame, keys: Sequence[str], order: str, chunk: int | str | None = CHUNK
 ) -> DataFrame:
     """Add the columns of ``constants`` (one row per key), joined per chunk; null where a key is new."""
     parts = [*keys, "_chunk"]
-    chunked = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)))
+    chunked = in_chunks(df, keys, order, chunk)
     table = chunked.select(*parts).distinct().join(constants, list(keys), "left")
     return chunked.join(table, parts, "left").drop("_chunk")

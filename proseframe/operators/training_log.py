@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proseframe.operators.scans import CHUNK, Running, key_minimum, running_values
+from proseframe.operators.scans import CHUNK, POSITION, Running, key_minimum, positioned, running_values
 
 
 def better(value: Column, best: Column, greater_is_better: bool = False) -> Column:
@@ -26,7 +26,7 @@ def running_best(
     greater_is_better: bool = False,
     run: str = "run_id",
     order: str = "log_seq",
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
 ) -> DataFrame:
     """Add ``is_best`` and ``best_so_far``.
 
@@ -45,7 +45,7 @@ def progress(
     greater_is_better: bool = False,
     run: str = "run_id",
     order: str = "log_seq",
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
     initial: DataFrame | None = None,
 ) -> DataFrame:
     """``running_best`` plus ``strikes``, ``evals`` and ``last_reset``.
@@ -56,6 +56,9 @@ def progress(
     ``initial`` (run, best, evals, last_reset) continues from an earlier state.
     """
     kind = "max" if greater_is_better else "min"
+    given = log.columns
+    if chunk is None:  # both scans work on one table of ranges
+        log, chunk = positioned(log, [run], order), POSITION
     state = state2 = None
     if initial is not None:
         state = initial.select(run, F.col("best").alias("_prior"), "evals")
@@ -73,7 +76,8 @@ def progress(
     reset = F.when(value.isNotNull() & (prior.isNull() | beats), F.col("evals"))
     second = running_values(first, {"last_reset": Running("max", reset)}, [run], order, chunk, state2)
     marked = _mark_best(second, metric, greater_is_better).drop("_prior")
-    return marked.withColumn("strikes", F.coalesce(F.col("evals") - F.col("last_reset"), F.lit(0)))
+    marked = marked.withColumn("strikes", F.coalesce(F.col("evals") - F.col("last_reset"), F.lit(0)))
+    return marked if POSITION in given else marked.drop(POSITION)
 
 
 def early_stop(
@@ -84,7 +88,7 @@ def early_stop(
     greater_is_better: bool = False,
     run: str = "run_id",
     order: str = "log_seq",
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
 ) -> DataFrame:
     """Per run the position at which training stops, null if it never does."""
     rows = progress(log, metric, threshold, greater_is_better, run, order, chunk)
@@ -97,23 +101,26 @@ def early_stop(
 
 
 def last_known(
-    log: DataFrame, metric: str = "eval_loss", run: str = "run_id", order: str = "log_seq", chunk: int = CHUNK
+    log: DataFrame, metric: str = "eval_loss", run: str = "run_id", order: str = "log_seq", chunk: int | str | None = CHUNK
 ) -> DataFrame:
     """Add ``last_value``: the latest non-null value of the metric up to each row."""
     return running_values(log, {"last_value": Running("last", F.col(metric))}, [run], order, chunk)
 
 
 def elapsed(
-    log: DataFrame, ts: str = "ts", run: str = "run_id", epoch: str | None = "epoch", order: str = "log_seq", chunk: int = CHUNK
+    log: DataFrame, ts: str = "ts", run: str = "run_id", epoch: str | None = "epoch", order: str = "log_seq", chunk: int | str | None = CHUNK
 ) -> DataFrame:
     """Add seconds since the run started and, with ``epoch``, since the epoch started."""
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(1e6)
+    given = log.columns
+    if chunk is None:
+        log, chunk = positioned(log, [run], order), POSITION
     out = key_minimum(log.withColumn("_s", seconds), F.col("_s"), "_start", [run], order, chunk)
     out = out.withColumn("total_time", F.col("_s") - F.col("_start")).drop("_start")
     if epoch:
         out = key_minimum(out, F.col("_s"), "_start", [run, epoch], order, chunk)
         out = out.withColumn("epoch_time", F.col("_s") - F.col("_start")).drop("_start")
-    return out.drop("_s")
+    return out.drop("_s") if POSITION in given else out.drop("_s", POSITION)
 
 
 def training_summary(log: DataFrame, run: str = "run_id", order: str = "log_seq") -> DataFrame:

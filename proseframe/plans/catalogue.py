@@ -179,11 +179,11 @@ def roundtrip_jsonl(spark, sf):
     return _roundtrip(spark, sf, "jsonl")
 
 
-def jsonl_quarantine(spark, sf):
-    """A file of good, null, keyless, broken and plain lines, by language; counts per reason."""
+def _lines(spark, sf) -> DataFrame:
+    """A file of good, null, keyless, broken and plain lines, by language."""
     docs = table(spark, sf, "documents")
-    lines = docs.select(
-        F.when(F.col("lang") == "en", F.to_json(F.struct("text")))
+    return docs.select(
+        F.when(F.col("lang") == "en", F.to_json(F.struct("text", F.col("doc_id").alias("id"))))
         .when((F.col("lang") == "fr") & (F.col("n_chars") > 1500), F.lit('{"text": null}'))
         .when(F.col("lang") == "fr", F.lit('{"label": "x"}'))
         .when((F.col("lang") == "de") & (F.col("n_chars") > 1500), F.lit('{"text": "a"} tail'))
@@ -191,15 +191,14 @@ def jsonl_quarantine(spark, sf):
         .otherwise(F.lit("no JSON here"))
         .alias("value")
     )
+
+
+def jsonl_quarantine(spark, sf):
     path = shared_dir(spark, "lines")
-    lines.write.text(path)
+    _lines(spark, sf).write.text(path)
     samples, quarantine = read_samples(spark, path, fmt="jsonl")
-    return (
-        samples.select(F.lit("ok").alias("reason"))
-        .unionByName(quarantine.select("reason"))
-        .groupBy("reason")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    both = samples.select(F.lit("ok").alias("reason")).unionByName(quarantine.select("reason"))
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def prompt_lines(spark, sf):
@@ -618,34 +617,31 @@ def metric_log(events: DataFrame) -> DataFrame:
     )
 
 
-LOG_CHUNK = 1000  # small enough that the test tables span several chunks per run
-
-
 def running_best(spark, sf):
     log = metric_log(table(spark, sf, "events"))
-    out = training_log.running_best(log, chunk=LOG_CHUNK)
+    out = training_log.running_best(log)
     return out.select("run_id", "log_seq", "is_best", "best_so_far")
 
 
 def running_best_highest(spark, sf):
     log = metric_log(table(spark, sf, "events"))
-    out = training_log.running_best(log, greater_is_better=True, chunk=LOG_CHUNK)
+    out = training_log.running_best(log, greater_is_better=True)
     return out.where("is_best").select("run_id", "log_seq", F.col("best_so_far").alias("best"))
 
 
 def early_stop(spark, sf):
     log = metric_log(table(spark, sf, "events"))
-    return training_log.early_stop(log, threshold=0.5, chunk=LOG_CHUNK)
+    return training_log.early_stop(log, threshold=0.5)
 
 
 def last_known_metric(spark, sf):
     log = metric_log(table(spark, sf, "events"))
-    return training_log.last_known(log, chunk=LOG_CHUNK).select("run_id", "log_seq", "last_value")
+    return training_log.last_known(log).select("run_id", "log_seq", "last_value")
 
 
 def elapsed_time(spark, sf):
     log = metric_log(table(spark, sf, "events")).drop("total_time", "epoch_time")
-    out = training_log.elapsed(log, chunk=LOG_CHUNK)
+    out = training_log.elapsed(log)
     return rounded(out.select("run_id", "log_seq", "total_time", "epoch_time"), "total_time", "epoch_time")
 
 
@@ -685,6 +681,19 @@ def stream_clean_split(spark, sf):
     return spark.read.schema(schema).parquet(out).select("sample_id", F.md5("text").alias("text_md5"), "split")
 
 
+def stream_jsonl_quarantine(spark, sf):
+    """The lines of ``jsonl_quarantine``, three files as three micro-batches; counts per reason."""
+    path = shared_dir(spark, "stream-lines")
+    _lines(spark, sf).repartition(3).write.text(path)
+    out, bad, checkpoint = (shared_dir(spark, f"stream-{p}") for p in ("out", "quarantine", "checkpoint"))
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+    jobs.stream_json_lines(lines, out, bad, checkpoint, "text", "id", once=True).awaitTermination()
+    good = spark.read.schema("sample_id string, text string, label string, split string").parquet(out)
+    reasons = spark.read.schema("raw string, reason string").parquet(bad).select("reason")
+    both = good.select(F.lit("ok").alias("reason")).unionByName(reasons)
+    return both.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def stream_success_rate(spark, sf):
     rows = _stream(spark, sf, "events").select(
         "user_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("output")
@@ -699,7 +708,7 @@ def stream_success_rate(spark, sf):
 def stream_running_best(spark, sf):
     log = metric_log(_stream(spark, sf, "events"))
     out, state, checkpoint = (shared_dir(spark, f"stream-{p}") for p in ("out", "state", "checkpoint"))
-    jobs.stream_running_best(log, out, state, checkpoint, threshold=0.5, chunk=LOG_CHUNK, once=True).awaitTermination()
+    jobs.stream_running_best(log, out, state, checkpoint, threshold=0.5, once=True).awaitTermination()
     rows = spark.read.parquet(out)
     return rows.select("run_id", "log_seq", "is_best", "best_so_far", "strikes", "is_late")
 
@@ -785,6 +794,7 @@ QUERIES: dict[str, Query] = {
     "metric_log_roundtrip": metric_log_roundtrip,
     "latest_checkpoint": latest_checkpoint,
     "stream_clean_split": stream_clean_split,
+    "stream_jsonl_quarantine": stream_jsonl_quarantine,
     "stream_success_rate": stream_success_rate,
     "stream_running_best": stream_running_best,
 }

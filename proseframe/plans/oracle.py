@@ -343,6 +343,9 @@ ORACLES: dict[str, str] = {
     "roundtrip_json": _ROUNDTRIP,
     "roundtrip_jsonl": _ROUNDTRIP,
     "jsonl_quarantine": """SELECT reason, count(*) AS n_rows FROM (
+    SELECT CASE WHEN lang = 'en' THEN 'ok' WHEN lang = 'fr' AND n_chars > 1500 THEN 'text is null'
+      WHEN lang = 'fr' THEN 'text key missing' ELSE 'not a JSON object' END AS reason FROM documents) GROUP BY reason""",
+    "stream_jsonl_quarantine": """SELECT reason, count(*) AS n_rows FROM (
     SELECT CASE WHEN lang = 'en' THEN 'ok' WHEN lang = 'fr' AND n_chars > 1500 THEN 'text is null'
       WHEN lang = 'fr' THEN 'text key missing' ELSE 'not a JSON object' END AS reason FROM documents) GROUP BY reason""",
     "prompt_lines": f"""SELECT prompt, count(*) AS n_rows FROM (

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from proseframe.operators.cleaning import clean_samples
-from proseframe.operators.scans import CHUNK, key_constants
+from proseframe.operators.scans import CHUNK, POSITION, key_constants, positioned
 from proseframe.operators.splits import hash_split_column
 from proseframe.operators.training_log import progress
+from proseframe.session import remove
 from proseframe.sources.samples import parse_json_lines
 
 
@@ -43,6 +44,25 @@ def stream_clean_split(
     return _start(writer, checkpoint, once)
 
 
+def stream_json_lines(
+    lines: DataFrame, out: str, quarantine: str, checkpoint: str, text_col: str, id_col: str, label_col: str | None = None, once: bool = False, **options
+) -> StreamingQuery:
+    """Clean and split JSON Lines; lines without usable text go to ``quarantine`` with their reason.
+
+    Each micro-batch overwrites its own folder on both sides, so a repeated batch changes nothing.
+    """
+    parsed = parse_json_lines(lines, text_col, label_col, id_col)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        good = batch.where(F.col("_reason").isNull())
+        good = good.select(F.col("_id").alias("sample_id"), F.col("_text").alias("text"), F.col("_label").alias("label"))
+        clean_and_split(good, **options).write.mode("overwrite").partitionBy("split").parquet(f"{out}/batch={batch_id}")
+        bad = batch.where(F.col("_reason").isNotNull()).select(F.col("value").alias("raw"), F.col("_reason").alias("reason"))
+        bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+
+    return _start(parsed.writeStream.outputMode("append").foreachBatch(publish), checkpoint, once)
+
+
 def latest_groups(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
     """The newest row of every group written by ``stream_metrics``."""
     table = spark.read.parquet(path)
@@ -84,7 +104,7 @@ def advance_runs(
     threshold: float = 0.001,
     run: str = "run_id",
     order: str = "log_seq",
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
 ) -> DataFrame:
     """The rows of one micro-batch with running best and strikes, continued from ``state``.
 
@@ -144,15 +164,15 @@ def stream_running_best(
     threshold: float = 0.001,
     run: str = "run_id",
     order: str = "log_seq",
-    chunk: int = CHUNK,
+    chunk: int | str | None = CHUNK,
     once: bool = False,
 ) -> StreamingQuery:
     """Running best and early stop over a log stream.
 
     The state is a table with one row per run and one version per micro-batch.
     A micro-batch reads version n-1 and overwrites its own output and version
-    n, so a repeated batch gives the same tables. Versions before n-1 are no
-    longer needed.
+    n, so a repeated batch gives the same tables. Versions before n-1 are
+    removed. Bound a micro-batch at its source (``maxFilesPerTrigger``).
     """
 
     def advance(batch: DataFrame, batch_id: int) -> None:
@@ -162,12 +182,15 @@ def stream_running_best(
         if batch_id > 0:
             state = session.read.schema(schema).parquet(f"{state_dir}/version={batch_id - 1}")
         path = f"{out}/batch={batch_id}"
-        batch.persist()  # read by each of the scans below
-        rows = advance_runs(batch, state, metric, greater_is_better, patience, threshold, run, order, chunk)
+        width = chunk
+        if chunk is None:  # written once, read by each of the scans below; the batch is never held in memory
+            batch, width = positioned(batch, [run], order), POSITION
+        rows = advance_runs(batch, state, metric, greater_is_better, patience, threshold, run, order, width).drop(POSITION)
         rows.write.mode("overwrite").parquet(path)
         written = session.read.schema(rows.schema).parquet(path)
         merged = merge_state(state, written, metric, greater_is_better, run, order)
         merged.write.mode("overwrite").parquet(f"{state_dir}/version={batch_id}")
-        batch.unpersist()
+        if batch_id > 1:  # a repeated batch reads version n-1 at most
+            remove(session, f"{state_dir}/version={batch_id - 2}")
 
     return _start(log.writeStream.outputMode("append").foreachBatch(advance), checkpoint, once)
