@@ -65,13 +65,17 @@ def complete_with_fallback(
     delay: float = 0.5,
     options: dict | None = None,
     sleep: Callable[[float], None] = time.sleep,
+    carry: Sequence[str] = (),
+    max_parallel: int | None = None,
 ) -> DataFrame:
     """Try the providers in order; the first non-empty output of a prompt wins.
 
     A list gives the order itself; a mapping is tried in the order of ``PROVIDERS``.
     One pass over the prompts: a later provider sees only the prompts of the
     batch that are still empty. ``attempts`` and ``error`` are those of the last
-    provider tried. All fail: ``output`` and ``provider`` are null.
+    provider tried. All fail: ``output`` and ``provider`` are null. Columns
+    named in ``carry`` come along, so that nothing has to be joined back. At
+    most ``max_parallel`` tasks call at the same time.
     """
     table = dict(providers)
     names = list(table)
@@ -105,9 +109,13 @@ def complete_with_fallback(
                         won = output is not None and (output != "" or len(order) == 1)
                         done[i] = (name if won else None, output if won else None, attempts, error)
                 rows += [(ids[i], *done[i]) for i in part]
-            yield pd.DataFrame(rows, columns=["prompt_id", "provider", "output", "attempts", "error"])
+            answered = pd.DataFrame(rows, columns=["prompt_id", "provider", "output", "attempts", "error"])
+            yield answered.assign(**{c: pdf[c].array for c in carry})
 
-    return prompts.select("prompt_id", "prompt").mapInPandas(run, COMPLETION)
+    sent = prompts.select("prompt_id", "prompt", *carry)
+    carried = "".join(f", `{c}` {sent.schema[c].dataType.simpleString()}" for c in carry)
+    result = f"prompt_id {sent.schema['prompt_id'].dataType.simpleString()}, {COMPLETION}{carried}"
+    return (sent.coalesce(max_parallel) if max_parallel else sent).mapInPandas(run, result)
 
 
 def complete(prompts: DataFrame, fn: Fn, provider: str = "local", **settings) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from proseframe.operators.scans import POSITION, positioned
+
 BUCKET_DIGITS = 4
 
 
@@ -92,6 +94,17 @@ def global_rank(df: DataFrame, id_col: str = "sample_id", seed: int = 42, out: s
     )
 
 
+def numbered(df: DataFrame, order: str, out: str = "number") -> DataFrame:
+    """Add the 1-based place in the order of a column: places within ranges, and the rows before each range."""
+    ranges = positioned(df, [], order)
+    sizes = ranges.groupBy(POSITION).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per task that wrote a range
+    before = sizes.select(POSITION, (F.sum("_n").over(Window.orderBy(POSITION)) - F.col("_n")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(POSITION).orderBy(order))
+    placed = ranges.withColumn("_place", inside).join(before, POSITION)
+    return placed.withColumn(out, F.col("_place") + F.col("_before")).drop(POSITION, "_place", "_before")
+
+
 def batch_number(df: DataFrame, batch_size: int, id_col: str = "sample_id", seed: int = 42) -> DataFrame:
     """Add ``batch``: rows in shuffle order, ``batch_size`` at a time, from 0."""
     ranked = global_rank(df, id_col, seed, out="_rank")

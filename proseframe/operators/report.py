@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from proseframe.operators.ranks import numbered
 from proseframe.operators.splits import first_k
 from proseframe.schemas import SPLITS
 
@@ -77,13 +78,15 @@ def metric_lines(metrics: DataFrame, title: str, facts: Mapping[str, str]) -> Da
 
 
 def listing_lines(rows: DataFrame) -> DataFrame:
-    """One text block per input with its outputs; the number is the id plus one."""
+    """One text block per input with its outputs, numbered from 1 in the order of the ids."""
+    rows = numbered(rows, "prompt_id")
     remote = F.when(F.col("remote_output").isNotNull(), F.concat(F.lit("\nRemote Output: "), F.col("remote_output")))
     return rows.select(
         "prompt_id",
+        "number",
         F.concat(
             F.lit("Example "),
-            (F.col("prompt_id") + 1).cast("string"),
+            F.col("number").cast("string"),
             F.lit(":\nInput: "),
             F.col("input"),
             F.lit("\nLocal Output: "),

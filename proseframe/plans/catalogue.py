@@ -236,6 +236,36 @@ def load_named_path(spark, sf):
     return load_named(spark, f"{sf}/documents.parquet", text_col="text", label_col="lang").select("doc_id", "text", "label")
 
 
+def suffix_dispatch(spark, sf):
+    """Each language in a file of another format, read by its suffix."""
+    path, docs, found = shared_dir(spark, "suffixes"), _documents(spark, sf), None
+    for lang, fmt in (("en", "csv"), ("fr", "tsv"), ("de", "json"), ("es", "jsonl")):
+        writers.write_samples(docs.where(F.col("label") == lang), f"{path}/part.{fmt}", fmt)
+        part = read_samples(spark, f"{path}/part.{fmt}", "text", "label", id_col="sample_id")[0]
+        found = part if found is None else found.unionByName(part)
+    return found.withColumn("sample_id", F.col("sample_id").cast("bigint"))
+
+
+def json_values(spark, sf):
+    """Numbers, booleans and objects where a text or label is expected."""
+    docs = table(spark, sf, "documents")
+    kind = F.col("doc_id") % 3
+    text = F.when(kind == 0, F.col("doc_id").cast("string")).when(kind == 1, F.lit("true")).otherwise(F.concat(F.lit('{"n":'), F.col("n_chars").cast("string"), F.lit("}")))
+    lines = docs.select(F.concat(F.lit('{"id": '), F.col("doc_id").cast("string"), F.lit(', "text": '), text, F.lit(', "label": [1, 2.5]}')).alias("value"))
+    path = shared_dir(spark, "json-values")
+    lines.write.text(path)
+    return read_samples(spark, path, "text", "label", fmt="jsonl", id_col="id")[0]
+
+
+def listing_report(spark, sf):
+    """The listing of inference results as a text file, its lines read back."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("source").alias("prompt"), F.col("lang").alias("output"))
+    path = shared_dir(spark, "listing")
+    rows = writers.inference_rows(docs)
+    writers.write_listing(report.listing_lines(rows), path)
+    return spark.read.text(path).where("value <> ''").groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def directory_scan(spark, sf):
     """A folder with files of two formats: the first format in the fixed order is read, by suffix."""
     path = shared_dir(spark, "folder")
@@ -559,6 +589,28 @@ def evaluate_by_model(spark, sf):
     return rounded(evaluate_predictions(rows, "classification", by=["model"]), "value")
 
 
+class _EveryOtherCallFails:
+    """A service that answers each second call only."""
+
+    def __init__(self):
+        self.calls = 0
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        self.calls += 1
+        if self.calls % 2:
+            raise ConnectionError("busy")
+        return [str(len(p)) for p in prompts]
+
+
+def _no_wait(seconds: float) -> None:
+    pass
+
+
+def retry_attempts(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt"))
+    return complete(docs, _EveryOtherCallFails(), delay=0, batch_size=64, sleep=_no_wait).select("prompt_id", "output", "attempts", "error")
+
+
 def _source_language(prompts: list[str]) -> list[str | None]:
     return [None if p.endswith("9") else ("fr" if p.endswith("3") else "en") for p in prompts]
 
@@ -743,6 +795,9 @@ QUERIES: dict[str, Query] = {
     "named_dataset": named_dataset,
     "load_named_path": load_named_path,
     "directory_scan": directory_scan,
+    "suffix_dispatch": suffix_dispatch,
+    "json_values": json_values,
+    "listing_report": listing_report,
     "resolved_dataset": resolved_dataset,
     "synthetic_classification": synthetic_classification,
     "synthetic_completion": synthetic_completion,
@@ -780,6 +835,7 @@ QUERIES: dict[str, Query] = {
     "provider_fallback": provider_fallback,
     "batch_complete": batch_complete,
     "complete_fallback": complete_fallback,
+    "retry_attempts": retry_attempts,
     "evaluate_completions": evaluate_completions,
     "evaluate_by_model": evaluate_by_model,
     "encode_fixed_length": encode_fixed,

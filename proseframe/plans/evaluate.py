@@ -24,9 +24,9 @@ def predictions_for(dataset: DataFrame, fn: Fn, id_col: str = "sample_id", **set
     not be asked for again.
     """
     rows = resolve_pair_columns(dataset).select(F.col(id_col).alias("row_id"), "input", "reference")
-    prompts = rows.select(F.col("row_id").alias("prompt_id"), F.col("input").alias("prompt"))
-    done = write_through(complete(prompts, fn, **settings), "completions")
-    return rows.join(done.select(F.col("prompt_id").alias("row_id"), F.col("output").alias("prediction"), "error"), "row_id")
+    prompts = rows.select(F.col("row_id").alias("prompt_id"), F.col("input").alias("prompt"), "input", "reference")
+    done = write_through(complete(prompts, fn, carry=["input", "reference"], **settings), "completions")
+    return done.select(F.col("prompt_id").alias("row_id"), "input", "reference", F.col("output").alias("prediction"), "error")
 
 
 def evaluate_predictions(

@@ -358,6 +358,13 @@ ORACLES: dict[str, str] = {
       row_number() OVER (ORDER BY md5('42-' || user_id) || md5(event_id::VARCHAR)) AS rk FROM events)""",
     "load_named_path": "SELECT doc_id, text, lang AS label FROM documents",
     "directory_scan": _ROUNDTRIP,
+    "suffix_dispatch": _ROUNDTRIP,
+    "json_values": """SELECT doc_id::VARCHAR AS sample_id, CASE doc_id % 3 WHEN 0 THEN doc_id::VARCHAR WHEN 1 THEN 'true'
+      ELSE '{"n":' || n_chars || '}' END AS text, '[1,2.5]' AS label FROM documents""",
+    "listing_report": """WITH n AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS number FROM documents)
+  SELECT line, count(*) AS n_lines FROM (SELECT 'Example ' || number || ':' AS line FROM n UNION ALL SELECT 'Input: ' || source FROM n
+    UNION ALL SELECT 'Local Output: ' || lang FROM n UNION ALL SELECT repeat('-', 80) FROM n) GROUP BY line""",
+    "retry_attempts": "SELECT doc_id AS prompt_id, length(text)::VARCHAR AS output, 2 AS attempts, NULL::VARCHAR AS error FROM documents",
     "pair_strict": "SELECT doc_id AS row_id, lang AS prediction, source AS reference FROM documents",
     "compare_models_null_value": _comparison("'rouge1_fmeasure', 'accuracy', 'bleu'", "metric NOT IN ('total_examples', 'accuracy')"),
     "evaluate_by_model": """WITH scored AS (SELECT lang AS reference, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS model,

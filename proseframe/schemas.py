@@ -3,7 +3,8 @@
 SAMPLE = "sample_id bigint, text string, label string"
 QUARANTINE = "source_file string, raw string, reason string"
 PROMPT = "prompt_id bigint, prompt string"
-COMPLETION = "prompt_id bigint, provider string, output string, attempts int, error string"
+# after the prompt's id, of whatever type it is
+COMPLETION = "provider string, output string, attempts int, error string"
 METRIC_LOG = (
     "run_id string, log_seq bigint, epoch double, step bigint, train_loss double, "
     "eval_loss double, eval_perplexity double, learning_rate double, "

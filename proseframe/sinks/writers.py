@@ -73,6 +73,11 @@ def write_report(df: DataFrame, path: str, fmt: str = "json", mode: str = "error
         raise ValueError(f"unsupported report format: {fmt!r}")
 
 
+def write_listing(blocks: DataFrame, path: str, mode: str = "error") -> None:
+    """The blocks of ``listing_lines`` as text files in the order of their numbers, any number of them."""
+    blocks.repartitionByRange("number").sortWithinPartitions("number").select("line").write.mode(mode).text(path)
+
+
 def inference_rows(outputs: DataFrame) -> DataFrame:
     """Input, output and word counts; the remote fields only where there is remote output."""
     remote = F.nullif(F.col("remote_output"), F.lit("")) if "remote_output" in outputs.columns else F.lit(None).cast("string")
