@@ -234,3 +234,36 @@ def test_stream_running_best_over_batches_equals_walk(spark, tmp_path):
     assert {(r["run_id"], r["log_seq"]): (r["is_best"], r["best_so_far"], r["strikes"]) for r in fresh} == seen
     final = {r["run_id"]: r["stop_at"] for r in spark.read.parquet(f"{state}/version=2").collect()}
     assert {k: v for k, v in final.items() if v is not None} == stop
+
+
+def test_encode_repeated_rows_and_tokens(spark):
+    df = spark.createDataFrame([(7, "x y x", "y"), (7, "y", None), (7, None, "x"), (7, "x y x", "y")], "sample_id int, text string, label string")
+    vocabulary = spark.createDataFrame([("x", 5), ("y", 6)], "token string, token_id int")
+    for how in ("broadcast", "shuffle_merge"):
+        got = encode_fixed_length(df, vocabulary.hint(how), max_length=3)
+        assert got.count() == 4
+        ids = sorted(str((r["input_ids"], r["labels"])) for r in got.collect() if r["text"])
+        assert ids == sorted(["([5, 6, 5], [6, 0, 0])"] * 2 + ["([6, 0, 0], [6, 0, 0])"])
+        twice = vocabulary.union(vocabulary.limit(1))
+        with pytest.raises(Exception, match="more than once"):
+            encode_fixed_length(df, twice.hint(how), max_length=3).collect()
+
+
+def test_chunks_by_position_are_few(spark):
+    from proseframe.operators.scans import POSITION, positioned
+
+    sparse = spark.range(20_000).select((F.col("id") % 50).cast("string").alias("run_id"), (F.col("id") * 1_000_003).alias("log_seq"))
+    table = positioned(sparse, ["run_id"], "log_seq")
+    assert table.select("run_id", POSITION).distinct().count() <= 50 + table.select(POSITION).distinct().count()
+    wide = positioned(spark.range(1000).select(F.lit("hot").alias("run_id"), F.col("id").alias("log_seq")).repartition(4), ["run_id"], "log_seq")
+    order = [r[0] for r in wide.groupBy(POSITION).agg(F.min("log_seq").alias("m")).orderBy("m").collect()]
+    assert order == sorted(order)
+
+
+def test_parallel_bound_and_carried_columns(spark):
+    from proseframe.operators.complete import complete
+
+    df = spark.createDataFrame([("a", "p", 1), ("b", "q", 2)], "prompt_id string, prompt string, n int").repartition(4)
+    got = complete(df, lambda prompts: [p + "!" for p in prompts], delay=0, carry=["n"], max_parallel=2)
+    assert got.rdd.getNumPartitions() <= 2
+    assert sorted((r["prompt_id"], r["output"], r["n"]) for r in got.collect()) == [("a", "p!", 1), ("b", "q!", 2)]

@@ -99,3 +99,20 @@ def test_summary(spark):
     assert got["source"] == "x" and got["options"] == {"clean": True, "max": None}
     assert got["dataset_sizes"] == {"train": 8, "validation": 1, "test": 1}
     assert math.isclose(sum(got["dataset_sizes"].values()), 10)
+
+
+def test_repeated_and_missing_ids(spark):
+    rows_ = [("u-1", i) for i in range(8)] + [("u-2", 0), ("u-3", 1)]
+    df = spark.createDataFrame(rows_, "sample_id string, n int")
+    for n in range(1, 11):
+        assert sample_exact(df, n, ties=["n"]).count() == n
+    counts = {r["split"]: r["n_rows"] for r in split_counts(split_exact(df, 0.5, 0.3, 0.2, ties=["n"])).collect()}
+    assert counts == {"train": 5, "validation": 3, "test": 2}
+    # whether the cut falls between rows of one id depends on the order: it is exact or an error, never silently off
+    for n in range(1, 10):
+        try:
+            assert sample_exact(df, n).count() == n
+        except Exception as e:
+            assert "ties" in str(e)
+    with pytest.raises(Exception, match="null"):
+        sample_exact(spark.createDataFrame([(None, 1), ("a", 2)], "sample_id string, n int"), 1).collect()
