@@ -141,10 +141,11 @@ def identify(rows: DataFrame, model: TextModel, text: str = "text", declared: st
     overall = (counts + 1) / (total + width)
 
     domains = _counts(narrow, ["__domain"], [f"d{i}" for i in range(width)])
-    hosts = narrow.groupBy("__host").agg(F.first("__domain").alias("__domain"), *[F.count(F.when(F.col("guess") == i, 1)).cast("double").alias(f"h{i}") for i in range(width)])
+    hosts = narrow.groupBy("__host", "__domain").agg(*[F.count(F.when(F.col("guess") == i, 1)).cast("double").alias(f"h{i}") for i in range(width)])
     in_domain = sum(F.col(f"d{i}") for i in range(width))
     shares = [F.when(F.col("__domain") == "", F.lit(float(p))).otherwise((F.col(f"d{i}") + STRENGTH * float(p)) / (in_domain + STRENGTH)).alias(f"p{i}") for i, p in enumerate(overall)]
     hosts = hosts.join(domains, "__domain").select("__host", *[f"h{i}" for i in range(width)], *shares)
+    hosts = write_through(hosts, "language-hosts")  # so that the join below is free to split a hot host
 
     def evidence(column: str, prefix: str) -> DataFrame:
         """log P(value | language) for each value, smoothed towards P(value)."""
