@@ -9,6 +9,7 @@ slower with a shuffle on top, and the subsequence length has no built-in form.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -59,19 +60,20 @@ def closest_length(n: int, lengths: list[int]) -> int:
 def rouge_counts_udf(orders: list[int], with_lcs: bool, use_stemmer: bool):
     """(prediction line, reference line) to [tokens, tokens, overlap per order, lcs]; null for a null text."""
     @F.pandas_udf("array<int>")
-    def counts(predictions: pd.Series, references: pd.Series) -> pd.Series:
-        stemmed = caching_stemmer() if use_stemmer else None
-        out = []
-        for left, right in zip(predictions, references):
+    def counts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        stemmed = caching_stemmer() if use_stemmer else None  # one cache for all batches of a task
+
+        def row(left: str | None, right: str | None) -> list[int] | None:
             if left is None or right is None:
-                out.append(None)
-                continue
+                return None
             p, r = left.split(), right.split()
             if stemmed:
                 p, r = stemmed(p), stemmed(r)
-            row = [len(p), len(r)] + [overlap(gram_counts(p, n), gram_counts(r, n)) for n in orders]
-            out.append(row + [lcs_length(p, r)] if with_lcs else row)
-        return pd.Series(out, dtype=object)
+            found = [len(p), len(r)] + [overlap(gram_counts(p, n), gram_counts(r, n)) for n in orders]
+            return found + [lcs_length(p, r)] if with_lcs else found
+
+        for predictions, references in batches:
+            yield pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
 
     return counts
 
