@@ -3,13 +3,15 @@
 Two codebooks, one for each half of the vectors, span a grid of cells. Each
 vector is stored in its nearest cell and searches the cells nearest to it in
 order of distance (multi-sequence traversal) up to a margin that a query sample,
-compared with all rows, shows to reach the target recall. Every candidate is
-verified by its cosine in double precision.
+compared with all rows, shows to reach the target recall. Where links are too
+rare for that, the margin is the one beyond which no link can lie. Every
+candidate is verified by its cosine in double precision.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -28,25 +30,41 @@ CHUNK = 2000
 #: width of a step of the margin's histogram
 STEP = 1 / 128
 SAMPLE, QUERIES = 8192, 256
+#: queries compared with all rows at most, where few of them have links
+MOST = 16384
 
 
 class Grid(NamedTuple):
-    """The codebooks of the two halves and the margin up to which cells are visited."""
+    """The codebooks of the two halves and the margin up to which cells are visited.
+
+    With ``planes`` distances are those to the planes halfway between the
+    nearest centre and each other one. What is stored beyond a plane is at
+    least that far away, so a margin of the largest squared distance of linked
+    vectors loses no link.
+    """
 
     first: np.ndarray
     second: np.ndarray
     margin: float
+    planes: bool = False
 
     def distances(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances of the halves of unit vectors to their centres."""
+        """Squared distances of the halves of unit vectors to their centres (or planes)."""
         cut = self.first.shape[1]
-        return _squares(units[:, :cut], self.first), _squares(units[:, cut:], self.second)
+        squares = _squares(units[:, :cut], self.first), _squares(units[:, cut:], self.second)
+        return (_to_planes(squares[0], self.first), _to_planes(squares[1], self.second)) if self.planes else squares
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1)[None, :]
 
 
+def _to_planes(squares: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances to the planes, never too large where centres (almost) coincide; 0 for the nearest centre."""
+    apart = np.sqrt(np.maximum(_squares(centres, centres), 1e-8))[squares.argmin(axis=1)]
+    return ((squares - squares.min(axis=1)[:, None]) / (2 * apart)) ** 2
+
+
 def unit_rows(raw, kind: str) -> np.ndarray:
     """Vectors from their bytes, in double precision, scaled to length 1 (scaled down first, lest squares overflow)."""
     x = np.frombuffer(b"".join(raw), dtype=kind).astype(np.float64).reshape(len(raw), -1)
@@ -119,36 +137,64 @@ def _raw(column, kind: str):
 
 
 def fit_grid(classes: DataFrame, n: int, kind: str, threshold: float, recall: float, per_cell: int, most_centres: int) -> Grid:
-    """Codebooks from at most ``SAMPLE`` vectors, margin from at most ``QUERIES`` of them compared with all rows.
-
-    Each comparison's links are counted by how far beyond its nearest cell a
-    query would have had to go, once per link and once per query with links;
-    the margin reaches ``recall`` by either count. Only counts per step travel.
+    """Codebooks from at most ``SAMPLE`` vectors, margin from ``QUERIES`` to ``MOST`` of them compared with all rows.
+
+    Each comparison's links with other classes are counted by how far beyond
+    its nearest cell a query would have had to go, once per link and once per
+    query with links; the margin reaches ``recall`` by either count. Only counts
+    per step travel. More queries are compared until 1 / (1 - recall) of them
+    have links or every class has been one; where ``MOST`` don't suffice, the
+    grid is coarser and its margin loses no link.
     """
-    chosen = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("raw").collect()
-    units = unit_rows([bytes(r["raw"]) for r in chosen], kind)
-    centres = int(min(max(2, round((n / per_cell) ** 0.5)), most_centres))
+    chosen = classes.orderBy(F.xxhash64("cid"), "cid").limit(max(SAMPLE, MOST)).select("cid", "raw").collect()
+    units, names = unit_rows([bytes(r["raw"]) for r in chosen], kind), np.array([r["cid"] for r in chosen], dtype=np.int64)
     cut = max(1, units.shape[1] // 2)
-    second = units[:, cut:] if units.shape[1] > 1 else np.zeros((len(units), 1))
-    grid = Grid(k_means(units[:, :cut], centres), k_means(second, centres) if units.shape[1] > 1 else np.zeros((1, 0)), 0.0)
-    queries = units[:QUERIES]
+
+    def codebooks(size: int) -> Grid:
+        centres = int(min(max(2, round((n / size) ** 0.5)), most_centres))
+        first = k_means(units[:SAMPLE, :cut], centres)
+        return Grid(first, k_means(units[:SAMPLE, cut:], centres) if units.shape[1] > 1 else np.zeros((1, 0)), 0.0)
+
+    grid = codebooks(per_cell)
     spark = classes.sparkSession
-    shared = spark.sparkContext.broadcast((grid, queries))
 
-    def margins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grid, queries = shared.value
-        q1, q2 = grid.distances(queries)
-        own = q1.min(axis=1) + q2.min(axis=1)
-        for batch in batches:
-            x = unit_rows([bytes(r) for r in batch["raw"]], kind)
-            q, m = np.nonzero(queries @ x.T >= threshold)
-            d1, d2 = grid.distances(x)
-            need = q1[q, d1.argmin(axis=1)[m]] + q2[q, d2.argmin(axis=1)[m]] - own[q]
-            steps = np.ceil(np.maximum(need, 0) / STEP).astype(np.int64)
-            keys, counts = np.unique(np.column_stack([q, steps]), axis=0, return_counts=True)
-            yield pd.DataFrame({"q": keys[:, 0], "step": keys[:, 1], "n": counts})
-
-    found = classes.select("raw").mapInPandas(margins, "q bigint, step bigint, n bigint").groupBy("q", "step").agg(F.sum("n").alias("n")).toPandas()
+    def measured(since: int, until: int) -> pd.DataFrame:
+        shared = spark.sparkContext.broadcast((grid, units[since:until], names[since:until]))
+
+        def margins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            grid, every, asking = shared.value
+            for batch in batches:
+                x, cid = unit_rows([bytes(r) for r in batch["raw"]], kind), batch["cid"].to_numpy()
+                d1, d2 = grid.distances(x)
+                home1, home2 = d1.argmin(axis=1), d2.argmin(axis=1)
+                for at in range(0, len(every), QUERIES):
+                    queries = every[at : at + QUERIES]
+                    q, m = np.nonzero(queries @ x.T >= threshold)
+                    other = asking[at + q] != cid[m]
+                    q, m = q[other], m[other]
+                    if not len(q):
+                        continue
+                    q1, q2 = grid.distances(queries)
+                    need = q1[q, home1[m]] + q2[q, home2[m]] - (q1.min(axis=1) + q2.min(axis=1))[q]
+                    steps = np.ceil(np.maximum(need, 0) / STEP).astype(np.int64)
+                    keys, counts = np.unique(np.column_stack([q, steps]), axis=0, return_counts=True)
+                    yield pd.DataFrame({"q": since + at + keys[:, 0], "step": keys[:, 1], "n": counts})
+
+        links = classes.select("cid", "raw").mapInPandas(margins, "q bigint, step bigint, n bigint")
+        found = links.groupBy("q", "step").agg(F.sum("n").alias("n")).toPandas()
+        shared.unpersist()
+        return found
+
+    most = min(MOST, len(units)) if recall < 1 else 0
+    enough = round(1 / (1 - recall)) if recall < 1 else 1
+    found, done, linked = pd.DataFrame({"q": [], "step": [], "n": []}).astype("int64"), 0, 0
+    while linked < enough and done < most:
+        goal = QUERIES if not done else most if not linked else max(2 * done, math.ceil(1.25 * enough * done / linked))
+        goal = min(goal, most)
+        found = pd.concat([found, measured(done, goal)])
+        done, linked = goal, found["q"].nunique()
+    if linked < enough and done < n:
+        return codebooks(max(per_cell, CHUNK))._replace(margin=2 - 2 * threshold + 1e-6, planes=True)
     if not len(found):
         return grid
     found["share"] = found["n"] / found.groupby("q")["n"].transform("sum")

@@ -106,6 +106,22 @@ def test_vectors(spark, monkeypatch):
     assert near_vectors(data.limit(0)).count() == 0 and near_vectors(data.where("vec_id is null")).count() == 1
 
 
+@pytest.mark.parametrize("most", [None, 64, 1])
+def test_rare_links_across_cells(spark, monkeypatch, most):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((3000, 32))
+    for i in range(10):
+        at = rng.standard_normal(32)
+        at -= x[i] * (at @ x[i]) / (x[i] @ x[i])
+        x[2000 + i] = x[i] / np.linalg.norm(x[i]) + (0.3, 0.32)[i % 2] * at / np.linalg.norm(at)
+    if most:  # too few queries to measure anything: no link may be lost
+        monkeypatch.setattr(vectors, "MOST", most)
+        monkeypatch.setattr(vectors, "CHUNK", 100)
+    data = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], "vec_id bigint, embedding array<float>").repartition(3)
+    got = {r.id: (r.n_links, r.component_id) for r in near_vectors(data, per_cell=10).collect()}
+    assert got == {i: (1, i % 2000) if i % 2000 < 10 and i < 2010 else (0, i) for i in range(3000)}
+
+
 def test_rules(spark):
     urls = [None, "", "no scheme", "http://x.ORG", "HTTP://x.org/es/1", "http://a.example.org/es/1", "https://example.org/en/1?x", "http://example.org/en/2#y", "http://myexample.org/es/", "a://b://c.com/fr/q?r", "http://com/de/", "http://x.com/de", "http://x.com/de/", "http://x.com/it", "http://u@h:80/p\nq?", "http://x.org?/"]
     pages = spark.createDataFrame([(i, u, None, "r") for i, u in enumerate(urls)], "page_id int, url string, html string, rule string")
