@@ -8,6 +8,8 @@ other words the second factor is left to the caller.
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import numpy as np
@@ -114,10 +116,15 @@ def log_probabilities(net: Net, states: np.ndarray, targets: np.ndarray) -> np.n
 
 
 def window_gradient(net: Net, inputs: np.ndarray, targets: np.ndarray, weight: np.ndarray, h: np.ndarray) -> tuple[Net, np.ndarray, float]:
-    """Gradient of the mean loss of a window (steps x lanes), the state after it, and the loss. Nothing flows to before the window."""
+    """Gradient of the mean loss of a window (steps x lanes), the state after it, and the loss.
+
+    Nothing flows to before the window, and no state from one text to the next (which input 0 begins).
+    """
     steps, lanes = inputs.shape
     states, kept = [], []
+    goes_on = (inputs != 0).astype(np.float32)[:, :, None]
     for t in range(steps):
+        h = h * goes_on[t]
         h, keep = step(net, inputs[t], h)
         states.append(h)
         kept.append(keep)
@@ -155,7 +162,7 @@ def window_gradient(net: Net, inputs: np.ndarray, targets: np.ndarray, weight: n
         du = np.concatenate([dz, dr, dn * r], axis=1)
         all_dx.append((ids, np.concatenate([dz, dr, dn], axis=1)))
         g_recurrent += before.T @ du
-        back = dh * z + du @ net.recurrent.T
+        back = (dh * z + du @ net.recurrent.T) * goes_on[t]
     ids, dx = np.concatenate([i for i, _ in all_dx]), np.concatenate([x for _, x in all_dx])
     order = np.argsort(ids, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) > 0]))
@@ -164,36 +171,63 @@ def window_gradient(net: Net, inputs: np.ndarray, targets: np.ndarray, weight: n
 
 
 class Trainer:
-    """Adam over windows; each batch of texts is read window by window with the state carried on."""
+    """Adam over windows of texts that are read whole, side by side in lanes, with the state carried on."""
 
     def __init__(self, net: Net, rate: float = 0.01, window: int = 16, clip: float = 1.0):
         self.net = Net(*[a.copy() for a in net])
         self.rate, self.window, self.clip = rate, window, clip
         self.mean = [np.zeros_like(a) for a in net]
         self.square = [np.zeros_like(a) for a in net]
-        self.steps = 0
+        self.steps, self.most = 0, 0
 
-    def batch(self, texts: np.ndarray) -> float:
-        """``texts``: lanes x (ids read, and one more): id -1 after the end of a shorter one."""
-        lanes, length = texts.shape
+    def learn(self, batches: Iterable[list[np.ndarray]], lanes: int) -> tuple[int, float]:
+        """Learns once from every word and end of the texts (ids of the words and the end); how many, and their summed loss.
+
+        A lane whose text has ended goes on with the next one. Held are one
+        batch and what the lanes have left of their texts.
+        """
+        lines = [np.zeros(1, dtype=np.int64)] * lanes
         h = np.zeros((lanes, HIDDEN), dtype=np.float32)
-        loss = 0.0
-        for at in range(0, length - 1, self.window):
-            part = texts[:, at : at + self.window + 1].T
+        waiting: deque[np.ndarray] = deque()
+        seen, loss = 0, 0.0
+
+        def filled() -> bool:
+            for i, line in enumerate(lines):
+                while len(line) <= self.window and waiting:
+                    line = lines[i] = np.concatenate([line, waiting.popleft()])
+                if len(line) <= self.window:
+                    return False
+            return True
+
+        def advance(on: list[int]) -> None:
+            nonlocal seen, loss
+            part = np.full((self.window + 1, len(on)), -1, dtype=np.int64)
+            for column, i in enumerate(on):
+                ids = lines[i][: self.window + 1]
+                part[: len(ids), column] = ids
+                lines[i] = lines[i][self.window :]
             real = part[1:] >= 0
-            if not real.any():
-                break
+            words = int(real.sum())
             part = np.maximum(part, 0)
-            gradient, h, loss = window_gradient(self.net, part[:-1], part[1:], real, h)
-            self.update(gradient)
-        return loss
-
-    def update(self, gradient: Net) -> None:
-        """A step of Adam. Input and word rows that no word of the window used keep their averages as they are."""
+            gradient, h[on], mean_loss = window_gradient(self.net, part[:-1], part[1:], real, h[on])
+            self.most = max(self.most, words)
+            self.update(gradient, words / self.most)
+            seen, loss = seen + words, loss + mean_loss * words
+
+        for texts in batches:
+            waiting.extend(texts)
+            while filled():
+                advance(list(range(lanes)))
+        while on := [i for i, line in enumerate(lines) if len(line) > 1]:
+            advance(on)
+        return seen, loss
+
+    def update(self, gradient: Net, share: float = 1.0) -> None:
+        """A step of Adam, shorter where a window has only a ``share`` of the words of others. Input and word rows that no word of the window used keep their averages as they are."""
         self.steps += 1
         norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in gradient)))
         scale = np.float32(min(1.0, self.clip / max(norm, 1e-9)))
-        correct = np.float32(self.rate * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps))
+        correct = np.float32(share * self.rate * (1 - 0.99**self.steps) ** 0.5 / (1 - 0.9**self.steps))
         for a, mean, square, g in zip(self.net, self.mean, self.square, gradient):
             rows = np.flatnonzero(g.any(axis=1)) if len(a) > 4 * HIDDEN and g.ndim == 2 else slice(None)
             g = g[rows] * scale

@@ -28,8 +28,8 @@ from proseframe.session import write_through
 #: words modelled one by one; classes of other words; words whose counts go to every task
 WORDS, OTHERS, HEAD = 2048, 48, 150_000
 ALPHA = 0.1
-#: rates of the rounds of training; words per document and round; documents learned from at a time
-RATES, WINDOW, LANES = (0.02, 0.008, 0.003), 32, 128
+#: rates of the rounds of training, each on its share of the documents; documents learned from at a time
+RATES, LANES = (0.02, 0.008, 0.003), 256
 BLOCK = 4_000_000
 UNSEEN = -(1 << 30)
 
@@ -123,54 +123,32 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary({w: i for i, w in enumerate(words)}, np.log10(c + ALPHA), inputs, class_logs, int(whole["n"] or 0), int(whole["v"] or 0), net)
 
 
-def training_windows(docs: DataFrame, vocab, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row per document: for each round a stretch of ``WINDOW`` words at a place drawn from its id, and the word before it."""
+def training_texts(docs: DataFrame, vocab, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row per document: the round that learns from it, drawn from its id, and all its words and the end as the net's numbers."""
 
-    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         v: Vocabulary = vocab.value
         for batch in batches:
-            out = []
-            for name, text in zip(batch["id"], batch["text"]):
-                words = words_of(text)
-                rows = np.full((len(RATES), WINDOW + 1), -1, dtype="<i4")
-                for k in range(len(RATES)):  # of: an end, the words, an end
-                    at = zlib.crc32(f"{k}:{name}".encode()) % max(1, len(words) + 2 - WINDOW)
-                    part = v.for_net(v.read(words[max(0, at - 1) : at + WINDOW]))
-                    part = np.concatenate([[0], part]) if at == 0 else part
-                    rows[k, : min(len(part), WINDOW + 1)] = part[: WINDOW + 1]
-                out.append(rows.tobytes())
-            yield pd.DataFrame({"windows": out})
+            rounds = [zlib.crc32(f"round:{name}".encode()) % len(RATES) for name in batch["id"]]
+            yield pd.DataFrame({"round": rounds, "ids": [v.for_net(v.read(words_of(t))).astype("<u2").tobytes() for t in batch["text"]]})
 
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(windows, "windows binary")
+    return rows.mapInPandas(texts, "round int, ids binary")
 
 
-def train(windows: DataFrame, net: Net, shards: int = 16) -> Net:
-    """Rounds of training on all documents, each task from the same net on its own rows, then the mean weighted by words.
+def train(texts: DataFrame, net: Net, shards: int = 16) -> Net:
+    """Rounds of training, together once on every word of all documents, each task from the same net on its own rows.
 
-    Nets are averaged in ``shards`` groups before the driver sees them, so what
-    it receives doesn't grow with the number of tasks.
+    After a round comes the mean of the nets weighted by words. Nets are
+    averaged in ``shards`` groups before the driver sees them, so what it
+    receives doesn't grow with the number of tasks.
     """
-    spark = windows.sparkSession
+    spark = texts.sparkSession
 
     def learned(shared, k: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             trainer = Trainer(shared.value, RATES[k])
-            seen, rest = 0, np.zeros((0, WINDOW + 1), dtype=np.int64)
-
-            def learn(rows: np.ndarray) -> None:
-                nonlocal seen
-                trainer.batch(rows)
-                seen += int((rows[:, 1:] >= 0).sum())
-
-            for batch in batches:
-                rows = np.frombuffer(b"".join(bytes(w) for w in batch["windows"]), dtype="<i4").reshape(-1, len(RATES), WINDOW + 1)[:, k]
-                rest = np.concatenate([rest, rows])
-                while len(rest) >= LANES:
-                    learn(rest[:LANES])
-                    rest = rest[LANES:]
-            if len(rest):
-                learn(rest)
+            seen, _ = trainer.learn(([np.frombuffer(bytes(x), "<u2").astype(np.int64) for x in batch["ids"]] for batch in batches), LANES)
             if seen:
                 part = TaskContext.get().partitionId()
                 yield pd.DataFrame({"shard": [part % shards], "part": [part], "seen": [seen], "net": [trainer.net.to_bytes()]})
@@ -189,12 +167,12 @@ def train(windows: DataFrame, net: Net, shards: int = 16) -> Net:
 
     for k in range(len(RATES)):
         shared = spark.sparkContext.broadcast(net)
-        nets = windows.mapInPandas(learned(shared, k), "shard int, part int, seen bigint, net binary")
+        nets = texts.where(F.col("round") == k).select("ids").mapInPandas(learned(shared, k), "shard int, part int, seen bigint, net binary")
         means = nets.repartition(shards, "shard").sortWithinPartitions("part").select("seen", "net").mapInPandas(averaged, "seen bigint, net binary")
         found = sorted(means.collect(), key=lambda r: bytes(r["net"]))
         seen = sum(r["seen"] for r in found)
         if not seen:
-            return net
+            continue
         flat = sum(np.frombuffer(bytes(r["net"]), "<f4").astype(np.float64) * (r["seen"] / seen) for r in found)
         net = net.like(flat.astype("<f4").tobytes())
         shared.unpersist()
@@ -268,8 +246,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row, scores as log10 probabilities.
 
     Learns from rows whose crc32 of the id as text isn't 0 modulo ``folds``
-    (without an id: held out). Counts and training windows come from every such
-    document. Each text is read to its end in one go with the net's state
+    (without an id: held out). Counts come from every word of every such
+    document, and the net learns once from each of them. Each text is read to its end in one go with the net's state
     carried along; texts are never shuffled. Counts of the commonest words
     go to all tasks; the rarer words of each document, once each, are joined
     with the whole table of counts and summed per row, so no count is missed.
@@ -285,8 +263,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = write_through(word_counts(learned_from), "word-counts")
     vocab = vocabulary(counts)
     shared = spark.sparkContext.broadcast(vocab)
-    windows = write_through(training_windows(learned_from, shared), "training-windows")
-    net = train(windows, vocab.net)
+    texts = write_through(training_texts(learned_from, shared), "training-texts")
+    net = train(texts, vocab.net)
     shared.unpersist()
     shared = spark.sparkContext.broadcast(vocab._replace(net=net))
 

@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from proseframe.llm.gru import HIDDEN, Net, log_probabilities, new_net, score_texts, step, window_gradient
+from proseframe.llm.gru import HIDDEN, Net, Trainer, log_probabilities, new_net, score_texts, step, window_gradient
 from proseframe.llm.language import fit_texts, identify, keep_identified, page_evidence
-from proseframe.llm.lm import score_documents
+from proseframe.llm.lm import score_documents, training_texts, vocabulary, word_counts
 from proseframe.llm.quality import SIZE, dual_descent, fit, fit_quality, indicators, keep_quality, log_count_ratios, score_column
 
 
@@ -74,6 +74,23 @@ def test_scores(spark, sf, odd, empty):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_every_word_is_learned_from_in_the_state_it_is_scored_in():
+    rng = np.random.default_rng(3)
+    net = new_net(np.arange(100, 30, -1), np.array([5.0, 7.0]))
+    texts = [np.append(rng.integers(1, 72, n), 0) for n in (0, 1, 15, 16, 17, 40, 2000, 3, 100, 31, 7)]
+    for lanes in (1, 3, 64):
+        seen, loss = Trainer(net, rate=0.0).learn([texts[:5], [], texts[5:]], lanes)
+        assert seen == sum(map(len, texts)) and abs(loss + score_texts(net, texts).sum()) < 1e-3 * loss
+    assert Trainer(net).learn([], 4) == (0, 0.0)
+
+
+def test_training_texts_are_whole(spark, odd):
+    vocab = vocabulary(word_counts(odd))
+    got = sorted(bytes(r.ids) for r in training_texts(odd, spark.sparkContext.broadcast(vocab)).collect())
+    assert got == sorted(vocab.for_net(vocab.read(words(r.text))).astype("<u2").tobytes() for r in odd.collect())
+    assert max(map(len, got)) == 2 * 36002
+
+
 def test_support_vectors():
     seen = np.zeros(SIZE, dtype=bool)
     texts = [f"calm words in line {i}" for i in range(60)] + [f"LOUD!! WORDS!! {i}!!" for i in range(60)]
