@@ -30,9 +30,11 @@ class Phrases:
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = 10):
         self.words: dict[bytes, int] = {}
-        self.names = [name for name, _ in items]
+        self.names = list(dict.fromkeys(name for name, _ in items))
+        number = {name: i for i, name in enumerate(self.names)}
         owners: dict[tuple[int, ...], list[int]] = {}
-        for nth, (_, text) in enumerate(items):
+        for name, text in items:
+            nth = number[name]
             ids = [self.words.setdefault(w, len(self.words) + 1) for w in words_of(text)]
             for at in range(max(1, len(ids) - window + 1) if ids else 0):
                 mine = owners.setdefault(tuple(ids[at : at + window]), [])
@@ -156,7 +158,8 @@ def with_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item
     ``block_bytes``; a larger one takes a pass per block, and what the passes
     found is merged per row. A null or empty text has no words and no hits, an
     item without words matches nothing; an item without an id is named "null";
-    repeated items and documents count as they stand; other columns stay.
+    an item id counts once for a document, on however many rows it stands;
+    repeated documents count as they stand; other columns stay.
     """
     spark = docs.sparkSession
     small_batches(spark)

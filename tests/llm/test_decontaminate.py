@@ -69,6 +69,13 @@ def test_query(spark, odd, empty):
     assert nothing == 0
 
 
+def test_item_on_two_rows_counts_once(spark, odd):
+    items = spark.createDataFrame([(1, "cat sat on the mat"), (1, "the dog ran"), (1, "cat sat on the mat"), (2, "dog ran")], "item_id bigint, text string")
+    for block in (8 << 20, 10):
+        found = with_matches(odd.where("doc_id = 1"), items, block_bytes=block).collect()
+        assert [sorted(r["__hits"]["items"]) for r in found] == [["1", "2"]] * 2
+
+
 def test_removal(spark, odd, empty):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     left = remove_matches(odd, items)
