@@ -9,12 +9,11 @@ slower with a shuffle on top, and the subsequence length has no built-in form.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
 
-from proseframe.functions.stem import caching_stemmer
+from proseframe.functions.stem import stemmed
 
 
 def gram_counts(tokens: list[str], n: int) -> Counter:
@@ -58,39 +57,38 @@ def closest_length(n: int, lengths: list[int]) -> int:
 
 
 def rouge_counts_udf(orders: list[int], with_lcs: bool, use_stemmer: bool):
-    """(prediction line, reference line) to [tokens, tokens, overlap per order, lcs]; null for a null text."""
-    @F.pandas_udf("array<int>")
-    def counts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        stemmed = caching_stemmer() if use_stemmer else None  # one cache for all batches of a task
-
-        def row(left: str | None, right: str | None) -> list[int] | None:
-            if left is None or right is None:
-                return None
-            p, r = left.split(), right.split()
-            if stemmed:
-                p, r = stemmed(p), stemmed(r)
-            found = [len(p), len(r)] + [overlap(gram_counts(p, n), gram_counts(r, n)) for n in orders]
-            return found + [lcs_length(p, r)] if with_lcs else found
+    """(prediction line, reference line) to [tokens, tokens, overlap per order, lcs]; null for a null text.
+
+    A plain UDF like the one below: two of that kind share one Python step, iterators never do.
+    """
+    def row(left: str | None, right: str | None) -> list[int] | None:
+        if left is None or right is None:
+            return None
+        p, r = left.split(), right.split()
+        if use_stemmer:
+            p, r = stemmed(p), stemmed(r)
+        found = [len(p), len(r)] + [overlap(gram_counts(p, n), gram_counts(r, n)) for n in orders]
+        return found + [lcs_length(p, r)] if with_lcs else found
 
-        for predictions, references in batches:
-            yield pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
+    @F.pandas_udf("array<int>")
+    def counts(predictions: pd.Series, references: pd.Series) -> pd.Series:
+        return pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
 
     return counts
 
 
 def bleu_counts_udf(max_order: int):
     """(prediction line, reference lines) to [tokens, closest reference length, matches per order]."""
+    def row(line: str | None, lines) -> list[int] | None:
+        given = [] if lines is None else [x.split() for x in lines if x is not None]
+        if line is None or not given:
+            return None
+        p = line.split()
+        matches = [clipped(p, given, n) for n in range(1, max_order + 1)]
+        return [len(p), closest_length(len(p), [len(r) for r in given]), *matches]
+
     @F.pandas_udf("array<bigint>")
     def counts(predictions: pd.Series, references: pd.Series) -> pd.Series:
-        out = []
-        for line, lines in zip(predictions, references):
-            given = [] if lines is None else [x.split() for x in lines if x is not None]
-            if line is None or not given:
-                out.append(None)
-                continue
-            p = line.split()
-            matches = [clipped(p, given, n) for n in range(1, max_order + 1)]
-            out.append([len(p), closest_length(len(p), [len(r) for r in given]), *matches])
-        return pd.Series(out, dtype=object)
+        return pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
 
     return counts

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 # Suffix tables and irregular forms.
 STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
@@ -124,20 +126,16 @@ def stem(word: str) -> str:
     return word
 
 
-def caching_stemmer():
-    """A function from a token list to its stems; tokens up to three characters stay.
+@lru_cache(maxsize=CACHED_WORDS)
+def cached_stem(token: str) -> str:
+    """The stem of a token, from the worker's cache of recent ones."""
+    return stem(token)
 
-    Stemming in place keeps the step free of shuffles: joining tokens to a stem
-    table would move every token and put the commonest word in one task. The
-    cache holds the frequent words.
-    """
-    known: dict[str, str] = {}
 
-    def cached(token: str) -> str:
-        if token not in known:
-            if len(known) >= CACHED_WORDS:
-                known.clear()
-            known[token] = stem(token)
-        return known[token]
+def stemmed(tokens: list[str]) -> list[str]:
+    """The stems of a token list; tokens up to three characters stay.
 
-    return lambda tokens: [cached(t) if len(t) > 3 else t for t in tokens]
+    Stemming in place keeps the step free of shuffles: joining tokens to a stem
+    table would move every token and put the commonest word in one task.
+    """
+    return [cached_stem(t) if len(t) > 3 else t for t in tokens]

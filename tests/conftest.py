@@ -21,7 +21,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())

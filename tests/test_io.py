@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from proseframe.operators.splits import split_exact

@@ -6,7 +6,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from proseframe.functions.paircounts import lcs_length

@@ -2,7 +2,7 @@ import hashlib
 import math
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from proseframe.operators.cleaning import clean_samples, cleaning_counts, rename_columns, resolve_pair_columns
