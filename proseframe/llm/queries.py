@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from proseframe.llm.lm import score_documents
 from proseframe.llm.oracles import CHAT, DECONTAMINATE
 from proseframe.llm.packing import pack
 from proseframe.llm.quality import fit_quality, fold, score_column
+from proseframe.llm.runs import longest, run_digest, with_runs
 from proseframe.llm.simhash import simhash_groups
 from proseframe.llm.tokenfiles import read_token_files, segment_starts, with_starts, write_token_files
 from proseframe.llm.urlfilter import judge
@@ -94,6 +96,32 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return with_starts(found, segment_starts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One text in ten (by a hash of its id) with its words from some place on replaced by a repetition of the first of them."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_runs(table(spark, sf, "documents").select("doc_id", "text"), id_col="doc_id", reword=looped, digest=True)
+    found = found.select("doc_id", "__runs.*").withColumn("best", longest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        run_digest(F.col("runs")).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
@@ -105,6 +133,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_token_files": op10_token_files,
+    "op12_runs": op12_runs,
 }
 
 LLM_ORACLES: dict[str, str] = {
