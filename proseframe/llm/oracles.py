@@ -46,3 +46,37 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(12 + {_escaped('role')} + length(role) - length(replace(role, chr(10), '')) + 1 + {_escaped('text')} + 10 + 1) AS BIGINT) AS formatted_chars
 FROM rows GROUP BY conv_id
 """
+
+PHRASES = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3), (4)) AS v(k) WHERE len(w) >= k)
+),
+c AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+cand AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM c WHERE k >= 2 AND a >= 30),
+cuts AS (
+  SELECT lang, k, phrase, a, j, array_to_string(w[1 : j], ' ') AS first, array_to_string(w[j + 1 : k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand)
+),
+scored AS (
+  SELECT q.lang, q.phrase, q.a, q.j, x.a AS l, y.a AS r, CAST((CAST(2000000 AS HUGEINT) * q.a) // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts q JOIN c x ON x.lang = q.lang AND x.phrase = q.first JOIN c y ON y.lang = q.lang AND y.phrase = q.rest
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS more
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM cand, (VALUES (2), (3)) AS v(m) WHERE m < k) GROUP BY ALL
+),
+n AS (SELECT lang, sum(a) AS n FROM c WHERE k = 1 GROUP BY lang),
+ranked AS (
+  SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, score
+  FROM best b LEFT JOIN inside USING (lang, phrase) WHERE more IS NULL OR 100 * more < 80 * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

@@ -12,8 +12,9 @@ from proseframe.llm.chat import format_conversations, read_back
 from proseframe.llm.decontaminate import hit_words, with_matches
 from proseframe.llm.language import fit_texts, identify, page_evidence
 from proseframe.llm.lm import score_documents
-from proseframe.llm.oracles import CHAT, DECONTAMINATE
+from proseframe.llm.oracles import CHAT, DECONTAMINATE, PHRASES
 from proseframe.llm.packing import pack
+from proseframe.llm.phrases import mine_phrases
 from proseframe.llm.quality import fit_quality, fold, score_column
 from proseframe.llm.runs import longest, run_digest, with_runs
 from proseframe.llm.simhash import simhash_groups
@@ -96,6 +97,10 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return with_starts(found, segment_starts(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return mine_phrases(table(spark, sf, "documents"))
+
+
 def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """One text in ten (by a hash of its id) with its words from some place on replaced by a repetition of the first of them."""
     h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
@@ -133,10 +138,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_url_filter": op9_url_filter,
     "op10_token_files": op10_token_files,
+    "op11_phrases": op11_phrases,
     "op12_runs": op12_runs,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATE,
     "op4_chat": CHAT,
+    "op11_phrases": PHRASES,
 }
