@@ -12,6 +12,7 @@ from proseframe.llm.chat import format_conversations, read_back
 from proseframe.llm.decontaminate import hit_words, with_matches
 from proseframe.llm.language import fit_texts, identify, page_evidence
 from proseframe.llm.lm import score_documents
+from proseframe.llm.maintext import with_main_text
 from proseframe.llm.oracles import CHAT, DECONTAMINATE, PHRASES
 from proseframe.llm.packing import pack
 from proseframe.llm.phrases import mine_phrases
@@ -127,6 +128,11 @@ def op12_runs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    found = with_main_text(table(spark, sf, "pages").select("page_id", "url", "html")).select("page_id", "url", "text")
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_decontaminate": op2_decontaminate,
@@ -140,6 +146,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
     "op11_phrases": op11_phrases,
     "op12_runs": op12_runs,
+    "op13_main_text": op13_main_text,
 }
 
 LLM_ORACLES: dict[str, str] = {
