@@ -456,6 +456,10 @@ def all_text_metrics(spark, sf):
     return rounded(compare.all_metrics(prompt_pairs(spark, sf), "generation", use_stemmer=False), "value")
 
 
+def all_text_metrics_stemmed(spark, sf):
+    return rounded(compare.all_metrics(prompt_pairs(spark, sf), "generation"), "value")
+
+
 # --- perplexity --------------------------------------------------------------
 
 
@@ -823,6 +827,7 @@ QUERIES: dict[str, Query] = {
     "classification_with_labels": classification_with_labels,
     "metric_union": metric_union,
     "all_text_metrics": all_text_metrics,
+    "all_text_metrics_stemmed": all_text_metrics_stemmed,
     "perplexity_logits": perplexity_logits,
     "perplexity_weighted": perplexity_weighted,
     "perplexity_by_type": perplexity_by_type,

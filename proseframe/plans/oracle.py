@@ -1,10 +1,8 @@
-"""DuckDB SQL twins of the catalogue's queries.
-
-Only the stemmed ROUGE query has none; tests check it against a plain model.
-"""
+"""DuckDB SQL twins of the catalogue's queries."""
 
 from __future__ import annotations
 
+from proseframe.functions.stem import IRREGULAR, STEP2, STEP3, STEP4_LONGEST_FIRST
 from proseframe.functions.text import WS_CLASS
 from proseframe.plans.catalogue import ENCODED_LENGTH, VOCABULARY_IDS
 from proseframe.sources.synthetic import CHOICES
@@ -164,14 +162,79 @@ def _bleu(source: str, by: str = "") -> str:
   FROM scores JOIN lengths USING ({group})"""
 
 
-def _rouge_n(n: int) -> str:
+def _stem_steps(source: str) -> str:
+    """CTEs from ``source`` (token) to stems (token, stem): a step of the stemmer each, on the word and its consonants and vowels."""
+    shape = """list_reduce(list_prepend('', string_split(w, '')), lambda a, c: a || CASE
+      WHEN c IN ('a', 'e', 'i', 'o', 'u') OR (c = 'y' AND right(a, 1) = 'c') THEN 'v' ELSE 'c' END)"""
+
+    def ends(*suffixes: str) -> str:
+        return f"regexp_matches(w, '({'|'.join(suffixes)})$')"
+
+    def cut(n: int, x: str = "w") -> str:
+        return f"left({x}, len(w) - {n})"
+
+    def measure(n: int) -> str:
+        return f"len(regexp_extract_all({cut(n, 's')}, 'vc'))"
+
+    def short_end(word: str, s: str) -> str:
+        return f"(({s} LIKE '%cvc' AND right({word}, 1) NOT IN ('w', 'x', 'y')) OR {s} = 'vc')"
+
+    def swap(table) -> str:
+        cases = " ".join(f"WHEN {ends(old)} THEN CASE WHEN {measure(len(old))} > 0 THEN {cut(len(old))} || '{new}' ELSE w END" for old, new in table)
+        return f"CASE {cases} ELSE w END"
+
+    step4 = " ".join(
+        f"WHEN {ends(x)} THEN CASE WHEN {measure(len(x))} > 1{" AND right(" + cut(3) + ", 1) IN ('s', 't')" if x == "ion" else ""} THEN {cut(len(x))} ELSE w END"
+        for x in STEP4_LONGEST_FIRST
+    )
+    steps = [
+        f"CASE WHEN {ends('ies')} AND len(w) = 4 THEN {cut(1)} WHEN {ends('sses', 'ies')} THEN {cut(2)} WHEN {ends('s')} AND NOT {ends('ss')} THEN {cut(1)} ELSE w END",
+        f"""CASE WHEN {ends('ied')} THEN CASE WHEN len(w) = 4 THEN {cut(1)} ELSE {cut(2)} END
+          WHEN {ends('eed')} THEN CASE WHEN {measure(3)} > 0 THEN {cut(1)} ELSE w END
+          WHEN {ends('ed')} AND contains({cut(2, 's')}, 'v') THEN {cut(2)} || '+'
+          WHEN {ends('ing')} AND contains({cut(3, 's')}, 'v') THEN {cut(3)} || '+' ELSE w END""",
+        # a plus marks what lost "ed" or "ing"
+        f"""CASE WHEN w NOT LIKE '%+' THEN w
+          WHEN regexp_matches(w, '(at|bl|iz)[+]$') THEN {cut(1)} || 'e'
+          WHEN len(w) > 2 AND w[-2] = w[-3] AND s[-2] = 'c' THEN CASE WHEN w[-2] IN ('l', 's', 'z') THEN {cut(1)} ELSE {cut(2)} END
+          WHEN {measure(1)} = 1 AND {short_end(cut(1), cut(1, 's'))} THEN {cut(1)} || 'e' ELSE {cut(1)} END""",
+        f"CASE WHEN {ends('y')} AND len(w) > 2 AND s[-2] = 'c' THEN {cut(1)} || 'i' ELSE w END",
+        f"CASE WHEN {ends('alli')} AND {measure(4)} > 0 THEN {cut(2)} ELSE w END",
+        f"CASE WHEN {ends('logi')} AND {measure(3)} > 0 THEN {cut(1)} ELSE {swap(STEP2)} END",
+        swap(STEP3),
+        f"CASE {step4} ELSE w END",
+        f"CASE WHEN {ends('e')} AND ({measure(1)} > 1 OR ({measure(1)} = 1 AND NOT {short_end(cut(1), cut(1, 's'))})) THEN {cut(1)} ELSE w END",
+        f"CASE WHEN {ends('ll')} AND {measure(1)} > 1 THEN {cut(1)} ELSE w END",
+    ]
+    ctes = [f"stem0 AS (SELECT token, w, {shape} AS s FROM (SELECT token, token AS w FROM {source}))"]
+    for i, step in enumerate(steps, 1):
+        ctes.append(f"stem{i} AS (SELECT token, w, {shape} AS s FROM (SELECT token, {step} AS w FROM stem{i - 1}))")
+    irregular = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in IRREGULAR.items())
+    return ",\n  ".join([*ctes, f"stems AS (SELECT token, CASE token {irregular} ELSE w END AS stem FROM stem{len(steps)})"])
+
+
+def _rouge_tokens(stemmed: bool) -> str:
+    """CTEs p and r: (conv_id, turn, t), the tokens of predictions and references."""
+    plain = f"""pairs AS ({_PAIRS}),
+  raw AS (SELECT conv_id, turn, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p,
+      regexp_extract_all(lower(reference), '[a-z0-9]+') AS r FROM pairs)"""
+    if not stemmed:
+        return f"{plain}, p AS (SELECT conv_id, turn, p AS t FROM raw), r AS (SELECT conv_id, turn, r AS t FROM raw)"
+
+    def listed(side: str) -> str:
+        return f"""{side}_words AS (SELECT conv_id, turn, unnest({side}) AS token, generate_subscripts({side}, 1) AS i FROM raw),
+  {side}_stems AS (SELECT conv_id, turn, list(coalesce(stem, token) ORDER BY i) AS t FROM {side}_words LEFT JOIN stems USING (token) GROUP BY ALL),
+  {side} AS (SELECT conv_id, turn, coalesce(t, []) AS t FROM raw LEFT JOIN {side}_stems USING (conv_id, turn))"""
+
+    words = "known AS (SELECT DISTINCT token FROM (SELECT unnest(list_concat(p, r)) AS token FROM raw) WHERE len(token) > 3)"
+    return ",\n  ".join([plain, words, _stem_steps("known"), listed("p"), listed("r")])
+
+
+def _rouge_n(n: int, stemmed: bool = False) -> str:
     name = f"rouge{n}"
-    tokens = "regexp_extract_all(lower({x}), '[a-z0-9]+')"
     grams = f"list_transform(range(1, len(t) - {n} + 2), lambda i: array_to_string(t[i:i + {n} - 1], ' '))"
     return f"""
-  WITH pairs AS ({_PAIRS}),
-  p AS (SELECT conv_id, turn, {tokens.replace("{x}", "prediction")} AS t FROM pairs),
-  r AS (SELECT conv_id, turn, {tokens.replace("{x}", "reference")} AS t FROM pairs),
+  WITH {_rouge_tokens(stemmed)},
   pg AS (SELECT conv_id, turn, gram, count(*) AS c FROM (SELECT conv_id, turn, unnest({grams}) AS gram FROM p) GROUP BY ALL),
   rg AS (SELECT conv_id, turn, gram, count(*) AS c FROM (SELECT conv_id, turn, unnest({grams}) AS gram FROM r) GROUP BY ALL),
   o AS (SELECT conv_id, turn, sum(least(pg.c, rg.c)) AS m FROM pg JOIN rg USING (conv_id, turn, gram) GROUP BY ALL),
@@ -181,11 +244,11 @@ def _rouge_n(n: int) -> str:
     round(avg(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END), 6) AS {name}_fmeasure FROM s"""
 
 
-# the table of the subsequence program, one row of it per recursion step
-_ROUGE_L = f"""
-  WITH RECURSIVE pairs AS ({_PAIRS}),
-  t AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS id, regexp_extract_all(lower(prediction), '[a-z0-9]+') AS p,
-        regexp_extract_all(lower(reference), '[a-z0-9]+') AS r FROM pairs),
+def _rouge_l(stemmed: bool = False) -> str:
+    """The table of the subsequence program, one row of it per recursion step."""
+    return f"""
+  WITH RECURSIVE {_rouge_tokens(stemmed)},
+  t AS (SELECT row_number() OVER (ORDER BY conv_id, turn) AS id, p.t AS p, r.t AS r FROM p JOIN r USING (conv_id, turn)),
   walk AS (SELECT id, 0 AS i, list_transform(range(len(r) + 1), lambda j: 0::BIGINT) AS cells FROM t
       UNION ALL
       SELECT w.id, w.i + 1, list_reduce(list_transform(range(1, len(t.r) + 1), lambda j: [j]),
@@ -198,16 +261,19 @@ _ROUGE_L = f"""
     round(avg(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0.0 END), 6) AS "rougeL_fmeasure" FROM s"""
 
 
-def _all_text_metrics() -> str:
+_ROUGE_STEMMED = f"SELECT * FROM ({_rouge_n(1, True)}), ({_rouge_n(2, True)}), ({_rouge_l(True)})"
+
+
+def _all_text_metrics(stemmed: bool = False) -> str:
     pairs = f"SELECT conv_id * 1000 + turn AS row_id, 0 AS g, [reference] AS refs, prediction FROM ({_PAIRS})"
     exact = f"""SELECT round(avg((p = r)::INT), 6) AS exact_match, count(*)::DOUBLE AS total_examples,
         sum((p = r)::INT)::DOUBLE AS correct_examples
       FROM (SELECT {_answer("prediction")} AS p, {_answer("reference")} AS r FROM ({_PAIRS}))"""
     shares = ("precision", "recall", "fmeasure")
     parts = {
-        "a": (_rouge_n(1), [f"rouge1_{m}" for m in shares]),
-        "b": (_rouge_n(2), [f"rouge2_{m}" for m in shares]),
-        "c": (_ROUGE_L, [f"rougeL_{m}" for m in shares]),
+        "a": (_rouge_n(1, stemmed), [f"rouge1_{m}" for m in shares]),
+        "b": (_rouge_n(2, stemmed), [f"rouge2_{m}" for m in shares]),
+        "c": (_rouge_l(stemmed), [f"rougeL_{m}" for m in shares]),
         "d": (_bleu(pairs), ["bleu"]),
         "e": (exact, ["exact_match", "total_examples", "correct_examples"]),
     }
@@ -406,8 +472,10 @@ ORACLES: dict[str, str] = {
     "exact_match_by_lang": _exact("lang", False),
     "rouge1": _rouge_n(1),
     "rouge2": _rouge_n(2),
-    "rouge_l": _ROUGE_L,
+    "rouge_l": _rouge_l(),
+    "rouge_stemmed": _ROUGE_STEMMED,
     "all_text_metrics": _all_text_metrics(),
+    "all_text_metrics_stemmed": _all_text_metrics(stemmed=True),
     "bleu_corpus": _bleu(
         "SELECT doc_id AS row_id, 0 AS g, [text] AS refs, regexp_replace(text, ' [a-zA-Z]{2} ', ' ', 'g') AS prediction FROM documents"
     ),
