@@ -2,21 +2,23 @@
 
 Each place of a text is counted once, as the window of up to ``MOST`` words that
 begins there. Sorted by its words the stream of windows is in prefix order: all
-windows that begin with a phrase lie side by side, so one walk along the stream
-gives the counts of phrases of every length. The counts of a phrase's parts,
+windows that begin with a phrase lie side by side, so one walk along the merged
+streams of all blocks of texts gives the counts of phrases of every length. The counts of a phrase's parts,
 and of the phrases one word longer, come from lockstep merges of count streams
 sorted by prefix and by suffix.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,10 @@ from proseframe.session import write_through
 MOST, BLOCK_WORDS, BLOCK_BYTES = 4, 2_000_000, 32 << 20
 #: A to Z lower-cased; what ends a piece is a full stop
 _PIECES = bytes(b + 32 if 65 <= b <= 90 else 46 if b in b".,;:!?" or 10 <= b <= 13 else b for b in range(256))
+#: texts whose windows make up a range, on average: what a task holds of the merged stream; least sample for the ranges
+RANGE_CHARS, SAMPLE_CHARS = 12_000_000, 4_000_000
+STREAM = "range int, lang string, words binary, codes binary, n binary"
+STREAM_NAMES, ARROW = ["range", "lang", "words", "codes", "n"], [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
 #: groups in which each language's best are looked for before they meet
 SALTS = 64
 
@@ -36,136 +42,190 @@ def words_and_breaks(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_PIECES).replace(b".", b" . ").split()
 
 
-def _label(lang: str) -> bytes:
-    """A language's name without white space, different for different names."""
-    return lang.replace("%", "%25").replace(" ", "%20").encode("utf-8", "surrogatepass")
+class Stream(NamedTuple):
+    """Windows of one language in the order of their words, and how often each occurs.
 
+    ``words`` are sorted, b"" for a word that is not there the first;
+    ``codes`` has a row for each window: the places of its MOST words in them.
+    """
 
-def _name(label: bytes) -> str:
-    return label.replace(b"%20", b" ").replace(b"%25", b"%").decode("utf-8", "surrogatepass")
-
+    words: list[bytes]
+    codes: np.ndarray
+    n: np.ndarray
 
-def _windows(words: list[bytes], ids: np.ndarray, langs: list[bytes], lang: np.ndarray) -> Iterator[tuple[pa.Array, np.ndarray]]:
-    """(key, n) of the distinct windows of a block in the order of their words; id 0 is a break, the first of ``words``.
 
-    A key is the language's label and MOST words, space between, a word that is not there empty.
-    """
-    words[0] = b""
+def _summed(words: list[bytes], columns: list[np.ndarray], n: np.ndarray | None = None) -> Stream:
+    """The windows of ``columns`` in order, equal ones added up; ``words`` in any order, b"" among them."""
     order = sorted(range(len(words)), key=words.__getitem__)
     rank = np.empty(len(words), dtype=np.int64)
     rank[order] = np.arange(len(words))
-    ids, size = rank[ids], len(words)
-    column = [ids, *[np.concatenate([ids[i:], np.zeros(i, dtype=np.int64)]) for i in range(1, MOST)]]
+    size = len(words)
+    low, second = np.unique(rank[columns[2]] * size + rank[columns[3]], return_inverse=True)
+    high, first = np.unique(rank[columns[0]] * size + rank[columns[1]], return_inverse=True)
+    both = first * len(low) + second
+    if n is None:
+        found, total = np.unique(both, return_counts=True)
+    else:
+        by = np.argsort(both, kind="stable")
+        start = np.flatnonzero(np.concatenate([[True], np.diff(both[by]) > 0])) if len(by) else by
+        found, total = both[by][start], np.add.reduceat(n[by], start) if len(by) else n
+    high, low = high[found // len(low)], low[found % len(low)]
+    codes = np.stack([high // size, high % size, low // size, low % size], axis=1)
+    return Stream([words[i] for i in order], codes, total)
+
+
+def _block(words: list[bytes], ids: np.ndarray) -> Stream:
+    """The stream of a block of texts; id 0 is a break."""
+    columns = [ids, *[np.concatenate([ids[i:], np.zeros(min(i, len(ids)), dtype=np.int64)]) for i in range(1, MOST)]]
     for i in range(1, MOST):
-        column[i] = np.where(column[i - 1] > 0, column[i], 0)
-    here = ids > 0
-    column = [c[here] for c in column]
-    low, second = np.unique(column[2] * size + column[3], return_inverse=True)
-    high, first = np.unique(column[0] * size + column[1], return_inverse=True)
-    found, n = np.unique((lang[here] * len(high) + first) * len(low) + second, return_counts=True)
-    low, found = low[found % len(low)], found // len(low)
-    high, found = high[found % len(high)], found // len(high)
-    vocabulary = pa.array([words[i] for i in order], type=pa.binary())
-    sizes = np.array([len(words[i]) for i in order])
-    parts = [high // size, high % size, low // size, low % size]
-    ends = np.cumsum(sum(sizes[p] + 1 for p in parts) + 64)
-    at = 0
-    while at < len(n):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES)))
-        to = min(to, at + 20_000)
-        fields = [pa.array(langs, type=pa.binary()).take(pa.array(found[at:to]))] + [vocabulary.take(pa.array(p[at:to])) for p in parts]
-        yield pc.binary_join_element_wise(*fields, b" "), n[at:to]
-        at = to
-
-
-def window_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(key, n): the windows of all texts, added up a block at a time."""
+        columns[i] = np.where(columns[i - 1] > 0, columns[i], 0)
+    return _summed([b"", *words[1:]], [c[ids > 0] for c in columns])
+
+
+def window_streams(docs: DataFrame, text_col: str, lang_col: str, cut: Callable[[str, Stream], Iterator[tuple[int, Stream]]]) -> DataFrame:
+    """(range, lang, words, codes, n): the windows of all texts as streams of blocks, each cut into ranges by ``cut``.
+
+    A word holds no space, so a stream's words are written with one after each.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: defaultdict[bytes, int] = defaultdict(count().__next__)
-        langs: defaultdict[bytes, int] = defaultdict(count().__next__)
-        ids: list[np.ndarray] = []
-        named: list[tuple[int, int]] = []
+        known: dict[str, defaultdict[bytes, int]] = {}
+        ids: dict[str, list[np.ndarray]] = {}
         size = held = 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            lang = np.repeat(*np.array(named, dtype=np.int64).T)
-            for keys, n in _windows(list(known), np.concatenate(ids), list(langs), lang):
-                yield pa.RecordBatch.from_arrays([keys, pa.array(n, type=pa.int64())], names=["key", "n"])
-
-        def fresh() -> None:
-            nonlocal size, held
+            for lang, words in known.items():
+                if len(words) == 1:
+                    continue  # nothing but breaks
+                for part, s in cut(lang, _block(list(words), np.concatenate(ids[lang]))):
+                    row = [part, lang, b" ".join(s.words), s.codes.astype("<i4").tobytes(), s.n.astype("<i8").tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(row, ARROW)], names=STREAM_NAMES)
             known.clear()
-            known.default_factory = count().__next__
-            known[b"."]  # breaks are number 0
             ids.clear()
-            named.clear()
-            size = held = 0
 
-        fresh()
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lang = "und" if lang is None else lang
+                if lang not in known:
+                    known[lang], ids[lang] = defaultdict(count().__next__), []
+                    known[lang][b"."]  # breaks are number 0
                 words = words_and_breaks(text)
-                own = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-                ids.append(np.append(own, 0))
-                named.append((langs[_label("und" if lang is None else lang)], len(own) + 1))
+                own = np.fromiter(map(known[lang].__getitem__, words), dtype=np.int64, count=len(words))
+                ids[lang].append(np.append(own, 0))
                 size, held = size + len(own), held + len(text or "")
                 if size >= BLOCK_WORDS or held >= BLOCK_BYTES:
                     yield from block()
-                    fresh()
-        if size:
-            yield from block()
+                    size = held = 0
+        yield from block()
+
+    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(counted, STREAM)
+
+
+def _used(stream: Stream, low: int, high: int) -> Stream:
+    """Rows ``low`` to ``high`` with the words that they use."""
+    codes = stream.codes[low:high]
+    used, places = np.unique(np.append(codes.ravel(), 0), return_inverse=True)
+    return Stream([stream.words[i] for i in used.tolist()], places[:-1].reshape(codes.shape), stream.n[low:high])
+
+
+Key = tuple[str, bytes, bytes, bytes, bytes]
+
+
+def _cutter(bounds: list[Key]) -> Callable[[str, Stream], Iterator[tuple[int, Stream]]]:
+    """Cuts a stream where the sorted ``bounds`` lie."""
+
+    def cut(lang: str, stream: Stream) -> Iterator[tuple[int, Stream]]:
+        def key(row: int) -> Key:
+            return (lang, *[stream.words[x] for x in stream.codes[row].tolist()])
+
+        rows, low, part = range(len(stream.n)), 0, 0
+        while low < len(stream.n):
+            part = bisect_right(bounds, key(low), part)
+            high = bisect_left(rows, bounds[part], low, key=key) if part < len(bounds) else len(stream.n)
+            yield part, _used(stream, low, high)
+            low = high
+
+    return cut
+
+
+def range_bounds(docs: DataFrame, ranges: int, characters: float, text_col: str, lang_col: str, seed: int = 7) -> list[Key]:
+    """Keys that cut the stream of windows into about equal ``ranges``, from a sample of the texts.
+
+    Like the bounds of Spark's own range partitioning they only balance the
+    tasks. The driver sees a hundred keys or so for each range, a block of the
+    sample at a time.
+    """
+
+    def whole(lang: str, stream: Stream) -> Iterator[tuple[int, Stream]]:
+        yield 0, stream
+
+    if ranges < 2 or not characters:
+        return []
+    share = min(1.0, max(SAMPLE_CHARS, 3000.0 * ranges) / characters)
+    step = max(1, int(share * characters / (600 * ranges)))
+    found: list[Key] = []
+    for row in window_streams(docs.sample(share, seed), text_col, lang_col, whole).toLocalIterator():
+        stream = _read(row["words"], row["codes"], row["n"])
+        found += [(row["lang"], *[stream.words[x] for x in codes]) for codes in stream.codes[step // 2 :: step].tolist()]
+    found.sort()
+    return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
+
+
+def _read(words: bytes, codes: bytes, n: bytes) -> Stream:
+    return Stream(words.split(b" "), np.frombuffer(codes, dtype="<i4").reshape(-1, MOST).astype(np.int64), np.frombuffer(n, dtype="<i8"))
+
 
-    return docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(counted, "key binary, n bigint")
+def _merged(streams: list[Stream]) -> Stream:
+    known: defaultdict[bytes, int] = defaultdict(count().__next__)
+    codes = [np.fromiter(map(known.__getitem__, s.words), dtype=np.int64, count=len(s.words))[s.codes] for s in streams]
+    return _summed(list(known), list(np.concatenate(codes).T), np.concatenate([s.n for s in streams]))
 
 
-def _walked(keys: pa.Array, n: np.ndarray, least: int) -> list[tuple[str, str, int, int]]:
-    """(lang, phrase, words, count) along one piece of the sorted stream.
+def _walked(stream: Stream, least: int) -> Iterator[tuple[str, int, int]]:
+    """(phrase, words, count) along one range of the sorted stream.
 
-    Phrases that begin and end inside the piece have their whole count here and
+    Phrases that begin and end inside the range have their whole count here and
     are told from ``least`` on; the first and the last of each length may go on
-    in the neighbouring pieces and are told in any case. A language's words are
-    told as its phrase of no words.
+    in the neighbouring ranges and are told in any case. The words of the range
+    are told as a phrase of no words.
     """
-    rows = len(n)
-    fields = pc.split_pattern(keys, b" ").flatten()
-    codes = fields.dictionary_encode()
-    number = codes.indices.to_numpy().reshape(rows, MOST + 1)
-    texts = codes.dictionary.to_pylist()
-    nothing = texts.index(b"") if b"" in texts else -1
-    new = np.logical_or.accumulate(number[1:] != number[:-1], axis=1)
-    out = []
-    for words in range(MOST + 1):
-        start = np.concatenate([[0], np.flatnonzero(new[:, words]) + 1])
-        sums = np.add.reduceat(n, start)
-        told = (sums >= least) | (words == 0)
+    codes = stream.codes
+    yield "", 0, int(stream.n.sum())
+    new = np.logical_or.accumulate(codes[1:] != codes[:-1], axis=1)
+    for words in range(1, MOST + 1):
+        start = np.concatenate([[0], np.flatnonzero(new[:, words - 1]) + 1])
+        sums = np.add.reduceat(stream.n, start)
+        told = sums >= least
         told[[0, -1]] = True
-        if words:
-            told &= number[start, words] != nothing
-        for at, total in zip(start[told].tolist(), sums[told].tolist()):
-            row = [texts[x] for x in number[at, : words + 1].tolist()]
-            out.append((_name(row[0]), b" ".join(row[1:]).decode("utf-8", "surrogatepass"), words, total))
-    return out
+        told &= codes[start, words - 1] > 0
+        for row, total in zip(codes[start[told], :words].tolist(), sums[told].tolist()):
+            yield b" ".join([stream.words[x] for x in row]).decode("utf-8", "surrogatepass"), words, total
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, phrase, words, n): phrases of up to MOST words that occur ``least`` times, and of no words: all words of the language.
 
-    The stream of windows is dealt out by ranges of its key and sorted in each
-    task; Spark draws the ranges from a sample of the stream, which it computes
-    twice for that. A window that is very common arrives as a row a block.
+    A task counts the windows of a block of texts into a sorted stream and cuts
+    it at the bounds of the ranges; a range's pieces are merged in one task and
+    walked once. There are at least as many ranges as shuffle partitions, and
+    enough that one stays within RANGE_CHARS of text on average. A window that
+    is very common arrives as a row a block.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: defaultdict[str, list[Stream]] = defaultdict(list)
         for batch in batches:
-            if batch.num_rows:
-                rows = _walked(batch.column(0), batch.column(1).to_numpy(), least)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, type=t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32(), pa.int64()))], names=["lang", "phrase", "words", "n"]
-                )
-
-    stream = window_counts(docs, text_col, lang_col).repartitionByRange("key").sortWithinPartitions("key")
-    found = stream.mapInArrow(walk, "lang string, phrase string, words int, n bigint")
+            for _, lang, words, codes, n in zip(*[c.to_pylist() for c in batch.columns]):
+                pieces[lang].append(_read(words, codes, n))
+        for lang, streams in pieces.items():
+            rows = [(lang, *row) for row in _walked(_merged(streams), least)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int32(), pa.int64()))], names=["lang", "phrase", "words", "n"])
+
+    spark = docs.sparkSession
+    characters = docs.agg(F.sum(F.length(text_col).cast("double"))).first()[0] or 0.0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(characters / RANGE_CHARS))
+    streams = window_streams(docs, text_col, lang_col, _cutter(range_bounds(docs, ranges, characters, text_col, lang_col)))
+    found = streams.repartitionById(ranges, F.col("range")).mapInArrow(walk, "lang string, phrase string, words int, n bigint")
     return found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
 
 
@@ -218,11 +278,13 @@ def mine_phrases(docs: DataFrame, least: int = 30, share: int = 80, top: int = 2
     is floor(2000000 a / (l + r)), in exact decimals. Order: score, then count
     descending, then the phrase's bytes.
 
-    Scale: texts are read, not shuffled; a row a distinct window and block is.
-    No window of a language or word meets in one task as such: ranges are cut
-    anywhere between two windows. Everything after that concerns phrases that
-    occur ``least`` times. The best of a language are taken in SALTS groups
-    first, and each task keeps no more than ``top`` of one before rows move.
+    Scale: texts are not shuffled; a window is, once a block, as four numbers.
+    Ranges are cut anywhere between two windows, so no language or word meets
+    in one task. A task holds a range, RANGE_CHARS of text on average: with
+    larger workers raise it and BLOCK_WORDS, for the bounds of all ranges go to
+    every task. Everything after that concerns phrases that occur ``least``
+    times. The best of a language are taken in SALTS groups first, and each
+    task keeps no more than ``top`` of one before rows move.
     A null text is empty, a null language "und"; words between spaces and tabs,
     pieces between ``.,;:!?`` and line breaks; repeated rows count as they
     stand, other columns are ignored, an empty table gives no rows.

@@ -48,17 +48,17 @@ def random_rows(rng, texts):
     return [(rng.choice(langs), rng.choice([" ", "  ", "\n", " \t"]).join(rng.choices(vocabulary, k=rng.randint(0, 60)))) for _ in range(texts)]
 
 
-@pytest.mark.parametrize("batch", [1, 7, 10_000])
+@pytest.mark.parametrize("partitions", [1, 4, 60])
 @pytest.mark.parametrize("least", [2, 5])
-def test_equals_plain_counting(spark, batch, least):
-    rows = random_rows(random.Random(batch + least), 80)
+def test_equals_plain_counting(spark, partitions, least):
+    rows = random_rows(random.Random(partitions + least), 80)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         got = sorted(map(tuple, mine_phrases(docs, least, 80, 25).collect()))
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == model(rows, least, 80, 25)
 
 
