@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
+from itertools import count, islice
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proseframe.functions.text import split_words
+from proseframe.session import write_through
+
+#: distinct words, and their characters, numbered together before a task starts anew
+BLOCK_WORDS, BLOCK_CHARS = 200_000, 8_000_000
+
 
 def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str = "right") -> tuple[Column, Column]:
     """(ids, attention mask), both exactly ``max_length`` long."""
@@ -22,50 +30,77 @@ def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str =
     raise ValueError(f"padding_side must be 'right' or 'left', not {padding_side!r}")
 
 
-def lookup(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int) -> DataFrame:
-    """Replace the token arrays in ``columns`` by arrays of ids.
+def _coded(df: DataFrame, columns: list[str], most: int | None) -> DataFrame:
+    """Rows of ``df`` with the texts in ``columns`` as arrays of codes, and what the codes of each block stand for.
 
-    One plan for a vocabulary of any size: tokens are exploded, joined and
-    regrouped by a generated row number, so rows may repeat in every column.
-    The row's other columns travel with one extra entry that matches nothing,
-    so the table is read once and not joined again. Catalyst broadcasts the
-    vocabulary if its size allows; else the join may split the rows of the
-    commonest word. A token that the vocabulary lists twice is an error.
+    A block is what a task reads until its distinct words pass a bound. Rows
+    with ``_words`` list the words of their ``_block`` by code and are null
+    elsewhere; the others are the rows of ``df``. A text's codes stand for its
+    first ``most`` words.
     """
     rest = [c for c in df.columns if c not in columns]
+    codes = ", ".join(f"`{c}` array<int>" for c in columns)
+    own = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in df.select(*rest).schema)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: defaultdict[str, int] = defaultdict(count().__next__)
+        names = ["_block", "_words", *rest, *columns]
+        block, held, kinds = TaskContext.get().partitionId() << 32, 0, []
+
+        def numbers(text: str | None) -> list[int] | None:
+            if text is None:
+                return None
+            words = text.split() if most is None else text.split(None, most)[:most]
+            return list(map(known.__getitem__, words))
+
+        def words() -> pa.RecordBatch:
+            listed = [pa.array([block], type=pa.int64()), pa.array([list(known)], type=pa.list_(pa.string()))]
+            return pa.RecordBatch.from_arrays(listed + [pa.nulls(1, kind) for kind in kinds], names=names)
+
+        for batch in batches:
+            before = len(known)
+            lists = [pa.array(list(map(numbers, batch.column(c).to_pylist())), type=pa.list_(pa.int32())) for c in columns]
+            kept = [batch.column(c) for c in rest]
+            kinds = [a.type for a in kept + lists]
+            rows = [pa.array([block] * batch.num_rows, type=pa.int64()), pa.nulls(batch.num_rows, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(rows + kept + lists, names=names)
+            held += sum(map(len, islice(reversed(known), len(known) - before)))
+            if len(known) >= BLOCK_WORDS or held >= BLOCK_CHARS:
+                yield words()
+                known.clear()
+                known.default_factory = count().__next__
+                block, held = block + 1, 0
+        if known:
+            yield words()
 
-    def tokens(side: int, column: str) -> Column:
-        entry = F.transform(column, lambda t, i: F.struct(F.lit(side).alias("_side"), i.alias("_pos"), t.alias("token")))
-        return F.coalesce(entry, F.array().cast("array<struct<_side: int, _pos: int, token: string>>"))
-
-    entries = F.concat(
-        *[tokens(k, c) for k, c in enumerate(columns)],
-        # null arrays stay null: the row's own entry tells which there are
-        F.array(F.struct(F.lit(-1).alias("_side"), F.lit(-1).alias("_pos"), F.lit(None).cast("string").alias("token"))),
-    )
-    given = [F.col(c).isNotNull().alias(c) for c in columns]
-    rows = df.select(F.monotonically_increasing_id().alias("_key"), F.struct(*[F.col(c) for c in rest], F.struct(*given).alias("_given")).alias("_row"), entries.alias("_e"))
-    uses = rows.select("_key", "_row", F.explode("_e").alias("_e"))
-    own = F.col("_e._side") == -1
-    uses = uses.select(
-        "_key",
-        F.when(own, F.col("_row")).alias("_row"),
-        "_e._side",
-        "_e._pos",
-        # no word holds a line break, so this matches nothing and is spread by the row's number
-        F.when(own, F.concat(F.lit("\n"), F.col("_key").cast("string"))).otherwise(F.col("_e.token")).alias("token"),
-    )
+    return df.select(*rest, *columns).mapInArrow(coded, f"_block bigint, _words array<string>{own}, {codes}")
+
+
+def lookup(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int, most: int | None = None) -> DataFrame:
+    """Replace the texts in ``columns`` by arrays of the ids of their (first ``most``) words.
+
+    Each task numbers its distinct words as it reads and keeps its texts as
+    arrays of these numbers; the result is written once to the shared folder.
+    Only the distinct words of a block meet the vocabulary, whose ids then come
+    back to the block's rows as one array: a word is shuffled once a block, not
+    once a use, and no text is shuffled. A vocabulary of any size takes this
+    plan; Catalyst broadcasts what is small enough. White space is that of
+    ``str.split``. A null text stays null, a word that the vocabulary lacks gets
+    ``unk_id``, one that it lists twice is an error. Rows may repeat in every
+    column; columns named ``_block`` or ``_words`` are an error.
+    """
+    if {"_block", "_words"} & set(df.columns):
+        raise ValueError("columns must not be named _block or _words")
+    coded = write_through(_coded(df, columns, most), "coded")
     once = vocabulary.groupBy("token").agg(F.max("token_id").alias("token_id"), F.count(F.lit(1)).alias("_n"))
     repeated = F.raise_error(F.concat(F.lit("the vocabulary lists a token more than once: "), F.col("token")))
     once = once.select("token", F.when(F.col("_n") == 1, F.col("token_id")).otherwise(repeated.cast("int")).alias("token_id"))
-    found = uses.join(once, "token", "left")
-    place = F.struct(F.col("_pos").alias("p"), F.coalesce("token_id", F.lit(unk_id)).alias("t"))
-    lists = found.groupBy("_key").agg(
-        F.first("_row", ignorenulls=True).alias("_row"),
-        *[F.collect_list(F.when(F.col("_side") == k, place)).alias(f"_ids{k}") for k in range(len(columns))],
-    )
-    ids = [F.when(F.col(f"_row._given.{c}"), F.transform(F.sort_array(f"_ids{k}"), lambda s: s["t"])).alias(c) for k, c in enumerate(columns)]
-    return lists.select("_row.*", *ids).drop("_given")
+    words = coded.where(F.col("_words").isNotNull()).select("_block", F.posexplode("_words").alias("_code", "token"))
+    found = words.join(once, "token", "left").groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("_code", F.coalesce("token_id", F.lit(unk_id)).alias("id")))).alias("_ids"))
+    rows = coded.where(F.col("_words").isNull()).drop("_words")
+    joined = rows.join(found.select("_block", F.col("_ids.id").alias("_ids")), "_block", "left")
+    ids = {c: F.transform(c, lambda x: F.get(F.col("_ids"), x)) for c in columns}
+    return joined.select(*[c for c in df.columns if c not in columns], *[v.alias(c) for c, v in ids.items()])
 
 
 def encode_fixed_length(
@@ -76,12 +111,15 @@ def encode_fixed_length(
     pad_id: int = 0,
     unk_id: int = 1,
     padding_side: str = "right",
+    keep_text: bool = False,
 ) -> DataFrame:
     """Add ``input_ids``, ``attention_mask`` and ``labels``.
 
     Give either a ``vocabulary`` (token string, token_id int; tokens are
     white-space words) or a ``tokenizer`` from a text column to an id-array
-    column, for example a pandas UDF. ``labels`` are the ids of ``label`` where
+    column, for example a pandas UDF. With a vocabulary the texts themselves
+    are left out of the result unless ``keep_text``, so that they never travel
+    with the ids. ``labels`` are the ids of ``label`` where
     there is one, else a copy of ``input_ids``; padding is not masked in them.
     """
     if (vocabulary is None) == (tokenizer is None):
@@ -94,10 +132,10 @@ def encode_fixed_length(
         for c in columns:
             work = work.withColumn(c, tokenizer(F.col(sources[c])))
     else:
-        for c in columns:
-            # truncate before the lookup: nothing beyond max_length is used
-            work = work.withColumn(c, F.slice(split_words(sources[c], max_length), 1, max_length))
-        work = lookup(work, columns, vocabulary.select("token", F.col("token_id").cast("int").alias("token_id")), unk_id)
+        work = work.withColumns({c: F.col(sources[c]) for c in columns})
+        work = work if keep_text else work.drop(*sources.values())
+        vocabulary = vocabulary.select("token", F.col("token_id").cast("int").alias("token_id"))
+        work = lookup(work, columns, vocabulary, unk_id, max_length)
     ids, mask = fixed_length(F.col("_text_ids"), max_length, pad_id, padding_side)
     work = work.withColumn("input_ids", ids).withColumn("attention_mask", mask)
     labels = F.col("input_ids")

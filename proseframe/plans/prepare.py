@@ -58,7 +58,7 @@ def prepare_dataset(
     samples, quarantine = read_samples(spark, path, text_col, label_col, fmt, id_col=id_col)
     data = prepared_splits(samples, **options)
     if vocabulary is not None or tokenizer is not None:
-        data = encode_fixed_length(data, vocabulary, tokenizer, max_length)
+        data = encode_fixed_length(data, vocabulary, tokenizer, max_length, keep_text=True)
     write_splits(data, f"{out}/data")
     quarantine.write.json(f"{out}/quarantine")
     result = spark.read.parquet(f"{out}/data")

@@ -242,13 +242,51 @@ def test_encode_repeated_rows_and_tokens(spark):
     for how in ("broadcast", "shuffle_merge"):
         got = encode_fixed_length(df, vocabulary.hint(how), max_length=3)
         assert got.count() == 4
-        ids = sorted(str((r["input_ids"], r["labels"])) for r in got.collect() if r["text"])
+        ids = sorted(str((r["input_ids"], r["labels"])) for r in got.collect() if any(r["input_ids"] or []))
         assert ids == sorted(["([5, 6, 5], [6, 0, 0])"] * 2 + ["([6, 0, 0], [6, 0, 0])"])
         twice = vocabulary.union(vocabulary.limit(1))
         with pytest.raises(Exception, match="more than once"):
             encode_fixed_length(df, twice.hint(how), max_length=3).collect()
 
 
+def test_encode_by_blocks(spark, monkeypatch):
+    """Blocks of few words, white space of every kind, other columns of any type, columns called like the operator's own."""
+    import datetime
+    import random
+
+    from proseframe.operators import encode
+
+    monkeypatch.setattr(encode, "BLOCK_WORDS", 5)
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(40)] + ["é", "中文"]
+    spaces = [" ", "\t", "\n", "\u3000", "\u0085", "\x1c", "  "]
+    texts = ["".join(rng.choice(words) + rng.choice(spaces) for _ in range(rng.randint(0, 30))) for _ in range(60)] + [None, ""]
+    day = datetime.datetime(2024, 1, 2, tzinfo=datetime.timezone.utc)
+    df = spark.createDataFrame([(i, t, day, [i], {"k": 1.5}) for i, t in enumerate(texts)], "sample_id int, text string, at timestamp, list array<int>, map map<string, double>").repartition(3)
+    vocabulary = spark.createDataFrame([(w, i + 2) for i, w in enumerate(words[::2])], "token string, token_id int")
+    known = {w: i + 2 for i, w in enumerate(words[::2])}
+    with_batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        got = {r["sample_id"]: r for r in encode.lookup(df.withColumn("ids", F.col("text")), ["ids"], vocabulary, 1, 20).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_batches)
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert got[i]["ids"] == (None if t is None else [known.get(w, 1) for w in t.split()[:20]])
+        assert (got[i]["text"], got[i]["list"], got[i]["map"]) == (t, [i], {"k": 1.5}) and got[i]["at"] is not None
+    with pytest.raises(ValueError, match="_block"):
+        encode.lookup(df.withColumn("_block", F.lit(1)), ["text"], vocabulary, 1)
+
+
+def test_encode_moves_words_once_a_block(spark):
+    """No text in a shuffle, no generator over the uses of words: only (block, word) rows meet the vocabulary."""
+    df = spark.createDataFrame([(1, "a b a", None)], "sample_id long, text string, label string")
+    vocabulary = spark.createDataFrame([("a", 10)], "token string, token_id int")
+    plan = encode_fixed_length(df, vocabulary)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("posexplode(") == 1 and "text#" not in plan
+
+
 def test_chunks_by_position_are_few(spark):
     from proseframe.operators.scans import POSITION, positioned
 
