@@ -25,7 +25,7 @@ from proseframe.sources.metric_log import append_metric_log, read_metric_log
 from proseframe.sources.prompts import read_prompts
 from proseframe.sources.samples import read_samples
 from proseframe.sources.synthetic import CHOICES, draw_samples
-from proseframe.streaming import jobs
+from proseframe.streaming import jobs, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -769,6 +769,33 @@ def stream_running_best(spark, sf):
     return rows.select("run_id", "log_seq", "is_best", "best_so_far", "strikes", "is_late")
 
 
+def stream_run_states(spark, sf):
+    """The log in four micro-batches, the last one with rows of the first again: they are late."""
+    log = metric_log(table(spark, sf, "events")).select("run_id", "log_seq", "eval_loss")
+    path, out, checkpoint = (shared_dir(spark, f"stream-{p}") for p in ("log", "out", "checkpoint"))
+    first, second, third = log.approxQuantile("log_seq", [0.25, 0.5, 0.75], 0.01)
+    seq = F.col("log_seq")
+    parts = [seq < first, (seq >= first) & (seq < second), (seq >= second) & (seq < third), (seq >= third) | (seq < 40)]
+    for part in parts:  # one after the other, so that the files' times tell their order
+        log.where(part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    keyed.stream_run_states(stream, out, checkpoint, threshold=0.5, once=True).awaitTermination()
+    rows = spark.read.parquet(out)
+    return rows.select("run_id", "log_seq", "is_best", "best_so_far", "strikes", "is_late")
+
+
+def stream_success_rate_batches(spark, sf):
+    """Running success rates over twenty micro-batches, read from the few tables that are left."""
+    rows = table(spark, sf, "events").select("event_id", "user_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("output"))
+    path, out, checkpoint = (shared_dir(spark, f"stream-{p}") for p in ("events", "out", "checkpoint"))
+    rows.repartition(20, "event_id").write.parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    ok = F.col("output").isNotNull()
+    metrics = [F.count(F.lit(1)).alias("n_prompts"), F.count_if(ok).alias("n_success"), F.avg(ok.cast("double")).alias("success_rate")]
+    jobs.stream_metrics(stream, out, checkpoint, metrics, by=["user_id"], once=True).awaitTermination()
+    return rounded(jobs.latest_groups(spark, out, ["user_id"]), "success_rate")
+
+
 QUERIES: dict[str, Query] = {
     "clean_text_default": clean_text_default,
     "clean_text_max200": clean_text_max200,
@@ -858,4 +885,6 @@ QUERIES: dict[str, Query] = {
     "stream_jsonl_quarantine": stream_jsonl_quarantine,
     "stream_success_rate": stream_success_rate,
     "stream_running_best": stream_running_best,
+    "stream_run_states": stream_run_states,
+    "stream_success_rate_batches": stream_success_rate_batches,
 }

@@ -569,9 +569,17 @@ ORACLES: dict[str, str] = {
   FROM (SELECT doc_id, text, substr({_key('doc_id')}, 1, 8) AS k FROM documents) WHERE {_collapse('text')} <> ''""",
     "stream_success_rate": f"""SELECT user_id, {_SHARES} FROM (
     SELECT user_id, CASE WHEN event_type <> 'error' THEN event_type END AS output FROM events) GROUP BY user_id""",
+    "stream_success_rate_batches": f"""SELECT user_id, {_SHARES} FROM (
+    SELECT user_id, CASE WHEN event_type <> 'error' THEN event_type END AS output FROM events) GROUP BY user_id""",
     "stream_running_best": f"""{_STRIKES},
   best AS ({_running_best('<', 'min')})
   SELECT b.run_id, b.log_seq, is_best, CASE WHEN is_best THEN eval_loss ELSE prior END AS best_so_far,
     coalesce(last_value(w.strikes IGNORE NULLS) OVER (PARTITION BY b.run_id ORDER BY b.log_seq), 0)::BIGINT AS strikes, false AS is_late
   FROM best b LEFT JOIN walk w ON w.run_id = b.run_id AND w.log_seq = b.log_seq""",
+    "stream_run_states": f"""{_STRIKES},
+  best AS ({_running_best('<', 'min')})
+  SELECT b.run_id, b.log_seq, is_best, CASE WHEN is_best THEN eval_loss ELSE prior END AS best_so_far,
+    coalesce(last_value(w.strikes IGNORE NULLS) OVER (PARTITION BY b.run_id ORDER BY b.log_seq), 0)::BIGINT AS strikes, false AS is_late
+  FROM best b LEFT JOIN walk w ON w.run_id = b.run_id AND w.log_seq = b.log_seq
+  UNION ALL SELECT run_id, log_seq, NULL, NULL, NULL, true FROM log WHERE log_seq < 40""",
 }

@@ -63,12 +63,27 @@ def stream_json_lines(
     return _start(parsed.writeStream.outputMode("append").foreachBatch(publish), checkpoint, once)
 
 
+def _newest(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row of each group, of its newest version."""
+    values = [c for c in rows.columns if c not in by]
+    newest = rows.groupBy(*by).agg(F.max_by(F.struct(*values), "version").alias("_newest"))
+    return newest.select(*by, *[F.col("_newest")[c].alias(c) for c in values]).where(F.col("version").isNotNull())
+
+
 def latest_groups(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
-    """The newest row of every group written by ``stream_metrics``."""
-    table = spark.read.parquet(path)
-    values = [c for c in table.columns if c not in (*by, "version")]
-    newest = F.max_by(F.struct(*values), "version").alias("_newest")
-    return table.groupBy(*by).agg(newest).select(*by, "_newest.*")
+    """The newest row of every group written by ``stream_metrics``, from at most log2(micro-batches) + 1 tables."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
+    return _newest(rows, by).drop("version")
+
+
+def _level(batch_id: int) -> int:
+    """How many tables the micro-batch is merged with: the trailing zeros of its number from 1."""
+    return ((batch_id + 1) & -(batch_id + 1)).bit_length() - 1
+
+
+def _merged_with(batch_id: int) -> list[str]:
+    """Tables that stand before this micro-batch and go into its own, one of each lower level."""
+    return [f"level-{k}-batch-{batch_id - (1 << k)}" for k in range(_level(batch_id))]
 
 
 def stream_metrics(
@@ -79,11 +94,27 @@ def stream_metrics(
     by: Sequence[str] = (),
     once: bool = False,
 ) -> StreamingQuery:
-    """Running aggregates; a micro-batch writes only the groups it changed, as one version."""
+    """Running aggregates; a micro-batch writes only the groups it changed, with its number as ``version``.
+
+    Tables are merged like the digits of a binary counter: the table of
+    micro-batch n takes in one of each level below the trailing zeros of n+1 and
+    keeps each group's newest row. So a row is rewritten at most log2(n) times
+    and about log2(n) + 1 tables stand at any time. What was merged is removed
+    when the next micro-batch begins: the tables that a micro-batch reads are
+    there until it has ended, so a repeated one writes the same, and a reader
+    has a micro-batch's time to finish.
+    """
     table = rows.groupBy(*by).agg(*metrics)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/version={batch_id}")
+        session = batch.sparkSession
+        for name in _merged_with(batch_id - 1) if batch_id else []:
+            remove(session, f"{out}/{name}")
+        changed = batch.withColumn("version", F.lit(batch_id).cast("bigint"))
+        before = [f"{out}/{name}" for name in _merged_with(batch_id)]
+        if before:
+            changed = _newest(session.read.schema(changed.schema).parquet(*before).unionByName(changed), by)
+        changed.write.mode("overwrite").parquet(f"{out}/level-{_level(batch_id)}-batch-{batch_id}")
 
     return _start(table.writeStream.outputMode("update").foreachBatch(publish), checkpoint, once)
 

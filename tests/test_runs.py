@@ -212,7 +212,84 @@ def test_stream_metrics_keep_running(spark, tmp_path):
         metrics = [F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("n_ok")]
         jobs.stream_metrics(stream, out, checkpoint, metrics, by=["m"], once=True).awaitTermination()
     assert rows(jobs.latest_groups(spark, out, ["m"])) == [("a", 2, 2), ("b", 1, 0), ("c", 1, 1)]
-    assert spark.read.parquet(out).where("version = 1").count() == 2  # group b did not change
+    newest = spark.read.option("recursiveFileLookup", True).parquet(out).groupBy("m").agg(F.max("version").alias("v"))
+    assert rows(newest) == [("a", 1), ("b", 0), ("c", 1)]  # group b did not change
+
+
+def test_stream_metrics_merge_their_tables(spark, tmp_path):
+    """After 20 micro-batches at most log2(20) + 1 tables stand, and they tell what a batch job does."""
+    import os
+    import time
+
+    source = tmp_path / "in"
+    source.mkdir()
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    lines = []
+    for part in range(20):
+        own = [f'{{"m": "k{i}", "ok": {str((i + part) % 3 == 0).lower()}}}' for i in range(part % 7 + 1)]
+        (source / f"f{part:02}.json").write_text("\n".join(own))
+        os.utime(source / f"f{part:02}.json", (time.time() + part, time.time() + part))
+        lines += own
+    stream = spark.readStream.schema("m string, ok boolean").option("maxFilesPerTrigger", 1).json(str(source))
+    metrics = [F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("n_ok")]
+    jobs.stream_metrics(stream, out, checkpoint, metrics, by=["m"], once=True).awaitTermination()
+    assert len(os.listdir(out)) <= 5
+    whole = spark.read.schema("m string, ok boolean").json(str(source))
+    assert rows(jobs.latest_groups(spark, out, ["m"])) == rows(whole.groupBy("m").agg(*metrics))
+
+
+def test_merged_tables_follow_a_counter():
+    from proseframe.streaming.jobs import _level, _merged_with
+
+    standing: set[str] = set()
+    for batch in range(300):
+        standing -= set(_merged_with(batch - 1)) if batch else set()
+        assert set(_merged_with(batch)) <= standing
+        standing.add(f"level-{_level(batch)}-batch-{batch}")
+        assert len(standing) <= (batch + 1).bit_length() + 1 and len(standing) - _level(batch) == (batch + 1).bit_count()
+
+
+def test_keyed_states_equal_walk(spark, tmp_path):
+    from proseframe.streaming.keyed import stream_run_states
+
+    data = make_log(5, n=90)
+    source, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "cp"))
+    for part in range(3):
+        chunk = data[part * 30 : part * 30 + 30]
+        if part == 2:
+            chunk = chunk + [(chunk[0][0], 0, 0.0, 0, 0.0, 0.0001, 0.0)]  # older than the state: late
+        spark.createDataFrame(chunk, LOG).coalesce(1).write.mode("append").json(source)
+        stream_run_states(read_metric_log(spark, source, stream=True), out, checkpoint, once=True).awaitTermination()
+    got = spark.read.parquet(out).collect()
+    late = [r for r in got if r["is_late"]]
+    assert len(late) == 1 and late[0]["is_best"] is None and len(got) == 91 and not any(r["is_closed"] for r in got)
+    seen, stop = walk(data)
+    assert {(r["run_id"], r["log_seq"]): (r["is_best"], r["best_so_far"], r["strikes"]) for r in got if not r["is_late"]} == seen
+    stops = {r["run_id"]: r["stop_at"] for r in sorted(got, key=lambda r: r["log_seq"]) if not r["is_late"] and r["stop_at"] is not None}
+    assert stops == {k: v for k, v in stop.items() if v is not None}
+
+
+def test_keyed_states_close_idle_runs(spark, tmp_path):
+    import os
+    import time
+
+    from proseframe.streaming.keyed import stream_run_states
+
+    source = tmp_path / "in"
+    source.mkdir()
+    minutes = [[("a", 1, 5.0, 0), ("b", 1, 3.0, 0)], [("a", 2, 4.0, 30)], [("a", 3, 4.5, 90)], [("a", 4, 4.4, 200)], [("b", 2, 9.0, 201), ("b", 3, None, 201)]]
+    for i, part in enumerate(minutes):
+        lines = [f'{{"run_id": "{r}", "log_seq": {q}, "eval_loss": {"null" if v is None else v}, "ts": "2024-01-01 {m // 60:02}:{m % 60:02}:00"}}' for r, q, v, m in part]
+        (source / f"{i}.json").write_text("\n".join(lines))
+        os.utime(source / f"{i}.json", (time.time() + i, time.time() + i))
+    log = spark.readStream.schema("run_id string, log_seq bigint, eval_loss double, ts timestamp").option("maxFilesPerTrigger", 1).json(str(source))
+    out = str(tmp_path / "out")
+    stream_run_states(log.withWatermark("ts", "1 minute"), out, str(tmp_path / "cp"), ts="ts", idle="1 hour", once=True).awaitTermination()
+    got = spark.read.parquet(out).collect()
+    assert {(r["run_id"], r["log_seq"], r["best_so_far"]) for r in got if r["is_closed"]} >= {("b", 1, 3.0)}
+    again = [r for r in got if r["run_id"] == "b" and r["log_seq"] == 2 and not r["is_closed"]]
+    assert len(again) == 1 and again[0]["is_best"]  # a run that comes back begins anew
+    assert len([r for r in got if not r["is_closed"]]) == 7
 
 
 def test_stream_running_best_over_batches_equals_walk(spark, tmp_path):
