@@ -15,8 +15,12 @@ WORD_BPE = "word_bpe_49k.json"
 _LETTERS, _NUMBERS = "a-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
 #: how the word_bpe file cuts normalised text (a fixed value of the file), for plain characters
 _UNIT = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[^{_LETTERS}{_NUMBERS}\\s]+")
-#: ASCII white space and printable characters up to Latin Extended-B: composed already, and lower-cased one by one
-_PLAIN = re.compile("[\t-\r -~¡-ɏ]*")
+#: characters up to Latin Extended-B whose lower case is one such character too (that of Ɓ, for one, is not)
+_LATIN = "".join(c for c in map(chr, range(0xA1, 0x250)) if len(c.lower()) == 1 and c.lower() <= "ɏ")
+#: ASCII white space and printable characters, and those: composed already, and lower-cased one by one
+_PLAIN = re.compile(f"[\t-\r -~{_LATIN}]*")
+#: how each string of a special token begins
+_SPECIAL = "<|"
 #: the character that stands for each byte in the vocabulary: itself if it can be seen, else one from U+0100 on
 _SEEN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _SHOWN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SEEN)))}
@@ -46,15 +50,15 @@ class WordEncoder:
 
     A text of plain Latin characters is cut into the tokenizer's own units
     here; their ids come from a cache of about ``limit`` units, a new unit's
-    from the tokenizer's merges. Any other text is left to the tokenizer whole.
-    Strings of special tokens are ordinary text.
+    from the tokenizer's merges. Any other text is left to the tokenizer whole,
+    also one that may hold a special token's string: ids are those of the
+    library's ``encode(text, add_special_tokens=False)``.
     """
 
     def __init__(self, path: str | None = None, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path or tokenizer_path())
-        self.whole.encode_special_tokens = True
         self.limit = limit
         self.cache = _Units(self.whole.model)
 
@@ -63,7 +67,7 @@ class WordEncoder:
         if len(self.cache) > self.limit:
             self.cache.clear()
         ids = self.cache.__getitem__
-        return [b"".join(map(ids, _UNIT.findall(t.lower()))) if t and _PLAIN.fullmatch(t) else self._whole(t) for t in texts]
+        return [b"".join(map(ids, _UNIT.findall(t.lower()))) if t and _SPECIAL not in t and _PLAIN.fullmatch(t) else self._whole(t) for t in texts]
 
     def _whole(self, text: str | None) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""

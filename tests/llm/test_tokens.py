@@ -15,7 +15,6 @@ from proseframe.session import shared_dir
 LONG = "the quick brown fox and the lazy dog of an old town " * 3000
 
 LIBRARY = Tokenizer.from_file(tokenizer_path())
-LIBRARY.encode_special_tokens = True
 
 
 def truth(text, end=()):
@@ -28,6 +27,18 @@ def test_ids_are_the_librarys(text):
     assert encoder().encode([text])[0] == truth(text)
 
 
+def test_every_character_and_special_string():
+    """Alone, inside and beside words: all characters up to Latin Extended-B and beyond, and the strings of special tokens."""
+    texts = []
+    for c in [*map(chr, range(1, 0x300)), *"ΣσςЖ中\u2003\ufb01\U0001f600"]:
+        texts += [c, f"a{c}b", f"{c}{c}x {c}", f"1{c} '{c}s"]
+    for special in ("<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|other|>", "<|", "|>"):
+        texts += [special, f"a {special} b", f"x{special}{special}y"]
+    got = encoder().encode(texts)
+    assert [t for t, ids in zip(texts, got) if ids != truth(t)] == []
+    assert np.frombuffer(encoder().encode(["a <|endoftext|>"])[0], "<u4")[-1] == 49407
+
+
 def test_cache_limit_changes_nothing():
     small = WordEncoder(limit=3)
     texts = ["one two three four", "two three five", None, "", LONG[:2000]]
