@@ -26,11 +26,11 @@ from proseframe.llm.batches import small_batches
 from proseframe.session import write_through
 
 #: words of the longest phrase; words and bytes counted together before they leave a task
-MOST, BLOCK_WORDS, BLOCK_BYTES = 4, 2_000_000, 32 << 20
+MOST, BLOCK_WORDS, BLOCK_BYTES = 4, 1_200_000, 16 << 20
 #: A to Z lower-cased; what ends a piece is a full stop
 _PIECES = bytes(b + 32 if 65 <= b <= 90 else 46 if b in b".,;:!?" or 10 <= b <= 13 else b for b in range(256))
 #: texts whose windows make up a range, on average: what a task holds of the merged stream; least sample for the ranges
-RANGE_CHARS, SAMPLE_CHARS = 12_000_000, 4_000_000
+RANGE_CHARS, SAMPLE_CHARS = 8_000_000, 4_000_000
 STREAM = "range int, lang string, words binary, codes binary, n binary"
 STREAM_NAMES, ARROW = ["range", "lang", "words", "codes", "n"], [pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
 #: groups in which each language's best are looked for before they meet
