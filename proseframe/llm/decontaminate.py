@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
+from proseframe.functions.bind import computed_and_kept
 from proseframe.llm.batches import small_batches
 from proseframe.llm.fmindex import FMIndex
 from proseframe.session import write_through
@@ -207,10 +208,16 @@ def remove_matches(docs: DataFrame, items: DataFrame, text_col: str = "text", le
     """
     columns = docs.columns
     found = with_matches(docs, items, text_col, cut=True, **options)
-    spans, hit = F.col("__hits.spans"), F.size("__hits.spans") > 0
-    whole = (F.size(spans) == 2) & (F.get(spans, F.lit(0)) == 0) & (F.get(spans, F.lit(1)) == F.col("__hits.n_words"))
+    hit = F.size("__hits.spans") > 0
+
+    def partial(hits):
+        spans = hits["spans"]
+        return ~((F.size(spans) == 2) & (F.get(spans, F.lit(0)) == 0) & (F.get(spans, F.lit(1)) == hits["n_words"]))
+
+    # a filter over the matches would be pushed below them and match again
+    found = found.withColumn("__hits", computed_and_kept(F.col("__hits"), partial))
     changed = {text_col: F.when(hit, F.col("__hits.left")).otherwise(F.col(text_col))}
     if length_col in columns:
         length = F.length("__hits.left").cast(docs.schema[length_col].dataType)
         changed[length_col] = F.when(hit, length).otherwise(F.col(length_col))
-    return found.where(~whole).withColumns(changed).select(*columns)
+    return found.withColumns(changed).select(*columns)

@@ -109,13 +109,27 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Of rows that repeat an id, the one that lies in the group is found by a
     hash of id and text; rows that repeat both are one. Where no row of a group
-    has an id, one of them stays. The decision is a narrow table; texts are
-    shuffled once, to meet it.
+    has an id, one of them stays. What goes is a narrow table, which texts are
+    not shuffled to meet unless it is too large to broadcast; only rows that
+    repeat id and text and stay are shuffled, to become one.
     """
     groups = simhash_groups(docs, id_col, text_col, distance)
-    first = (F.col("id") == F.col("component_id")) | (F.col("id").isNull() & F.col("component_id").isNull())
-    chosen = groups.where(first).groupBy("group").agg(F.min(F.struct("key", "id")).alias("row"))
-    chosen = write_through(chosen.select(F.col("row.key").alias("__key"), F.col("row.id").alias("__id")), "simhash-kept")
-    keyed = docs.withColumn("__own", row_key(id_col, text_col))
-    same = (keyed["__own"] == chosen["__key"]) & keyed[id_col].eqNullSafe(chosen["__id"])
-    return keyed.join(chosen, same, "left_semi").dropDuplicates(["__own", id_col]).select(*docs.columns)
+    first = F.col("id").eqNullSafe(F.col("component_id"))
+    rows = write_through(groups.select("group", "key", "id", first.alias("first")), "simhash-rows")
+    firsts = rows.where("first")
+    chosen = firsts.groupBy("group").agg(F.min(F.struct("key", "id")).alias("row")).select("group", F.col("row.key").alias("__key"), F.col("row.id").alias("__id"))
+    others = firsts.join(chosen, "group").where((F.col("key") != F.col("__key")) | ~F.col("id").eqNullSafe(F.col("__id")))
+    gone = rows.where("not first").select("key", "id").unionByName(others.select("key", "id")).distinct()
+    gone = write_through(gone.select(F.col("key").alias("__key"), F.col("id").alias("__id")), "simhash-gone")
+    repeated = firsts.groupBy(F.col("key").alias("__key"), F.col("id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    repeated = write_through(repeated.select("__key", "__id"), "simhash-repeated")
+
+    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        own = row_key(id_col, text_col)
+        return rows.join(keys, (own == keys["__key"]) & rows[id_col].eqNullSafe(keys["__id"]), how)
+
+    kept = met(docs, gone, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    once = met(kept, repeated, "left_semi").withColumn("__own", row_key(id_col, text_col)).dropDuplicates(["__own", id_col]).drop("__own")
+    return met(kept, repeated, "left_anti").unionByName(once)

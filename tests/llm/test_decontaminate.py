@@ -89,3 +89,12 @@ def test_removal(spark, odd, empty):
     assert sum(r.doc_id == 1 for r in rows) == 2 and remove_matches(empty, items).count() == 0
     assert cut_words("Keep, this! cut THIS é? keep", [2, 5]) == "Keep, this! \n? keep"
     assert LONG not in {t for _, t in kept}
+
+
+def test_one_index_for_each_batch(spark):
+    from proseframe.llm.decontaminate import remove_matches
+
+    docs = spark.createDataFrame([(1, "a b c", 5)], "doc_id bigint, text string, n_chars bigint")
+    items = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
+    plan = remove_matches(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
