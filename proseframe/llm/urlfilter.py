@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proseframe.session import remove, shared_dir
+from proseframe.session import remove, shared_dir, write_through
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -71,7 +71,21 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-4) -> DataFrame:
+def domain_links(hosts: DataFrame, labels: int = 2) -> DataFrame:
+    """(src, dst, n) between each host of (host, n) and its parent domain, both ways, up to domains of ``labels`` labels.
+
+    A site stands behind its subdomains, and they for it; ``n`` is the number of
+    pages below. Parents without pages of their own take part.
+    """
+    parts = F.split("host", r"\.")
+    up = F.sequence(F.lit(0), F.size(parts) - labels - 1)
+    names = F.transform(up, lambda i: F.struct(F.array_join(F.slice(parts, i + 1, F.size(parts)), ".").alias("low"), F.array_join(F.slice(parts, i + 2, F.size(parts)), ".").alias("high")))
+    steps = hosts.where((F.size(parts) > labels) & ~F.contains("host", F.lit(".."))).select("n", F.explode(names).alias("e"))
+    steps = steps.groupBy(F.col("e.low").alias("low"), F.col("e.high").alias("high")).agg(F.sum("n").alias("n"))
+    return steps.select(F.col("low").alias("src"), F.col("high").alias("dst"), "n").unionByName(steps.select(F.col("high").alias("src"), F.col("low").alias("dst"), "n"))
+
+
+def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: int = 200, tolerance: float = 1e-3) -> DataFrame:
     """(host, trust, distrust) from seeds (host, trust, distrust) and links (src, dst, n).
 
     Personalised PageRank without teleporting anywhere but to the seeds. Trust
@@ -79,7 +93,9 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: in
     blocked host. Values are scaled so that a seed alone keeps its own weight.
     A round is one join on the giving host and one grouped sum, combined before
     the shuffle, for both values at once; each is written to the shared folder.
-    Ends when the total change falls below ``tolerance`` of the total.
+    Ends when the total change falls below ``tolerance`` of the total, and
+    raises if that takes more than ``rounds`` (what is still missing shrinks by
+    ``damping`` a round, so it does not at these settings).
     """
     spark = seeds.sparkSession
     paths: list[str] = []
@@ -106,38 +122,46 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = 0.85, rounds: in
         )
         after = keep(start.unionByName(sent).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-values")
         moved = after.withColumn("now", F.lit(1)).unionByName(values.withColumn("now", F.lit(-1)))
-        moved = moved.groupBy("host").agg(F.sum(F.col("trust") * F.col("now")).alias("t"), F.sum(F.col("distrust") * F.col("now")).alias("d"))
-        change = moved.agg(F.sum(F.abs("t") + F.abs("d"))).first()[0] or 0.0
-        total = after.agg(F.sum(F.col("trust") + F.col("distrust"))).first()[0] or 0.0
+        both = F.when(F.col("now") > 0, F.col("trust") + F.col("distrust"))
+        moved = moved.groupBy("host").agg(F.sum(F.col("trust") * F.col("now")).alias("t"), F.sum(F.col("distrust") * F.col("now")).alias("d"), F.sum(both).alias("all"))
+        row = moved.agg(F.sum(F.abs("t") + F.abs("d")).alias("change"), F.sum("all").alias("total")).first()
+        change, total = row["change"] or 0.0, row["total"] or 0.0
         if old:
             remove(spark, old)
         values, old = after, paths[-1]
         if change <= tolerance * max(total, 1e-12):
-            break
-    return values
+            return values
+    raise RuntimeError(f"trust did not settle in {rounds} rounds")
 
 
-def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", rules=RULES, least_distrust: float = 0.5, prior_pages: int = 2, damping: float = 0.85) -> DataFrame:
+def judge(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", rules=RULES, over: float = 1.5, least_share: float = 0.05, prior_pages: int = 2, damping: float = 0.85) -> DataFrame:
     """(id, host, path, rule, trust, distrust, verdict) for each page.
 
     A rule's verdict stands. Other pages take their host's: the seeds are the
     shares of a host's pages that rules allow (trust) and block (distrust), as
     if ``prior_pages`` more had no rule, so that a host of one page is no seed
-    of full weight; they are spread over links between hosts. A host is blocked if its distrust exceeds
-    its trust and is at least ``least_distrust``. Html is read once, for its
-    links, and never shuffled. A null url, or one without "://", has an empty
-    host and path and is allowed; pages without html have no links; repeated
-    pages count as often as they stand; other columns are ignored; no pages
-    give no rows.
+    of full weight. They are spread over the links between hosts and between a
+    host and its parent domains. A host is blocked if its distrust exceeds its
+    trust ``over`` times and is at least ``least_share`` of the blocked seeds'
+    mean distrust.
+    Html is read once, for its links, and never shuffled. A null url, or one
+    without "://", has an empty host and path and is allowed; pages without
+    html have no links; repeated pages count as often as they stand; other
+    columns are ignored; no pages give no rows.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rows = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("r", rule_of(F.col("host"), F.col("path"), rules))
     allowed, blocked = (F.count(F.when(F.col("r.verdict") == v, 1)) for v in ("allow", "block"))
-    n = F.count(F.lit(1)) + prior_pages
-    seeds = rows.where("host <> ''").groupBy("host").agg((allowed / n).alias("trust"), (blocked / n).alias("distrust"))
-    hosts = spread(seeds, host_links(pages, url, html), damping)
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least_distrust)
+    count = F.count(F.lit(1))
+    counts = rows.where("host <> ''").groupBy("host").agg(allowed.alias("allowed"), blocked.alias("blocked"), count.alias("n"))
+    counts = write_through(counts, "host-counts")
+    weight = F.col("n") + prior_pages
+    seeds = counts.select("host", (F.col("allowed") / weight).alias("trust"), (F.col("blocked") / weight).alias("distrust"))
+    mean = seeds.agg(F.avg(F.when(F.col("distrust") > 0, F.col("distrust")))).first()[0] or 0.0
+    links = host_links(pages, url, html).unionByName(domain_links(counts.select("host", "n")))
+    hosts = spread(seeds, links.groupBy("src", "dst").agg(F.sum("n").alias("n")), damping)
+    bad = (F.col("distrust") > over * F.col("trust")) & (F.col("distrust") >= least_share * mean)
     judged = rows.join(hosts, "host", "left").withColumn("by_host", F.when(bad, "block").otherwise("allow"))
     return judged.select(
         "page_id", "host", "path", F.col("r.rule").alias("rule"), "trust", "distrust", F.coalesce("r.verdict", "by_host").alias("verdict")
