@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proseframe.functions.text import strip
+from proseframe.sources.records import parsed_records, read_records
 
 # Formats in the order a directory is searched.
 FORMATS = ("csv", "json", "jsonl", "tsv")
@@ -97,6 +98,18 @@ def _read_delimited(spark, path, text_col, label_col, id_col, sep, encoding, mul
     return _split(rows, _needs_id(reason, id_col, _sample_id(id_col)), text, label, raw, _sample_id(id_col))
 
 
+def _read_delimited_blocks(spark, path, text_col, label_col, id_col, sep, glob):
+    """The same by blocks: one large file is read by many tasks, and each file's own header counts."""
+    records = read_records(spark, path, sep, glob)
+    wanted = list(dict.fromkeys([text_col] + [c for c in (label_col, id_col) if c]))
+    rows = parsed_records(records, wanted, sep, _CORRUPT).withColumn("_row", F.monotonically_increasing_id()).withColumnRenamed("file", "_file")
+    absent = F.col(_CORRUPT).isNotNull()
+    reason = F.when(~F.col("closed"), F.lit("quoted field never ends")).when(F.col(text_col).isNull() & absent, F.lit("text field missing"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    label = F.when(F.col(label_col).isNull() & absent, None).otherwise(F.coalesce(F.col(label_col), F.lit(""))) if label_col else F.lit(None).cast("string")
+    return _split(rows, _needs_id(reason, id_col, _sample_id(id_col)), text, label, F.col("record"), _sample_id(id_col))
+
+
 def _first_characters(spark, path, encoding, glob) -> DataFrame:
     """Per file the first character that is not white space."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
@@ -187,6 +200,7 @@ def read_samples(
     encoding: str = "utf-8",
     id_col: str | None = None,
     multi_line: bool = True,
+    by_blocks: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Read a file, or all files of one format in a directory.
 
@@ -195,6 +209,9 @@ def read_samples(
     the split sizes do; with it, ids are kept as they stand (strings) and a
     record without one goes to quarantine. ``multi_line=False`` lets Spark split large CSV files;
     it is right only where no field holds a line break.
+    ``by_blocks=True`` splits UTF-8 CSV files whose fields may hold line breaks
+    (see :mod:`proseframe.sources.records`): for one very large file, or files
+    whose headers differ in order.
     """
     glob = None
     if fmt is None and _is_directory_scan(path):
@@ -203,6 +220,8 @@ def read_samples(
     fmt = fmt or detect_format(path)
     if fmt in ("csv", "tsv"):
         sep = "," if fmt == "csv" else "\t"
+        if by_blocks:
+            return _read_delimited_blocks(spark, path, text_col, label_col, id_col, sep, glob)
         return _read_delimited(spark, path, text_col, label_col, id_col, sep, encoding, multi_line, glob)
     if fmt == "json":
         return _read_json(spark, path, text_col, label_col, id_col, encoding, glob)
