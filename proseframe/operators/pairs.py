@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from proseframe.session import write_through
+
 
 def pair(predictions: DataFrame, references: DataFrame, on: str = "row_id", strict: bool = False) -> DataFrame:
     """Join predictions to references by id.
@@ -26,6 +28,38 @@ def pair(predictions: DataFrame, references: DataFrame, on: str = "row_id", stri
     return joined.withColumn(on, checked).drop("_has_prediction", "_has_reference")
 
 
+def positioned_rows(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with ``position``: 0, 1, ... in the order of the columns, ties in any order.
+
+    Rows are sorted in ranges and written once with their place in the range;
+    only the ranges' row counts are added up.
+    """
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    written = write_through(ranges.withColumns({"_range": F.spark_partition_id(), "_place": place}), "positions")
+    counts = written.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))
+    before = counts.select("_range", (F.sum("n").over(Window.orderBy("_range")) - F.col("n")).alias("_before"))
+    return written.join(before, "_range").withColumn("position", F.col("_before") + F.col("_place")).drop("_range", "_place", "_before")
+
+
+def pair_by_position(predictions: DataFrame, references: DataFrame, prediction_order: str | list[str], reference_order: str | list[str]) -> DataFrame:
+    """(position, prediction, reference): the nth prediction beside the nth reference, each in its own order.
+
+    Unequal numbers of rows are an error when the plan runs.
+    """
+
+    def side(df: DataFrame, order, column: str) -> DataFrame:
+        order = [order] if isinstance(order, str) else order
+        return positioned_rows(df.select(column, *[F.col(c).alias(f"_by{i}") for i, c in enumerate(order)]), *[f"_by{i}" for i in range(len(order))]).select(
+            "position", column, F.lit(True).alias(f"_{column}")
+        )
+
+    joined = side(predictions, prediction_order, "prediction").join(side(references, reference_order, "reference"), "position", "full_outer")
+    lone = F.col("_prediction").isNull() | F.col("_reference").isNull()
+    message = F.raise_error(F.lit("as many predictions as references are needed")).cast("bigint")
+    return joined.select(F.when(lone, message).otherwise(F.col("position")).alias("position"), "prediction", "reference")
+
+
 def pairing_report(predictions: DataFrame, references: DataFrame, on: str = "row_id") -> DataFrame:
     """One row: ids on one side only and ids given more than once."""
     sides = predictions.select(on, F.lit(1).alias("p"), F.lit(0).alias("r")).unionByName(

@@ -5,6 +5,7 @@ Every query reads whole tables. Their SQL twins are in ``oracle``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +14,14 @@ from pyspark.sql import functions as F
 from proseframe.functions.text import char_count, continuation, strip, word_count
 from proseframe.operators import classify, compare, pairs, perplexity, report, splits, text_metrics, training_log
 from proseframe.operators.cleaning import clean_samples, cleaning_counts, render_template, resolve_pair_columns
-from proseframe.operators.complete import complete, complete_with_fallback, fallback_from_columns
+from proseframe.operators.complete import complete, complete_with_fallback, complete_with_ledger, fallback_from_columns
 from proseframe.operators.encode import encode_fixed_length, token_counts
 from proseframe.operators.ranks import batch_number
 from proseframe.plans.evaluate import evaluate_predictions, predictions_for
 from proseframe.plans.prepare import prepared_splits
 from proseframe.session import shared_dir
 from proseframe.sinks import writers
+from proseframe.sources.checkpoints import latest_checkpoint_in
 from proseframe.sources.datasets import load_named, read_split, resolve_dataset
 from proseframe.sources.metric_log import append_metric_log, read_metric_log
 from proseframe.sources.prompts import read_prompts
@@ -471,6 +473,30 @@ def perplexity_logits(spark, sf):
     return rounded(perplexity.perplexity_from_logits(rows), "perplexity")
 
 
+def perplexity_wide_logits(spark, sf):
+    """50,048 logits a row, in pieces: each vector again and again."""
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("row_id"), F.flatten(F.array_repeat("embedding", 782)).alias("logits"), F.when(F.col("label") == 0, -100).otherwise(F.col("label")).alias("label")
+    )
+    return rounded(perplexity.perplexity_from_chunks(perplexity.logit_chunks(rows)), "perplexity")
+
+
+def pair_by_position(spark, sf):
+    """Languages in the order of ids beside sources in the order of a hash."""
+    docs = table(spark, sf, "documents")
+    ordered = docs.select(F.col("lang").alias("prediction"), F.col("source").alias("reference"), "doc_id", F.md5(F.col("doc_id").cast("string")).alias("key"))
+    return pairs.pair_by_position(ordered, ordered, "doc_id", ["key", "doc_id"])
+
+
+def csv_by_blocks(spark, sf):
+    """Texts with line breaks in quoted fields, read by blocks."""
+    path = shared_dir(spark, "csv-blocks")
+    docs = table(spark, sf, "documents").select("doc_id", "lang", F.regexp_replace("text", " ([a-z])", "\n$1").alias("text"))
+    docs.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    samples, _ = read_samples(spark, path, "text", "lang", fmt="csv", id_col="doc_id", by_blocks=True)
+    return samples.select(F.col("sample_id").cast("bigint").alias("sample_id"), F.md5(F.replace("text", F.lit("\n"), F.lit(" "))).alias("text_md5"), "label")
+
+
 def _losses(spark, sf) -> DataFrame:
     events = table(spark, sf, "events")
     return events.select("event_type", (F.col("value") / 100).alias("loss"), F.col("user_id").alias("n_tokens"))
@@ -615,6 +641,25 @@ def retry_attempts(spark, sf):
     return complete(docs, _EveryOtherCallFails(), delay=0, batch_size=64, sleep=_no_wait).select("prompt_id", "output", "attempts", "error")
 
 
+def _tagged(tag: str):
+    return lambda prompts: [f"{tag} {hashlib.md5(p.encode()).hexdigest()}" for p in prompts]
+
+
+def complete_ledger(spark, sf):
+    """English documents are asked first, then all of them by another function: it gets only those not answered yet."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("prompt_id"), F.col("text").alias("prompt"), "lang")
+    path = shared_dir(spark, "ledger")
+    settings = {"rate": 20_000.0, "max_parallel": 4, "burst": 4, "batch_size": 64}
+    complete_with_ledger(docs.where("lang = 'en'").drop("lang"), _tagged("first"), path, **settings)
+    return complete_with_ledger(docs.drop("lang"), _tagged("second"), path, **settings).select("prompt_id", "output", "error")
+
+
+def complete_paced(spark, sf):
+    """Two providers with a wait between calls."""
+    providers = [("questions", _echo_questions), ("local", _first_word)]
+    return complete_with_fallback(_prompts(spark, sf), providers, delay=0.001, batch_size=64)
+
+
 def _source_language(prompts: list[str]) -> list[str | None]:
     return [None if p.endswith("9") else ("fr" if p.endswith("3") else "en") for p in prompts]
 
@@ -720,6 +765,20 @@ def latest_checkpoint(spark, sf):
     return training_log.latest_checkpoint(manifest)
 
 
+def latest_checkpoint_folder(spark, sf):
+    """The same from folders, one for each supplier, with a file in each."""
+    path = shared_dir(spark, "runs")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    suppliers = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey")
+    for row in suppliers.toLocalIterator():
+        name = hadoop.Path(f"{path}/run{row['s_nationkey']}/checkpoint-{row['s_suppkey']}/state.json")
+        file = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(name)
+        file.writeBytes("{}")
+        file.close()
+    found = latest_checkpoint_in(spark, path)
+    return found.select("run_id", F.regexp_extract("path", "/(run[^/]*/[^/]+)$", 1).alias("path"), "step")
+
+
 # --- streams, run to the end of the table ------------------------------------
 
 
@@ -856,6 +915,9 @@ QUERIES: dict[str, Query] = {
     "all_text_metrics": all_text_metrics,
     "all_text_metrics_stemmed": all_text_metrics_stemmed,
     "perplexity_logits": perplexity_logits,
+    "perplexity_wide_logits": perplexity_wide_logits,
+    "pair_by_position": pair_by_position,
+    "csv_by_blocks": csv_by_blocks,
     "perplexity_weighted": perplexity_weighted,
     "perplexity_by_type": perplexity_by_type,
     "compare_models": compare_models,
@@ -868,6 +930,8 @@ QUERIES: dict[str, Query] = {
     "batch_complete": batch_complete,
     "complete_fallback": complete_fallback,
     "retry_attempts": retry_attempts,
+    "complete_ledger": complete_ledger,
+    "complete_paced": complete_paced,
     "evaluate_completions": evaluate_completions,
     "evaluate_by_model": evaluate_by_model,
     "encode_fixed_length": encode_fixed,
@@ -881,6 +945,7 @@ QUERIES: dict[str, Query] = {
     "training_summary": training_summary,
     "metric_log_roundtrip": metric_log_roundtrip,
     "latest_checkpoint": latest_checkpoint,
+    "latest_checkpoint_folder": latest_checkpoint_folder,
     "stream_clean_split": stream_clean_split,
     "stream_jsonl_quarantine": stream_jsonl_quarantine,
     "stream_success_rate": stream_success_rate,

@@ -510,6 +510,17 @@ ORACLES: dict[str, str] = {
     "perplexity_logits": """SELECT round(exp(avg(ce)), 6) AS perplexity, count(ce) AS n_positions FROM (
     SELECT m + ln(list_sum(list_transform(e, lambda x: exp(x - m)))) - e[label + 1] AS ce FROM (
       SELECT e, label, list_max(e) AS m FROM (SELECT embedding::DOUBLE[] AS e, label FROM embeddings WHERE label <> 0)))""",
+    "perplexity_wide_logits": """SELECT round(exp(avg(ce)), 6) AS perplexity, count(ce) AS n_positions FROM (
+    SELECT m + ln(782 * list_sum(list_transform(e, lambda x: exp(x - m)))) - e[label + 1] AS ce FROM (
+      SELECT e, label, list_max(e) AS m FROM (SELECT embedding::DOUBLE[] AS e, label FROM embeddings WHERE label <> 0)))""",
+    "pair_by_position": """SELECT position, prediction, reference
+  FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, lang AS prediction FROM documents)
+  JOIN (SELECT row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS position, source AS reference FROM documents) USING (position)""",
+    "csv_by_blocks": f"""SELECT doc_id AS sample_id, md5(replace({_strip("text")}, chr(10), ' ')) AS text_md5, lang AS label FROM documents""",
+    "complete_ledger": """SELECT doc_id AS prompt_id, CASE WHEN text IN (SELECT text FROM documents WHERE lang = 'en') THEN 'first ' ELSE 'second ' END || md5(text) AS output,
+    NULL::VARCHAR AS error FROM documents""",
+    "latest_checkpoint_folder": """SELECT 'run' || s_nationkey AS run_id, 'run' || s_nationkey || '/checkpoint-' || max(s_suppkey) AS path, max(s_suppkey)::BIGINT AS step
+  FROM supplier GROUP BY s_nationkey""",
     "perplexity_weighted": """SELECT round(exp(sum(value / 100 * user_id) / sum(user_id)), 6) AS perplexity,
     round(sum(value / 100 * user_id) / sum(user_id), 6) AS avg_loss, sum(user_id)::BIGINT AS total_tokens FROM events""",
     "perplexity_by_type": """SELECT event_type, round(exp(sum(value / 100 * user_id) / sum(user_id)), 6) AS perplexity,
@@ -532,6 +543,9 @@ ORACLES: dict[str, str] = {
     CASE WHEN length(text) > 100 THEN {_strip("replace(text, 'a', 'A')")} END AS output, 1 AS attempts, NULL::VARCHAR AS error FROM benchmark""",
     "complete_fallback": f"""SELECT item_id AS prompt_id, CASE WHEN text LIKE 'T%' THEN 'questions' ELSE 'local' END AS provider,
     {_strip("CASE WHEN text LIKE 'T%' THEN text ELSE split_part(text, ' ', 1) END")} AS output, 1 AS attempts, NULL::VARCHAR AS error
+  FROM benchmark""",
+    "complete_paced": f"""SELECT item_id AS prompt_id, CASE WHEN text LIKE 'T%' THEN 'questions' ELSE 'local' END AS provider,
+    {_strip("CASE WHEN text LIKE 'T%' THEN text ELSE split_part(text, ' ', 1) END")} AS output, 1 AS attempts, NULL::VARCHAR AS error
   FROM benchmark""",
     "evaluate_completions": """WITH scored AS (SELECT lang AS reference,
       CASE WHEN source LIKE '%9' THEN NULL WHEN source LIKE '%3' THEN 'fr' ELSE 'en' END AS prediction FROM documents),

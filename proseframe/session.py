@@ -53,6 +53,13 @@ def shared_dir(spark: SparkSession, purpose: str, base: str | None = None) -> st
     return f"{shared_base(spark, base)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name in any store Spark reaches."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that ``write_through`` made."""
     jvm = spark.sparkContext._jvm

@@ -285,3 +285,29 @@ def test_evaluate_end_to_end(spark, tmp_path):
     assert got["accuracy"] == pytest.approx(9 / 19) and got["success_rate"] == 0.95 and got["perplexity"] == pytest.approx(math.e)
     doc = spark.read.json(str(tmp_path / "r")).first()
     assert doc["num_samples"] == 19 and len(doc["sample_predictions"]) == 10 and doc["metrics"]["accuracy"] == pytest.approx(9 / 19)
+
+
+# --- wide logits, pairing by position ------------------------------------------------
+
+
+@pytest.mark.parametrize("width", [1, 3, 7, 100])
+def test_perplexity_from_chunks(spark, width):
+    rng = random.Random(width)
+    data = [(i, [rng.uniform(-800, 800) for _ in range(10)], rng.choice([-100, rng.randrange(10)])) for i in range(30)]
+    df = spark.createDataFrame(data, "row_id int, logits array<double>, label int")
+    got = perplexity.perplexity_from_chunks(perplexity.logit_chunks(df, width=width).repartition(4)).first()
+    want = perplexity.perplexity_from_logits(df).first()
+    assert got["n_positions"] == want["n_positions"] and math.isclose(math.log(got["perplexity"]), math.log(want["perplexity"]), rel_tol=1e-12)
+    with pytest.raises(Exception, match="outside"):
+        perplexity.perplexity_from_chunks(perplexity.logit_chunks(spark.createDataFrame([(1, [0.5], 4)], df.schema))).collect()
+    none = perplexity.perplexity_from_chunks(perplexity.logit_chunks(df.where("label = -100"))).first()
+    assert tuple(none) == (math.inf, 0)
+
+
+def test_pair_by_position(spark):
+    left = spark.createDataFrame([(i * 7 % 50, f"p{i * 7 % 50}") for i in range(50)], "n int, prediction string").repartition(5)
+    right = spark.createDataFrame([(-i, f"r{i}") for i in range(50)], "m int, reference string").repartition(3)
+    assert rows(pairs.pair_by_position(left, right, "n", "m")) == [(i, f"p{i}", f"r{49 - i}") for i in range(50)]
+    with pytest.raises(Exception, match="as many predictions"):
+        pairs.pair_by_position(left, right.where("m < 0"), "n", "m").collect()
+    assert pairs.pair_by_position(left.limit(0), right.limit(0), "n", "m").count() == 0

@@ -382,3 +382,89 @@ def test_parallel_bound_and_carried_columns(spark):
     got = complete(df, lambda prompts: [p + "!" for p in prompts], delay=0, carry=["n"], max_parallel=2)
     assert got.rdd.getNumPartitions() <= 2
     assert sorted((r["prompt_id"], r["output"], r["n"]) for r in got.collect()) == [("a", "p!", 1), ("b", "q!", 2)]
+
+
+# --- completion over several runs, pacing ------------------------------------------
+
+
+class Clock:
+    def __init__(self):
+        self.now, self.slept = 0.0, []
+
+    def __call__(self):
+        return self.now
+
+    def sleep(self, seconds):
+        self.slept.append(seconds)
+        self.now += seconds
+
+
+def test_bucket():
+    from proseframe.operators.complete import Bucket
+
+    clock = Clock()
+    bucket = Bucket(2.0, 3, clock, clock.sleep)
+    for _ in range(3):
+        bucket.take()
+    assert clock.slept == []
+    for _ in range(4):
+        bucket.take()
+    assert clock.now == pytest.approx(2.0) and len(clock.slept) == 4
+    clock.now += 100
+    for _ in range(3):
+        bucket.take()
+    assert len(clock.slept) == 4  # never more than a burst in store
+    with pytest.raises(ValueError):
+        Bucket(0)
+
+
+def test_ledger_asks_nothing_twice(spark, tmp_path):
+    from proseframe.operators.complete import complete_with_ledger
+
+    log, ledger = str(tmp_path / "asked"), str(tmp_path / "ledger")
+
+    def asked_once(broken):
+        def fn(prompts):
+            if any(p in broken for p in prompts if p):
+                raise ValueError("broken")
+            with open(log, "a") as f:
+                f.writelines(f"{p}\n" for p in prompts)
+            return [f"to {p}" for p in prompts]
+
+        return fn
+
+    prompts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c"), (5, None)], "prompt_id int, prompt string")
+    settings = {"delay": 0, "batch_size": 1, "max_retries": 1}
+    first = complete_with_ledger(prompts, asked_once({"c"}), ledger, **settings)
+    assert rows(first.select("prompt_id", F.coalesce("output", F.lit("-")), F.col("error").isNotNull())) == [
+        (1, "to a", False), (2, "to b", False), (3, "to a", False), (4, "-", True), (5, "to None", False)
+    ]
+    more = prompts.union(spark.createDataFrame([(6, "d"), (7, "b")], prompts.schema))
+    second = complete_with_ledger(more, asked_once(set()), ledger, **settings)
+    assert rows(second.select("prompt_id", "output")) == [(1, "to a"), (2, "to b"), (3, "to a"), (4, "to c"), (5, "to None"), (6, "to d"), (7, "to b")]
+    assert sorted(open(log).read().split()) == ["None", "a", "b", "c", "d"]
+    other = complete_with_ledger(prompts, asked_once(set()), ledger, model="other", **settings)
+    assert other.count() == 5 and len(open(log).read().split()) == 9  # another model has answers of its own
+
+
+def test_max_parallel_bounds_calls_not_the_work_before(spark):
+    from proseframe.operators.complete import complete
+
+    prompts = spark.range(100).repartition(8).select(F.col("id").alias("prompt_id"), F.col("id").cast("string").alias("prompt"))
+    done = complete(prompts, lambda p: p, max_parallel=2, rate=1e6, delay=0)
+    assert done.rdd.getNumPartitions() <= 2 and done.count() == 100
+    with pytest.raises(ValueError, match="max_parallel"):
+        complete(prompts, lambda p: p, rate=1.0)
+
+
+def test_checkpoint_folders(spark, tmp_path):
+    from proseframe.sources.checkpoints import latest_checkpoint_in
+
+    for name in ("r1/checkpoint-9", "r1/checkpoint-10", "r1/best", "r2/checkpoint-last", "r2/checkpoint-3/deep", "r2/logs"):
+        (tmp_path / name).mkdir(parents=True)
+        (tmp_path / name / "state.json").write_text("{}")
+    (tmp_path / "r1/checkpoint-99").mkdir()  # empty: nothing to resume from
+    got = rows(latest_checkpoint_in(spark, str(tmp_path)).select("run_id", F.regexp_extract("path", "[^/]+$", 0), "step"))
+    assert got == [("r1", "checkpoint-10", 10), ("r2", "checkpoint-3", 3)]
+    with pytest.raises(ValueError, match="no checkpoints"):
+        latest_checkpoint_in(spark, str(tmp_path / "r2/logs"))
