@@ -14,14 +14,17 @@ from proseframe.llm.batches import small_batches
 from proseframe.llm.urlfilter import host_of
 from proseframe.session import write_through
 
+#: languages of a table that names none
 LANGUAGES = ("de", "en", "es", "fr")
+#: documents that a language needs to be learned, unless none has them; languages learned at most (each is half a megabyte of every task)
+LEAST, MOST = 5, 300
 #: name of a text that fits none of the languages
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 PIECE = 1 << 21
 #: trigrams overlap, so each counts as a third of independent evidence
 OVERLAP = 3.0
-#: prior of "no language of the list", for which all trigrams are equally likely
+#: prior of "none of the languages", for which all trigrams are equally likely
 OTHER = 1e-3
 #: rows that a parent's shares count for when a host's, suffix's or declaration's are estimated
 STRENGTH = 10.0
@@ -60,13 +63,25 @@ class TextModel(NamedTuple):
         return n, np.append(sums, n * -np.log(BUCKETS))
 
 
-def fit_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] = LANGUAGES) -> TextModel:
+def languages_of(docs: DataFrame, lang_col: str = "lang") -> tuple[str, ...]:
+    """The languages that at least LEAST documents name (else all that are named, else LANGUAGES), by name; more than MOST is an error."""
+    named = docs.where(F.col(lang_col).isNotNull() & ~F.col(lang_col).isin("", UNKNOWN)).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
+    rows = named.orderBy(F.desc("n"), "lang").limit(MOST + 1).collect()
+    found = sorted(r["lang"] for r in rows if r["n"] >= LEAST) or sorted(r["lang"] for r in rows)
+    if len(found) > MOST:
+        raise ValueError(f"more than {MOST} languages: name those to learn")
+    return tuple(found) or LANGUAGES
+
+
+def fit_texts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", languages: tuple[str, ...] | None = None) -> TextModel:
     """Trigram counts of each language over all documents, added up in each task before one grouped sum.
 
+    The languages are those of the table (:func:`languages_of`) unless given.
     What reaches the driver is bounded by buckets times languages. Rows with a
     null or another language teach nothing; a language without rows is smoothed flat.
     """
     small_batches(docs.sparkSession)
+    languages = languages or languages_of(docs, lang_col)
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
