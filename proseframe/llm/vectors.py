@@ -2,10 +2,10 @@
 
 Two codebooks, one for each half of the vectors, span a grid of cells. Each
 vector is stored in its nearest cell and searches the cells nearest to it in
-order of distance (multi-sequence traversal) up to a margin that a query sample,
-compared with all rows, shows to reach the target recall. Where links are too
-rare for that, the margin is the one beyond which no link can lie. Every
-candidate is verified by its cosine in double precision.
+order of distance (multi-sequence traversal) up to a margin that reaches the
+target recall on the links of a query sample compared with all rows, and on
+neighbours planted at the threshold around sampled vectors. Every candidate is
+verified by its cosine in double precision.
 """
 
 from __future__ import annotations
@@ -30,41 +30,29 @@ CHUNK = 2000
 #: width of a step of the margin's histogram
 STEP = 1 / 128
 SAMPLE, QUERIES = 8192, 256
-#: queries compared with all rows at most, where few of them have links
-MOST = 16384
+#: queries compared with all rows at most, where few of them have links; vectors around which neighbours are planted
+MOST, PLANTED = 2048, 4096
+#: lengths of vectors in one table at most
+LENGTHS = 100
 
 
 class Grid(NamedTuple):
-    """The codebooks of the two halves and the margin up to which cells are visited.
-
-    With ``planes`` distances are those to the planes halfway between the
-    nearest centre and each other one. What is stored beyond a plane is at
-    least that far away, so a margin of the largest squared distance of linked
-    vectors loses no link.
-    """
+    """The codebooks of the two halves and the margin up to which cells are visited."""
 
     first: np.ndarray
     second: np.ndarray
     margin: float
-    planes: bool = False
 
     def distances(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances of the halves of unit vectors to their centres (or planes)."""
+        """Squared distances of the halves of unit vectors to their centres."""
         cut = self.first.shape[1]
-        squares = _squares(units[:, :cut], self.first), _squares(units[:, cut:], self.second)
-        return (_to_planes(squares[0], self.first), _to_planes(squares[1], self.second)) if self.planes else squares
+        return _squares(units[:, :cut], self.first), _squares(units[:, cut:], self.second)
 
 
 def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (x * x).sum(axis=1)[:, None] - 2 * (x @ centres.T) + (centres * centres).sum(axis=1)[None, :]
 
 
-def _to_planes(squares: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """Squared distances to the planes, never too large where centres (almost) coincide; 0 for the nearest centre."""
-    apart = np.sqrt(np.maximum(_squares(centres, centres), 1e-8))[squares.argmin(axis=1)]
-    return ((squares - squares.min(axis=1)[:, None]) / (2 * apart)) ** 2
-
-
 def unit_rows(raw, kind: str) -> np.ndarray:
     """Vectors from their bytes, in double precision, scaled to length 1 (scaled down first, lest squares overflow)."""
     x = np.frombuffer(b"".join(raw), dtype=kind).astype(np.float64).reshape(len(raw), -1)
@@ -136,15 +124,43 @@ def _raw(column, kind: str):
     return raw(column)
 
 
+def planted_margin(grid: Grid, units: np.ndarray, threshold: float, recall: float, seed: int = 3) -> float:
+    """The margin within which ``recall`` of planted neighbours lie, whichever way they lie.
+
+    Around each unit vector one neighbour has just the threshold's cosine in a
+    random direction, one within the first half, one within the second, and one
+    towards another vector: links of a real corpus, whose cosines lie between
+    the threshold and 1, are nearer.
+    """
+    rng = np.random.default_rng(seed)
+    noise, cut = rng.standard_normal(units.shape), grid.first.shape[1]
+    halves = [noise * (np.arange(units.shape[1]) < cut), noise * (np.arange(units.shape[1]) >= cut)]
+    d1, d2 = grid.distances(units)
+    nearest = d1.min(axis=1) + d2.min(axis=1)
+    worst, rows = 0.0, np.arange(len(units))
+    for towards in (noise, *halves, units[rng.permutation(len(units))]):
+        across = towards - units * (towards * units).sum(axis=1, keepdims=True)
+        size = np.sqrt((across * across).sum(axis=1, keepdims=True))
+        there = size[:, 0] > 1e-9
+        if not there.any():
+            continue
+        y = threshold * units + math.sqrt(1 - threshold * threshold) * across / np.maximum(size, 1e-12)
+        e1, e2 = grid.distances(y)
+        need = d1[rows, e1.argmin(axis=1)] + d2[rows, e2.argmin(axis=1)] - nearest
+        worst = max(worst, float(np.quantile(need[there], recall)))
+    return worst
+
+
 def fit_grid(classes: DataFrame, n: int, kind: str, threshold: float, recall: float, per_cell: int, most_centres: int) -> Grid:
-    """Codebooks from at most ``SAMPLE`` vectors, margin from ``QUERIES`` to ``MOST`` of them compared with all rows.
-
-    Each comparison's links with other classes are counted by how far beyond
-    its nearest cell a query would have had to go, once per link and once per
-    query with links; the margin reaches ``recall`` by either count. Only counts
-    per step travel. More queries are compared until 1 / (1 - recall) of them
-    have links or every class has been one; where ``MOST`` don't suffice, the
-    grid is coarser and its margin loses no link.
+    """Codebooks from at most ``SAMPLE`` vectors; the margin from real and from planted links.
+
+    ``QUERIES`` to ``MOST`` of the vectors are compared with all rows. Their
+    links with other classes are counted by how far beyond its nearest cell a
+    query would have had to go, once per link and once per query with links;
+    only counts per step travel. More queries are compared until
+    1 / (1 - recall) of them have links. The margin reaches ``recall`` by either
+    count and on neighbours planted around ``PLANTED`` of the vectors, which
+    stand for the links where there are too few.
     """
     chosen = classes.orderBy(F.xxhash64("cid"), "cid").limit(max(SAMPLE, MOST)).select("cid", "raw").collect()
     units, names = unit_rows([bytes(r["raw"]) for r in chosen], kind), np.array([r["cid"] for r in chosen], dtype=np.int64)
@@ -193,14 +209,13 @@ def fit_grid(classes: DataFrame, n: int, kind: str, threshold: float, recall: fl
         goal = min(goal, most)
         found = pd.concat([found, measured(done, goal)])
         done, linked = goal, found["q"].nunique()
-    if linked < enough and done < n:
-        return codebooks(max(per_cell, CHUNK))._replace(margin=2 - 2 * threshold + 1e-6, planes=True)
+    planted = 0.0 if linked >= enough or done >= n else planted_margin(grid, units[:PLANTED], threshold, recall)
     if not len(found):
-        return grid
+        return grid._replace(margin=planted)
     found["share"] = found["n"] / found.groupby("q")["n"].transform("sum")
     by_step = found.groupby("step")[["n", "share"]].sum().sort_index()
     reached = (by_step.cumsum() / by_step.sum() >= recall).all(axis=1)
-    return grid._replace(margin=(float(by_step.index[reached.argmax()]) + 0.5) * STEP)
+    return grid._replace(margin=max(planted, (float(by_step.index[reached.argmax()]) + 0.5) * STEP))
 
 
 def _index(grid, kind: str):
@@ -280,8 +295,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     A comparison returns one row for each class, not one for each pair.
 
     A null, empty or all-zero vector, one with null or non-finite components,
-    one of another length than most, and a row without an id link with nothing
-    and are components of their own. Repeated rows count as rows of a class.
+    and a row without an id link with nothing and are components of their own.
+    Vectors of different lengths are indexed apart and never link. Repeated rows count as rows of a class.
     Other columns are ignored; no rows give no rows.
     """
     spark = rows.sparkSession
@@ -289,13 +304,21 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     kind = "<f8" if rows.schema[vector_col].dataType == ArrayType(DoubleType()) else "<f4"
     vectors = F.when(~F.exists(vector_col, lambda x: x.isNull()), F.col(vector_col))
     given = write_through(rows.select(F.col(id_col).cast("bigint").alias("id"), _raw(vectors, kind).alias("raw")), "vectors")
-    sized = given.where("raw is not null and id is not null").withColumn("bytes", F.length("raw"))
-    common = sized.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "bytes").first()
-    alone = given.select("id", "raw", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    if common is None:
-        return alone.drop("raw")
-    usable = sized.where(F.col("bytes") == common["bytes"])
-    classes = usable.groupBy("raw").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    named = F.col("id").isNotNull() & F.col("raw").isNotNull()
+    alone = given.where(~named).select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    lengths = [r["bytes"] for r in given.where(named).select(F.length("raw").alias("bytes")).distinct().orderBy("bytes").limit(LENGTHS + 1).collect()]
+    if len(lengths) > LENGTHS:
+        raise ValueError(f"vectors of more than {LENGTHS} lengths")
+    for size in lengths:
+        same = given.where(named & (F.length("raw") == size))
+        alone = alone.unionByName(_linked(same, kind, threshold, recall, per_cell, most_centres))
+    return alone
+
+
+def _linked(given: DataFrame, kind: str, threshold: float, recall: float, per_cell: int, most_centres: int) -> DataFrame:
+    """The rows of :func:`near_vectors` for usable vectors (id, raw) of one length."""
+    spark = given.sparkSession
+    classes = given.groupBy("raw").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
     classes = write_through(classes.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
     fitted = fit_grid(classes, classes.count(), kind, threshold, recall, per_cell, most_centres)
     grid = spark.sparkContext.broadcast(fitted)
@@ -322,6 +345,4 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     told = told.select("raw", "first_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "cid").alias("root"))
     lowest = told.groupBy("root").agg(F.min("first_id").alias("component_id"))
     told = told.join(lowest, "root").select("raw", "n_links", "component_id")
-    named = F.col("id").isNotNull() & F.col("raw").isNotNull() & (F.length("raw") == common["bytes"])
-    linked = given.where(named).join(told, "raw").select("id", "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
-    return linked.unionByName(alone.where(~named).select("id", "n_links", "component_id", "kept"))
+    return given.join(told, "raw").select("id", "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))

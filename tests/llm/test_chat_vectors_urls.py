@@ -114,7 +114,7 @@ def test_rare_links_across_cells(spark, monkeypatch, most):
         at = rng.standard_normal(32)
         at -= x[i] * (at @ x[i]) / (x[i] @ x[i])
         x[2000 + i] = x[i] / np.linalg.norm(x[i]) + (0.3, 0.32)[i % 2] * at / np.linalg.norm(at)
-    if most:  # too few queries to measure anything: no link may be lost
+    if most:  # too few queries to measure anything: the margin is that of planted neighbours
         monkeypatch.setattr(vectors, "MOST", most)
         monkeypatch.setattr(vectors, "CHUNK", 100)
     data = spark.createDataFrame([(i, v) for i, v in enumerate(x.astype(np.float32).tolist())], "vec_id bigint, embedding array<float>").repartition(3)
@@ -122,6 +122,40 @@ def test_rare_links_across_cells(spark, monkeypatch, most):
     assert got == {i: (1, i % 2000) if i % 2000 < 10 and i < 2010 else (0, i) for i in range(3000)}
 
 
+def test_vectors_of_every_length(spark):
+    rng = np.random.default_rng(7)
+    rows, ids = [], 0
+    for size, n in ((16, 40), (8, 11), (3, 2), (1, 3)):
+        for v in rng.standard_normal((n, size)):
+            rows += [(ids, v.tolist()), (ids + 1, (v * 2).tolist())]  # the same direction twice
+            ids += 2
+    data = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(2)
+    got = {r.id: (r.n_links, r.component_id) for r in near_vectors(data).collect()}
+    assert len(got) == ids
+    for i, v in rows:
+        x = np.array(v)
+        mine = [j for j, w in rows if j != i and len(w) == len(v) and x @ w >= 0.95 * np.linalg.norm(x) * np.linalg.norm(w)]
+        assert got[i] == (len(mine), min([i, *mine])), i
+
+
+def test_planted_links_among_many(spark):
+    """20,000 vectors and 200 planted links of cosines just above the threshold, in all directions: recall against all pairs."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((20_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(200):
+        to = rng.standard_normal(32) * (np.arange(32) < 16 if i % 4 == 1 else np.arange(32) >= 16 if i % 4 == 2 else 1)
+        to -= x[i] * (to @ x[i])
+        c = rng.uniform(0.9501, 0.97)
+        x[10_000 + i] = c * x[i] + np.sqrt(1 - c * c) * to / np.linalg.norm(to)
+    truth = 0
+    for at in range(0, len(x), 2000):
+        truth += int((x[at : at + 2000] @ x.T >= 0.95).sum()) - len(x[at : at + 2000])
+    data = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>").repartition(4)
+    found = near_vectors(data).agg({"n_links": "sum"}).first()[0]
+    assert truth >= 400 and 0.98 * truth <= found <= truth
+
+
 def test_rules(spark):
     urls = [None, "", "no scheme", "http://x.ORG", "HTTP://x.org/es/1", "http://a.example.org/es/1", "https://example.org/en/1?x", "http://example.org/en/2#y", "http://myexample.org/es/", "a://b://c.com/fr/q?r", "http://com/de/", "http://x.com/de", "http://x.com/de/", "http://x.com/it", "http://u@h:80/p\nq?", "http://x.org?/"]
     pages = spark.createDataFrame([(i, u, None, "r") for i, u in enumerate(urls)], "page_id int, url string, html string, rule string")
