@@ -497,6 +497,15 @@ def csv_by_blocks(spark, sf):
     return samples.select(F.col("sample_id").cast("bigint").alias("sample_id"), F.md5(F.replace("text", F.lit("\n"), F.lit(" "))).alias("text_md5"), "label")
 
 
+def json_by_blocks(spark, sf):
+    """One JSON array a task, read by blocks; texts with braces, quotes and line breaks."""
+    path = shared_dir(spark, "json-blocks")
+    docs = _documents(spark, sf).withColumn("text", F.concat(F.lit('}"\n'), "text", F.lit("{")))
+    writers.write_samples(docs, path, "json")
+    samples, _ = read_samples(spark, path, "text", "label", fmt="json", id_col="sample_id", by_blocks=True)
+    return samples.select(F.col("sample_id").cast("bigint").alias("sample_id"), F.md5("text").alias("text_md5"), "label")
+
+
 def _losses(spark, sf) -> DataFrame:
     events = table(spark, sf, "events")
     return events.select("event_type", (F.col("value") / 100).alias("loss"), F.col("user_id").alias("n_tokens"))
@@ -918,6 +927,7 @@ QUERIES: dict[str, Query] = {
     "perplexity_wide_logits": perplexity_wide_logits,
     "pair_by_position": pair_by_position,
     "csv_by_blocks": csv_by_blocks,
+    "json_by_blocks": json_by_blocks,
     "perplexity_weighted": perplexity_weighted,
     "perplexity_by_type": perplexity_by_type,
     "compare_models": compare_models,

@@ -517,6 +517,7 @@ ORACLES: dict[str, str] = {
   FROM (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, lang AS prediction FROM documents)
   JOIN (SELECT row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS position, source AS reference FROM documents) USING (position)""",
     "csv_by_blocks": f"""SELECT doc_id AS sample_id, md5(replace({_strip("text")}, chr(10), ' ')) AS text_md5, lang AS label FROM documents""",
+    "json_by_blocks": """SELECT doc_id AS sample_id, md5('}"' || chr(10) || text || '{') AS text_md5, lang AS label FROM documents""",
     "complete_ledger": """SELECT doc_id AS prompt_id, CASE WHEN text IN (SELECT text FROM documents WHERE lang = 'en') THEN 'first ' ELSE 'second ' END || md5(text) AS output,
     NULL::VARCHAR AS error FROM documents""",
     "latest_checkpoint_folder": """SELECT 'run' || s_nationkey AS run_id, 'run' || s_nationkey || '/checkpoint-' || max(s_suppkey) AS path, max(s_suppkey)::BIGINT AS step

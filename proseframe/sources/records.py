@@ -1,4 +1,4 @@
-"""Records of quoted delimited text, read by many tasks although fields may hold line breaks.
+"""Records of quoted delimited text and objects of JSON arrays, read by many tasks although any character may stand in a field.
 
 Spark cuts a file into blocks of lines at any place. Whether a block begins
 inside a quoted field depends on all blocks before it, so each block first tells
@@ -10,6 +10,7 @@ A record that crosses blocks is put together from its pieces, one or two a block
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -51,8 +52,8 @@ class Block(NamedTuple):
     ends: tuple[bool, bool]
 
 
-def _lines(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    reader = spark.read.option("lineSep", "\n")
+def _lines(spark: SparkSession, path: str, glob: str | None, end: str = "\n") -> DataFrame:
+    reader = spark.read.option("lineSep", end)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
 
@@ -184,3 +185,112 @@ def parsed_records(records: DataFrame, wanted: list[str], sep: str, corrupt: str
 
     cases = [F.when(F.col("__header") == h, values(own)) for h, own in names.items()]
     return rows.withColumn("__row", F.coalesce(*cases)).select("file", "block", "nth", "record", "closed", "__row.*") if cases else rows.limit(0)
+
+
+# --- objects of JSON arrays --------------------------------------------------------
+
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*"', re.S)
+_REST = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
+
+
+def scan_json(piece: str, inside: bool) -> tuple[bool, int]:
+    """(ends inside a string, change of depth) of what stands before a "}" and that "}", begun inside a string or not."""
+    if inside:
+        m = _REST.match(piece)
+        if m is None:
+            return True, 0
+        piece = piece[m.end() :]
+    if '"' in piece:
+        piece = _STRING.sub("", piece)
+        at = piece.find('"')
+        if at >= 0:  # a string that goes on beyond the "}"
+            piece, inside = piece[:at], True
+        else:
+            inside = False
+    else:
+        inside = False
+    return inside, piece.count("{") + piece.count("[") - piece.count("]") - (not inside)
+
+
+def _json_maps(pieces: DataFrame) -> dict[tuple[str, int], list[tuple[bool, int, int]]]:
+    """Of each block, from outside and from inside a string: its end state, its change of depth, the least depth at a "}" on the way."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, block, own in _by_block(batches):
+            state, depth, low, first = [False, True], [0, 0], [1 << 40, 1 << 40], None
+            for piece in own:
+                first = piece.lstrip(" \t\r\n\ufeff")[:1] if first is None else first
+                for s in (0, 1):
+                    state[s], change = scan_json(piece, state[s])
+                    depth[s] += change
+                    if not state[s]:
+                        low[s] = min(low[s], depth[s])
+            row = [file, block, first, *state, *depth, *low]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) if x is not None else pa.array([""]) for x in row], names=["file", "block", "first", "a", "b", "c", "d", "e", "f"])
+
+    found = pieces.mapInArrow(mapped, "file string, block bigint, first string, a boolean, b boolean, c bigint, d bigint, e bigint, f bigint").collect()
+    wrong = sorted(r["file"] for r in found if r["block"] == 0 and r["first"] not in ("[", ""))
+    if wrong:
+        raise ValueError(f"a JSON file must hold a list of objects: {wrong[:5]}")
+    return {(r["file"], r["block"]): [(r["a"], r["c"], r["e"]), (r["b"], r["d"], r["f"])] for r in found}
+
+
+def _json_entries(maps) -> dict[tuple[str, int], tuple[bool, int, int]]:
+    """Of each block: whether it begins inside a string, the depth there, and the block where its first object began."""
+    out: dict[tuple[str, int], tuple[bool, int, int]] = {}
+    last, inside, depth, begun = None, False, 0, 0
+    for file, block in sorted(maps):
+        if file != last:
+            last, inside, depth, begun = file, False, 0, block
+        out[file, block] = (inside, depth, begun if inside or depth > 1 else block)
+        to, change, low = maps[file, block][inside]
+        if depth + low <= 1 or not inside and depth <= 1:  # an object ends or begins here: what is open at the end began here
+            begun = block
+        inside, depth = to, depth + change
+    return out
+
+
+def read_json_objects(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """(file, block, nth, record): the text of each object of the JSON arrays in UTF-8 files under ``path``.
+
+    A file is cut after any "}"; whether a block begins inside a string, and how
+    deep, depends on all before it, so blocks first tell how they change either
+    state. What stands between two objects and is no comma goes with the later
+    one, what stands after the last one is a record of its own: neither is an
+    object, which the caller finds. A file that is no list is an error.
+    """
+    pieces = _lines(spark, path, glob, "}")
+    entries = spark.sparkContext.broadcast(_json_entries(_json_maps(pieces)))
+
+    def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frame(rows) -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["file", "block", "nth", "piece", "record"])
+
+        for file, block, own in _by_block(batches):
+            inside, depth, start = entries.value[file, block]
+            nth, held, rows = (-1 if inside or depth > 1 else 0), [], []
+            for piece in own:
+                held.append(piece)
+                inside, change = scan_json(piece, inside)
+                depth += change
+                if not inside and depth == 1:
+                    # an object that began in an earlier block is that block's last
+                    rows.append((file, start if nth < 0 else block, 1 << 62 if nth < 0 else nth, block, "}".join(held) + "}"))
+                    nth, held = nth + 1, []
+                    if len(rows) >= 2000:
+                        yield frame(rows)
+                        rows = []
+            if held:
+                rows.append((file, start if nth < 0 else block, 1 << 62, block, "}".join(held) + "}"))
+            if rows:
+                yield frame(rows)
+
+    parts = pieces.mapInArrow(assembled, "file string, block bigint, nth bigint, piece bigint, record string")
+    whole = parts.where(f"nth < {1 << 62}").select("file", "block", "nth", "record")
+    listed = F.array_sort(F.collect_list(F.struct("piece", "record")))
+    crossing = parts.where(f"nth = {1 << 62}").groupBy("file", "block", "nth").agg(F.array_join(F.transform(listed, lambda p: p["record"]), "").alias("record"))
+    records = whole.unionByName(crossing)
+    # the reader adds a "}" at the end of a file, after the list's own end
+    text = F.regexp_replace(F.regexp_replace("record", r"\A[\s\x{feff}]*\[?[\s,]*", ""), r"\A\s*\]\s*\}?\z|\A\}\z", "")
+    return records.withColumn("record", text).where("record <> ''")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proseframe.functions.text import strip
-from proseframe.sources.records import parsed_records, read_records
+from proseframe.sources.records import parsed_records, read_json_objects, read_records
 
 # Formats in the order a directory is searched.
 FORMATS = ("csv", "json", "jsonl", "tsv")
@@ -110,6 +110,14 @@ def _read_delimited_blocks(spark, path, text_col, label_col, id_col, sep, glob):
     return _split(rows, _needs_id(reason, id_col, _sample_id(id_col)), text, label, F.col("record"), _sample_id(id_col))
 
 
+def _read_json_blocks(spark, path, text_col, label_col, id_col, glob):
+    """The same by blocks: one large array is read by many tasks."""
+    rows = read_json_objects(spark, path, glob).select(F.col("record").alias("value"), F.col("file").alias("_file"), F.monotonically_increasing_id().alias("_row"))
+    parsed = parse_json_lines(rows, text_col, label_col, id_col)
+    reason = F.when(F.col("_reason") == "not a JSON object", F.lit("not parsable")).when(F.col("_reason").isin("text is null", "text key missing"), F.lit("text missing or null"))
+    return _split(parsed, F.coalesce(reason, F.col("_reason")), F.col("_text"), F.col("_label"), F.col("value"), F.col("_id" if id_col else "_row"))
+
+
 def _first_characters(spark, path, encoding, glob) -> DataFrame:
     """Per file the first character that is not white space."""
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
@@ -210,8 +218,8 @@ def read_samples(
     record without one goes to quarantine. ``multi_line=False`` lets Spark split large CSV files;
     it is right only where no field holds a line break.
     ``by_blocks=True`` splits UTF-8 CSV files whose fields may hold line breaks
-    (see :mod:`proseframe.sources.records`): for one very large file, or files
-    whose headers differ in order.
+    and JSON arrays (see :mod:`proseframe.sources.records`): for very large
+    files, or CSV files whose headers differ in order.
     """
     glob = None
     if fmt is None and _is_directory_scan(path):
@@ -223,6 +231,8 @@ def read_samples(
         if by_blocks:
             return _read_delimited_blocks(spark, path, text_col, label_col, id_col, sep, glob)
         return _read_delimited(spark, path, text_col, label_col, id_col, sep, encoding, multi_line, glob)
+    if fmt == "json" and by_blocks:
+        return _read_json_blocks(spark, path, text_col, label_col, id_col, glob)
     if fmt == "json":
         return _read_json(spark, path, text_col, label_col, id_col, encoding, glob)
     if fmt == "jsonl":

@@ -2,11 +2,12 @@
 
 import csv
 import io
+import json
 import random
 
 import pytest
 
-from proseframe.sources.records import ends_inside, read_records
+from proseframe.sources.records import ends_inside, read_json_objects, read_records, scan_json
 from proseframe.sources.samples import read_samples
 
 
@@ -72,3 +73,46 @@ def test_a_quote_that_never_ends(spark, tmp_path, small_blocks):
 @pytest.mark.parametrize("line, inside, then", [("a,b", False, False), ('a,"b', False, True), ('a","b', True, True), ('x""y', True, True), ('x"', True, False), ('5" pipe', False, False), ('"a"', False, False), ('a"b,"', False, True), ("", True, True), ('"', False, True), ('""', False, False), ('"""', False, True)])
 def test_ends_inside(line, inside, then):
     assert ends_inside(line, inside, ",") == then
+
+
+# --- JSON arrays -------------------------------------------------------------------
+
+
+def objects(rng, n):
+    odd = ["plain", "", "}", "{", "]}", "a}b{c", '"', '\\"}', "\\", "}\\", "é中\n}", ", {"]
+    return [{"text": rng.choice(odd) + str(i), "label": rng.choice(odd), "id": f"k{i}", "more": rng.choice([1, None, {"a": [{"b": "}"}, []]}, [[{}], {}], {}])} for i in range(n)]
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_json_blocks_equal_json_module(spark, tmp_path, small_blocks, indent):
+    items = objects(random.Random(5), 120)
+    (tmp_path / "a.json").write_text(" " + json.dumps(items, indent=indent, ensure_ascii=bool(indent)) + "\n")
+    got = read_json_objects(spark, str(tmp_path / "a.json")).orderBy("block", "nth").collect()
+    assert [json.loads(r["record"]) for r in got] == items and len({r["block"] for r in got}) > 20
+
+
+def test_json_samples_equal_those_of_the_plain_reader(spark, tmp_path, small_blocks):
+    (tmp_path / "a.json").write_text(json.dumps(objects(random.Random(6), 60) + [{"text": None, "id": "n"}, {"id": "none"}, {"text": "no id"}]))
+    (tmp_path / "b.json").write_text("[]")
+    (tmp_path / "c.json").write_text("")
+    (tmp_path / "d.json").write_text("[ ]\n")
+    for id_col in ("id", None):
+        both = [read_samples(spark, str(tmp_path), "text", "label", fmt="json" if b else None, id_col=id_col, by_blocks=b) for b in ((True,) if id_col is None else (True, True))]
+        plain = read_samples(spark, str(tmp_path / "a.json"), "text", "label", id_col=id_col)
+        columns = ["sample_id", "text", "label"] if id_col else ["text", "label"]
+        assert sorted(map(str, both[0][0].select(columns).collect())) == sorted(map(str, plain[0].select(columns).collect()))
+        assert sorted(r["reason"] for r in both[0][1].collect()) == sorted(r["reason"] for r in plain[1].collect())
+
+
+def test_broken_arrays(spark, tmp_path, small_blocks):
+    (tmp_path / "a.json").write_text('[{"text": "one"}, 5, {"text": "two"}, {"text": "cut off ' + "x" * 300)
+    samples, bad = read_samples(spark, str(tmp_path / "a.json"), "text", by_blocks=True)
+    assert [r["text"] for r in samples.collect()] == ["one"] and [r["reason"] for r in bad.collect()] == ["not parsable"] * 2
+    (tmp_path / "b.json").write_text('{"text": "no list"}')
+    with pytest.raises(ValueError, match="list of objects"):
+        read_samples(spark, str(tmp_path / "b.json"), "text", by_blocks=True)
+
+
+@pytest.mark.parametrize("piece, inside, then", [('[{"a": 1', False, (False, 1)), ('"x', False, (True, 0)), ('x"', True, (False, -1)), ("x", True, (True, 0)), ('a\\"b', True, (True, 0)), ('a\\\\"', True, (False, -1)), ('x", "y', True, (True, 0)), ("]", False, (False, -2))])
+def test_scan_json(piece, inside, then):
+    assert scan_json(piece, inside) == then
