@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -48,9 +51,33 @@ def shared_base(spark: SparkSession, base: str | None = None) -> str:
 _LOCAL: dict[str, str] = {}
 
 
+#: paths handed out within each open :func:`intermediate_tables`
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
+
+
 def shared_dir(spark: SparkSession, purpose: str, base: str | None = None) -> str:
     """A fresh path in the shared folder (see :func:`shared_base`)."""
-    return f"{shared_base(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark, base)}/{purpose}-{uuid.uuid4().hex}"
+    for scope in _OPEN.get()[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def intermediate_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what was written to the shared folder within it.
+
+    Results read such tables lazily: write or collect what is to stay before
+    the end. Without it intermediate tables stay until the folder is cleared.
+    """
+    mine: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), mine))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in mine:
+            remove(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -190,3 +190,25 @@ def test_prepare_end_to_end(spark, tmp_path):
     assert got.first()["input_ids"] == [5, 6, 1, 0]
     assert spark.read.json(f"{out}/summary").first()["dataset_sizes"]["test"] == 4
     assert spark.read.json(f"{out}/samples").groupBy("split").count().orderBy("count").first()["count"] == 4
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path, monkeypatch):
+    """After their result is written and the scope ends nothing is left in the shared folder."""
+    import os
+
+    import proseframe.session as session
+    from proseframe.plans.catalogue import QUERIES
+
+    monkeypatch.setattr(session, "shared_base", lambda spark, base=None: str(tmp_path / "shared"))
+    small = "/root/testdata/sf0.001"
+    for name in ("encode_fixed_length", "early_stop", "roundtrip_csv", "complete_ledger", "pair_by_position"):
+        with session.intermediate_tables(spark):
+            QUERIES[name](spark, small).write.parquet(str(tmp_path / name))
+            assert os.listdir(tmp_path / "shared")
+        assert os.listdir(tmp_path / "shared") == [] and spark.read.parquet(str(tmp_path / name)).count() > 0
+    with pytest.raises(ZeroDivisionError), session.intermediate_tables(spark):
+        session.write_through(spark.range(3), "x")
+        1 / 0
+    assert os.listdir(tmp_path / "shared") == []
+    outer = session.shared_dir(spark, "outside")
+    assert outer.startswith(str(tmp_path))
