@@ -8,33 +8,77 @@ slower with a shuffle on top, and the subsequence length has no built-in form.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, count
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from proseframe.functions.stem import stemmed
 
+#: tokens counted together; a row is never cut
+TOKENS = 60_000
 
-def gram_counts(tokens: list[str], n: int) -> Counter:
-    if n == 1:
-        return Counter(tokens)
-    return Counter(zip(*[tokens[i:] for i in range(n)]))
 
+def _together(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """[start, end) of rows with about TOKENS tokens."""
+    start = held = 0
+    for i, n in enumerate(sizes):
+        held += n
+        if held >= TOKENS:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
 
-def overlap(a: Counter, b: Counter) -> int:
-    """``sum of min(count in a, count in b)``."""
-    if len(b) < len(a):
-        a, b = b, a
-    return sum(min(c, b[g]) for g, c in a.items() if g in b)
 
+def _overlaps(predictions: list[list[str]], references: list[list[list[str]]], order: int) -> np.ndarray:
+    """See :func:`clipped_overlaps`, for some rows.
 
-def clipped(prediction: list[str], references: list[list[str]], n: int) -> int:
-    """Overlap with, for each gram, its largest count over the references."""
-    best = gram_counts(references[0], n)
-    for ref in references[1:]:
-        best |= gram_counts(ref, n)
-    return overlap(gram_counts(prediction, n), best)
+    Grams get numbers that tell rows apart: a gram's is that of the pair (gram
+    one token shorter, last token), so every order is one sort of whole arrays.
+    """
+    rows = len(predictions)
+    texts = [*predictions, *chain.from_iterable(references)]
+    text_row = np.concatenate([np.arange(rows), np.repeat(np.arange(rows), [len(r) for r in references])])
+    text_side = np.concatenate([np.full(rows, -1), *[np.arange(len(r)) for r in references]]).astype(np.int64)
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    known: defaultdict[str, int] = defaultdict(count().__next__)
+    token = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=int(sizes.sum()))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    row, side = text_row[text], text_side[text]
+    out = np.zeros((rows, order), dtype=np.int64)
+    if not len(token):
+        return out
+    one = np.unique(row * len(known) + token, return_inverse=True)[1]
+    width, at, gram = int(one.max()) + 1, np.arange(len(token)), one
+    for n in range(order):
+        if n:
+            on = at + n < len(token)
+            on[on] = text[at[on] + n] == text[at[on]]
+            at = at[on]
+            gram = np.unique(gram[on] * width + one[at + n], return_inverse=True)[1]
+        grams = int(gram.max()) + 1 if len(gram) else 0
+        given = np.zeros(grams, dtype=np.int64)
+        for k in range(int(text_side.max()) + 1):
+            given = np.maximum(given, np.bincount(gram[side[at] == k], minlength=grams))
+        owner = np.zeros(grams, dtype=np.int64)
+        owner[gram] = row[at]
+        matched = np.minimum(np.bincount(gram[side[at] < 0], minlength=grams), given)
+        out[:, n] = np.bincount(owner, weights=matched, minlength=rows)
+    return out
+
+
+def clipped_overlaps(predictions: list[list[str]], references: list[list[list[str]]], order: int) -> np.ndarray:
+    """(rows, order): for grams of 1 to ``order`` tokens how many a prediction shares with its references.
+
+    Each gram counts as often as in the prediction, at most as often as in the reference that holds it most.
+    """
+    sizes = [len(p) + sum(map(len, r)) for p, r in zip(predictions, references)]
+    parts = [_overlaps(predictions[a:b], references[a:b], order) for a, b in _together(sizes)]
+    return np.concatenate(parts) if parts else np.zeros((0, order), dtype=np.int64)
 
 
 def lcs_length(a: list[str], b: list[str]) -> int:
@@ -61,34 +105,34 @@ def rouge_counts_udf(orders: list[int], with_lcs: bool, use_stemmer: bool):
 
     A plain UDF like the one below: two of that kind share one Python step, iterators never do.
     """
-    def row(left: str | None, right: str | None) -> list[int] | None:
-        if left is None or right is None:
-            return None
-        p, r = left.split(), right.split()
-        if use_stemmer:
-            p, r = stemmed(p), stemmed(r)
-        found = [len(p), len(r)] + [overlap(gram_counts(p, n), gram_counts(r, n)) for n in orders]
-        return found + [lcs_length(p, r)] if with_lcs else found
-
     @F.pandas_udf("array<int>")
     def counts(predictions: pd.Series, references: pd.Series) -> pd.Series:
-        return pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
+        sides = [[[] if line is None else line.split() for line in lines] for lines in (predictions, references)]
+        if use_stemmer:
+            sides = [[stemmed(tokens) for tokens in side] for side in sides]
+        shared = clipped_overlaps(sides[0], [[r] for r in sides[1]], max(orders, default=1))
+        out = []
+        for i, (left, right, p, r) in enumerate(zip(predictions, references, *sides)):
+            if left is None or right is None:
+                out.append(None)
+                continue
+            found = [len(p), len(r)] + [int(shared[i, n - 1]) for n in orders]
+            out.append(found + [lcs_length(p, r)] if with_lcs else found)
+        return pd.Series(out, dtype=object)
 
     return counts
 
 
 def bleu_counts_udf(max_order: int):
     """(prediction line, reference lines) to [tokens, closest reference length, matches per order]."""
-    def row(line: str | None, lines) -> list[int] | None:
-        given = [] if lines is None else [x.split() for x in lines if x is not None]
-        if line is None or not given:
-            return None
-        p = line.split()
-        matches = [clipped(p, given, n) for n in range(1, max_order + 1)]
-        return [len(p), closest_length(len(p), [len(r) for r in given]), *matches]
-
     @F.pandas_udf("array<bigint>")
     def counts(predictions: pd.Series, references: pd.Series) -> pd.Series:
-        return pd.Series([row(*both) for both in zip(predictions, references)], dtype=object)
+        given = [[] if lines is None else [x.split() for x in lines if x is not None] for lines in references]
+        mine = [[] if line is None else line.split() for line in predictions]
+        shared = clipped_overlaps(mine, given, max_order)
+        out = []
+        for line, p, refs, matches in zip(predictions, mine, given, shared.tolist()):
+            out.append(None if line is None or not refs else [len(p), closest_length(len(p), [len(r) for r in refs]), *matches])
+        return pd.Series(out, dtype=object)
 
     return counts

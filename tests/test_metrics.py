@@ -311,3 +311,21 @@ def test_pair_by_position(spark):
     with pytest.raises(Exception, match="as many predictions"):
         pairs.pair_by_position(left, right.where("m < 0"), "n", "m").collect()
     assert pairs.pair_by_position(left.limit(0), right.limit(0), "n", "m").count() == 0
+
+
+@pytest.mark.parametrize("together", [1, 40, 10**6])
+def test_overlaps_equal_counters(monkeypatch, together):
+    from proseframe.functions import paircounts
+
+    monkeypatch.setattr(paircounts, "TOKENS", together)
+    rng = random.Random(together)
+    text = lambda: rng.choices("abcde", k=rng.choice([0, 1, 3, 20]))
+    predictions, references = [text() for _ in range(60)], [[text() for _ in range(rng.randint(0, 3))] for _ in range(60)]
+    grams = lambda t, n: Counter(tuple(t[i : i + n]) for i in range(len(t) - n + 1))
+    for i, row in enumerate(paircounts.clipped_overlaps(predictions, references, 4).tolist()):
+        for n in range(1, 5):
+            best = Counter()
+            for r in references[i]:
+                best |= grams(r, n)
+            assert row[n - 1] == sum((grams(predictions[i], n) & best).values())
+    assert paircounts.clipped_overlaps([], [], 2).shape == (0, 2)
