@@ -109,9 +109,10 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Of rows that repeat an id, the one that lies in the group is found by a
     hash of id and text; rows that repeat both are one. Where no row of a group
-    has an id, one of them stays. What goes is a narrow table, which texts are
-    not shuffled to meet unless it is too large to broadcast; only rows that
-    repeat id and text and stay are shuffled, to become one.
+    has an id, one of them stays. What goes is a narrow table that grows with
+    the corpus, so it is never broadcast: texts are shuffled once to meet it, in
+    a merge join that may split hot keys. Rows that repeat id and text and stay
+    are shuffled once more, to become one.
     """
     groups = simhash_groups(docs, id_col, text_col, distance)
     first = F.col("id").eqNullSafe(F.col("component_id"))
@@ -128,7 +129,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         own = row_key(id_col, text_col)
         return rows.join(keys, (own == keys["__key"]) & rows[id_col].eqNullSafe(keys["__id"]), how)
 
-    kept = met(docs, gone, "left_anti")
+    kept = met(docs, gone.hint("merge"), "left_anti")
     if repeated.isEmpty():
         return kept
     once = met(kept, repeated, "left_semi").withColumn("__own", row_key(id_col, text_col)).dropDuplicates(["__own", id_col]).drop("__own")
