@@ -8,7 +8,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from proseframe.functions.text import char_count, continuation, strip, word_count
@@ -153,6 +153,31 @@ def data_summary(spark, sf):
     )
 
 
+def report_file(spark, sf):
+    """The summary as a JSON report, read back."""
+    path = shared_dir(spark, "report")
+    data = splits.split_exact(table(spark, sf, "documents"), id_col="doc_id")
+    writers.write_report(report.data_summary(data, {"input_source": "documents", "processing": {"clean_data": True}}), path)
+    return spark.read.json(path).select("input_source", F.col("processing.clean_data").alias("clean_data"), "dataset_sizes.*")
+
+
+def inspection_files(spark, sf):
+    """The first rows of each split as JSON files, read back."""
+    path = shared_dir(spark, "inspection")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    writers.write_samples_by_split(report.inspection_samples(splits.split_exact(docs, id_col="doc_id"), order="doc_id"), path)
+    return spark.read.schema("doc_id bigint, text string, source string, split string").json(path)
+
+
+def metric_report(spark, sf):
+    """Mean event values as the lines of a text report, read back in their order."""
+    path = shared_dir(spark, "metric-report")
+    means = table(spark, sf, "events").groupBy(F.col("event_type").alias("metric")).agg(F.avg("value").alias("value"))
+    writers.write_report(report.metric_lines(means, "Evaluation", {"Task": "events"}), path, "text")
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
+    return lines.select((F.row_number().over(Window.orderBy("at")) - 1).cast("bigint").alias("line_no"), F.col("value").alias("line"))
+
+
 # --- readers and writers: written in a format, read back ---------------------
 
 
@@ -883,6 +908,9 @@ QUERIES: dict[str, Query] = {
     "prepared_dataset": prepared_dataset,
     "prepared_dataset_limited": prepared_dataset_limited,
     "data_summary": data_summary,
+    "report_file": report_file,
+    "inspection_files": inspection_files,
+    "metric_report": metric_report,
     "roundtrip_csv": roundtrip_csv,
     "roundtrip_tsv": roundtrip_tsv,
     "roundtrip_json": roundtrip_json,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from proseframe.functions.stem import IRREGULAR, STEP2, STEP3, STEP4_LONGEST_FIRST
 from proseframe.functions.text import WS_CLASS
+from proseframe.operators.report import RULE_WIDTH
 from proseframe.plans.catalogue import ENCODED_LENGTH, VOCABULARY_IDS
 from proseframe.sources.synthetic import CHOICES
 
@@ -404,6 +405,16 @@ ORACLES: dict[str, str] = {
     "data_summary": f"""SELECT 'documents' AS input_source, true AS clean_data,
     count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation,
     count(*) FILTER (split = 'test') AS test FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)})""",
+    "report_file": f"""SELECT 'documents' AS input_source, true AS clean_data,
+    count(*) FILTER (split = 'train') AS train, count(*) FILTER (split = 'validation') AS validation,
+    count(*) FILTER (split = 'test') AS test FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)})""",
+    "inspection_files": f"""SELECT doc_id, text, source, split FROM (
+    SELECT *, row_number() OVER (PARTITION BY split ORDER BY doc_id) AS place FROM ({_split_cte('documents', 'doc_id', 0.8, 0.1)}))
+  WHERE place <= 10""",
+    "metric_report": f"""SELECT row_number() OVER (ORDER BY k, line) - 1 AS line_no, line FROM (
+    SELECT 0 AS k, 'Evaluation' AS line UNION ALL SELECT 1, '{'=' * RULE_WIDTH}' UNION ALL SELECT 2, '' UNION ALL SELECT 3, 'Task: events'
+    UNION ALL SELECT 4, '' UNION ALL SELECT 5, 'Metrics:'
+    UNION ALL SELECT 6, printf('  %s: %.4f', event_type, avg(value)) FROM events GROUP BY event_type)""",
     "roundtrip_csv": _ROUNDTRIP,
     "roundtrip_tsv": _ROUNDTRIP,
     "roundtrip_json": _ROUNDTRIP,
