@@ -1,10 +1,10 @@
-"""Writers. All of them write one file per task; none gathers rows."""
+"""Writers. They write one file per task, or one per row where asked to; none gathers rows."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from proseframe.functions.text import word_count
@@ -94,3 +94,25 @@ def inference_rows(outputs: DataFrame) -> DataFrame:
 def write_inference(outputs: DataFrame, path: str, mode: str = "error") -> None:
     """JSON Lines; Spark leaves null fields out, so remote keys appear only when set."""
     inference_rows(outputs).write.mode(mode).json(path)
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """One small file per row (path below ``root``, text), written by the tasks; a repeated task writes the same again.
+
+    ``root`` is a path or a URI that ``pyarrow.fs`` knows. Files are small and their making is what
+    takes the time, so they are dealt out over all cores however few partitions the rows come in.
+    """
+    uri = root.replace("s3a://", "s3://", 1)
+    uri = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+    def written(rows: Iterator[Row]) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(uri)
+        for row in rows:
+            path = f"{base}/{row['path']}"
+            store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(path, compression=None) as out:
+                out.write(row["text"].encode())
+
+    files.select("path", "text").repartition(files.sparkSession.sparkContext.defaultParallelism).foreachPartition(written)

@@ -468,3 +468,25 @@ def test_checkpoint_folders(spark, tmp_path):
     assert got == [("r1", "checkpoint-10", 10), ("r2", "checkpoint-3", 3)]
     with pytest.raises(ValueError, match="no checkpoints"):
         latest_checkpoint_in(spark, str(tmp_path / "r2/logs"))
+
+
+def test_checkpoint_folders_are_written_and_listed_by_few_tasks(spark, tmp_path):
+    from proseframe.sinks.writers import write_files
+    from proseframe.sources.checkpoints import latest_checkpoint_in
+
+    names = spark.range(300).select(F.concat(F.lit("r"), F.col("id") % 2, F.lit("/checkpoint-"), "id", F.lit("/state.json")).alias("path"), F.lit("é").alias("text"))
+    write_files(names, f"file:{tmp_path}")
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["r0", "r1"]
+    assert (tmp_path / "r1/checkpoint-299/state.json").read_text() == "é"
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    context = spark.sparkContext
+    context.setJobGroup("listing", "listing")
+    found = latest_checkpoint_in(spark, str(tmp_path))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    # each run has 150 folders: Spark by itself lists each in a task
+    assert max(s.numTasks for s in stages if s) <= 4 * context.defaultParallelism
+    assert rows(found.select("run_id", "step")) == [("r0", 298), ("r1", 299)]
+    assert spark.conf.get(setting) == before
