@@ -11,13 +11,18 @@ from __future__ import annotations
 
 import csv
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proseframe.session import write_through
+
 #: distinct header lines of the files read together
 MOST_HEADERS = 200
 
@@ -46,10 +51,10 @@ def ends_inside(line: str, inside: bool, sep: str) -> bool:
 
 
 class Block(NamedTuple):
-    """How a block of lines maps the states outside (0) and inside (1), and whether it ends a record from either."""
+    """How a block of lines maps the states outside (0) and inside (1), and whether a record ends in it if it begins inside."""
 
     to: tuple[bool, bool]
-    ends: tuple[bool, bool]
+    ends: bool
 
 
 def _lines(spark: SparkSession, path: str, glob: str | None, end: str = "\n") -> DataFrame:
@@ -77,37 +82,85 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, Ite
             pass
 
 
-def _block_maps(lines: DataFrame, sep: str) -> dict[tuple[str, int], Block]:
-    """The map of each block, a few bits for each on the driver."""
+def _file_numbers(spark: SparkSession, path: str, glob: str | None) -> dict[int, str]:
+    """The files by a hash of their path, which stands for it beside each line."""
+    reader = spark.read.format("binaryFile")
+    reader = reader.option("pathGlobFilter", glob) if glob else reader
+    name = F.col("_metadata.file_path")
+    found = [(r["number"], r["file"]) for r in reader.load(path).select(F.xxhash64(name).alias("number"), name.alias("file")).distinct().collect()]
+    if len(dict(found)) < len(found):
+        raise ValueError(f"two files under {path!r} whose paths hash alike")
+    return dict(found)
 
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for file, block, own in _by_block(batches):
-            to, ends = [False, True], [False, False]
-            for line in own:
-                quoted = '"' in line
-                for s in (0, 1):
-                    to[s] = ends_inside(line, to[s], sep) if quoted else to[s]
-                    ends[s] |= not to[s]
-            columns = [[file], [block], [to[0]], [to[1]], [ends[0]], [ends[1]]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.string(), pa.int64(), *[pa.bool_()] * 4])], names=["file", "block", "a", "b", "c", "d"])
 
-    found = lines.mapInArrow(mapped, "file string, block bigint, a boolean, b boolean, c boolean, d boolean").collect()
-    return {(r["file"], r["block"]): Block((r["a"], r["b"]), (r["c"], r["d"])) for r in found}
+def _numbered_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their line break, so that those of an Arrow batch lie side by side as in the file."""
+    return lines.select(F.xxhash64("file").alias("number"), "block", F.concat("value", F.lit("\n")).alias("value"))
+
 
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Array, np.ndarray]]:
+    """((file's number, block), lines that follow each other, which of them hold a quote); a block's lines come in several."""
+    for batch in batches:
+        number, block = (batch.column(i).to_numpy() for i in (0, 1))
+        lines = batch.column(2).cast(pa.string())
+        cuts = np.flatnonzero((number[1:] != number[:-1]) | (block[1:] != block[:-1])) + 1
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if end > start:
+                own = lines.slice(start, end - start)
+                quoted = pc.match_substring(own, '"').to_numpy(zero_copy_only=False)
+                yield (int(number[start]), int(block[start])), own, np.flatnonzero(quoted)
 
-def _entries(maps: dict[tuple[str, int], Block]) -> dict[tuple[str, int], tuple[bool, int]]:
-    """Of each block: whether it begins inside a field, and the block where its first record begins."""
-    out: dict[tuple[str, int], tuple[bool, int]] = {}
-    last, inside, begun = None, False, 0
+
+def _block_maps(lines: DataFrame, sep: str) -> dict[tuple[int, int], Block]:
+    """The map of each block that holds a quote, a few bits for each on the driver; others change no state."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            columns = [[key[0]], [key[1]], [to[0]], [to[1]], [ends]]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, [pa.int64(), pa.int64(), *[pa.bool_()] * 3])], names=["number", "block", "a", "b", "c"])
+
+        key, to, ends = None, [False, True], False
+        for now, own, _ in _stretches(batches):
+            if now != key:
+                if key is not None:
+                    yield told()
+                key, to, ends = now, [False, True], False
+            for line in own.to_pylist():
+                to = [ends_inside(line, to[0], sep)] * 2 if to[0] == to[1] else [ends_inside(line, s, sep) for s in to]
+                ends |= not to[1]
+        if key is not None:
+            yield told()
+
+    # lines without a quote stay in the JVM: handing a line over costs several times its reading
+    quoted = lines.where(F.contains("value", F.lit('"')))
+    found = quoted.mapInArrow(mapped, "number bigint, block bigint, a boolean, b boolean, c boolean").collect()
+    return {(r["number"], r["block"]): Block((r["a"], r["b"]), r["c"]) for r in found}
+
+
+#: by file: blocks in order, and what holds behind each: (inside, the block where the open record began)
+Behind = dict[int, tuple[list[int], list[tuple[bool, int]]]]
+
+
+def _entry(behind: Behind, file: int, block: int) -> tuple[bool, int]:
+    """Whether a block begins inside a field, and the block where its first record begins; it need not be listed."""
+    blocks, states = behind.get(file, ([], []))
+    at = bisect_left(blocks, block)
+    inside, begun = states[at - 1] if at else (False, block)
+    return inside, begun if inside else block
+
+
+def _composed(maps: dict[tuple[int, int], Block]) -> Behind:
+    """The maps composed along each file."""
+    out: Behind = {}
     for file, block in sorted(maps):
-        if file != last:
-            last, inside, begun = file, False, block
+        inside, begun = _entry(out, file, block)
         m = maps[file, block]
-        out[file, block] = (inside, begun if inside else block)
         if m.to[inside]:
             # a record is open at the end: one that began here, unless none ended here and it began before
-            begun = block if m.ends[inside] or not inside else begun
-        inside = m.to[inside]
+            begun = block if m.ends or not inside else begun
+        blocks, states = out.setdefault(file, ([], []))
+        blocks.append(block)
+        states.append((m.to[inside], begun))
     return out
 
 
@@ -117,51 +170,84 @@ def read_records(spark: SparkSession, path: str, sep: str = ",", glob: str | Non
     ``block`` and ``nth`` order a file's records. ``closed`` is false for one
     whose quoted field never ends: the rest of its file. Empty lines outside
     quotes are no records; a line break is LF or CR LF. Files are read twice,
-    by as many tasks as Spark has blocks; the driver holds a few bits for each.
+    by as many tasks as Spark has blocks, and the records written once to the
+    shared folder; the driver holds a few bits for each block.
     """
-    lines = _lines(spark, path, glob)
-    entries = spark.sparkContext.broadcast(_entries(_block_maps(lines, sep)))
+    lines = _numbered_lines(_lines(spark, path, glob))
+    files = spark.sparkContext.broadcast(_file_numbers(spark, path, glob))
+    behind = spark.sparkContext.broadcast(_composed(_block_maps(lines, sep)))
 
     def assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def frame(rows) -> pa.RecordBatch:
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), kinds)], names=["file", "block", "nth", "piece", "record", "closed"])
-
-        for file, block, own in _by_block(batches):
-            inside, start = entries.value[file, block]
-            nth, held, rows = (-1 if inside else 0), [], []
-            for line in own:
-                held.append(line)
-                inside = ends_inside(line, inside, sep) if '"' in line else inside
-                if not inside:
-                    # a record that began in an earlier block is that block's last, told by its piece in this one
-                    rows.append((file, start if nth < 0 else block, 1 << 62 if nth < 0 else nth, block, "\n".join(held), True))
-                    nth, held = max(nth, 0) + 1, []
-                    if len(rows) >= 2000:
-                        yield frame(rows)
-                        rows = []
-            if held:
-                whole = nth < 0
-                rows.append((file, start if whole else block, 1 << 62, block, "\n".join(held), False))
-            if rows:
-                yield frame(rows)
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+
+        def frame(columns: list) -> pa.RecordBatch:
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, type=t) for c, t in zip(columns, kinds)]
+            return pa.RecordBatch.from_arrays(arrays, names=["file", "block", "nth", "piece", "record", "closed"])
+
+        def piece(closed: bool) -> pa.RecordBatch:
+            """What is held: a record of this block, or a part of one that begins or ends in another."""
+            crossing = nth < 0 or not closed
+            return frame([[files.value[key[0]]], [start if nth < 0 else key[1]], [1 << 62 if crossing else nth], [key[1]], ["".join(held)], [closed]])
+
+        key, inside, start, nth, held = None, False, 0, 0, []
+        for now, own, quoted in _stretches(batches):
+            if now != key:
+                if held:
+                    yield piece(False)
+                key, held = now, []
+                inside, start = _entry(behind.value, *key)
+                nth = -1 if inside else 0
+            then = [inside]
+            for line in own.take(pa.array(quoted)).to_pylist():
+                then.append(ends_inside(line, then[-1], sep))
+            after = np.repeat(then, np.diff([0, *quoted.tolist(), len(own)]))
+            inside = then[-1]
+            # line after line the text is one stretch of bytes: records are cut out by new offsets
+            ends = np.flatnonzero(~after) + 1
+            begun = 0
+            if len(ends) and (held or nth < 0):
+                begun, ends = int(ends[0]), ends[1:]
+                held.extend(own.slice(0, begun).to_pylist())
+                yield piece(True)
+                nth, held = max(nth, 0) + 1, []
+            if len(ends):
+                at = np.frombuffer(own.buffers()[1], dtype=np.int32)[own.offset : own.offset + len(own) + 1]
+                n = len(ends)
+                cut = np.concatenate([at[begun : begun + 1], at[ends]])
+                text = pa.StringArray.from_buffers(n, pa.py_buffer(cut), own.buffers()[2])
+                yield frame([pa.repeat(files.value[key[0]], n), pa.repeat(key[1], n), pa.array(np.arange(nth, nth + n)), pa.repeat(key[1], n), text, pa.repeat(True, n)])
+                begun, nth = int(ends[-1]), nth + n
+            held.extend(own.slice(begun).to_pylist())
+        if held:
+            yield piece(False)
+
+    def ended(record: Column) -> Column:
+        return F.regexp_replace(record, r"\r?\n\z", "")
 
     pieces = lines.mapInArrow(assembled, "file string, block bigint, nth bigint, piece bigint, record string, closed boolean")
-    whole = pieces.where(f"nth < {1 << 62}").select("file", "block", "nth", "record", "closed")
+    crosses = F.col("nth") == 1 << 62
+    pieces = pieces.withColumn("record", F.when(crosses, F.col("record")).otherwise(ended(F.col("record"))))
+    pieces = write_through(pieces.where("record <> ''"), "csv-records")
+    whole = pieces.where(~crosses).select("file", "block", "nth", "record", "closed")
     parts = F.array_sort(F.collect_list(F.struct("piece", "record")))
-    crossing = pieces.where(f"nth = {1 << 62}").groupBy("file", "block", "nth")
-    crossing = crossing.agg(F.array_join(F.transform(parts, lambda p: p["record"]), "\n").alias("record"), F.max("closed").alias("closed"))
-    records = whole.unionByName(crossing).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
-    return records.where("record <> ''")
+    crossing = pieces.where(crosses).groupBy("file", "block", "nth")
+    crossing = crossing.agg(F.array_join(F.transform(parts, lambda p: p["record"]), "").alias("record"), F.max("closed").alias("closed"))
+    return whole.unionByName(crossing.withColumn("record", ended(F.col("record"))).where("record <> ''"))
+
+
+def first_records(records: DataFrame) -> DataFrame:
+    """(file, first, header): the place and the text of each file's first record."""
+    first = records.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("first"))
+    here = first.select("file", "first", F.col("first.block").alias("block"), F.col("first.nth").alias("nth"))
+    return records.join(here, ["file", "block", "nth"]).select("file", "first", F.col("record").alias("header"))
 
 
-def headers(records: DataFrame, sep: str) -> dict[str, list[str]]:
+def headers(first: DataFrame, sep: str) -> dict[str, list[str]]:
     """The column names of each file's header record, which is its first; by the record's text."""
-    first = records.groupBy("file").agg(F.min_by("record", F.struct("block", "nth")).alias("header"))
     found = [r["header"] for r in first.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
     if len(found) > MOST_HEADERS:
         raise ValueError(f"files with more than {MOST_HEADERS} different headers")
-    return {h: next(csv.reader([h.removeprefix("﻿")], delimiter=sep)) for h in found}
+    return {h: next(csv.reader([h.removeprefix("\ufeff")], delimiter=sep)) for h in found}
 
 
 def parsed_records(records: DataFrame, wanted: list[str], sep: str, corrupt: str) -> DataFrame:
@@ -169,12 +255,13 @@ def parsed_records(records: DataFrame, wanted: list[str], sep: str, corrupt: str
 
     ``corrupt`` holds a record with too few or too many fields, as Spark's own reader marks them.
     """
-    names = headers(records, sep)
+    first = write_through(first_records(records), "csv-headers")
+    names = headers(first, sep)
     for header, own in names.items():
         for name in wanted:
             if name not in own:
                 raise ValueError(f"column {name!r} not found in header {header!r}")
-    first = records.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("__first"), F.min_by("record", F.struct("block", "nth")).alias("__header"))
+    first = first.select("file", F.col("first").alias("__first"), F.col("header").alias("__header"))
     rows = records.join(first, "file").where(F.struct("block", "nth") > F.col("__first"))
     options = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "multiLine": "true"}
 
@@ -286,7 +373,7 @@ def read_json_objects(spark: SparkSession, path: str, glob: str | None = None) -
             if rows:
                 yield frame(rows)
 
-    parts = pieces.mapInArrow(assembled, "file string, block bigint, nth bigint, piece bigint, record string")
+    parts = write_through(pieces.mapInArrow(assembled, "file string, block bigint, nth bigint, piece bigint, record string"), "json-objects")
     whole = parts.where(f"nth < {1 << 62}").select("file", "block", "nth", "record")
     listed = F.array_sort(F.collect_list(F.struct("piece", "record")))
     crossing = parts.where(f"nth = {1 << 62}").groupBy("file", "block", "nth").agg(F.array_join(F.transform(listed, lambda p: p["record"]), "").alias("record"))

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from proseframe.sources import records
 from proseframe.sources.records import ends_inside, read_json_objects, read_records, scan_json
 from proseframe.sources.samples import read_samples
 
@@ -75,6 +76,15 @@ def test_ends_inside(line, inside, then):
     assert ends_inside(line, inside, ",") == then
 
 
+def test_only_lines_with_a_quote_are_handed_over_to_find_states(spark, tmp_path, small_blocks):
+    (tmp_path / "a.csv").write_text("text\n" + "plain\n" * 60 + '"open\n' + "inside\n" * 60 + 'end"\n' + "plain\n" * 60)
+    lines = records._numbered_lines(records._lines(spark, str(tmp_path / "a.csv"), None))
+    maps = records._block_maps(lines, ",")
+    assert 1 <= len(maps) <= 2  # blocks without a quote change nothing and tell nothing
+    got = [r["record"] for r in read_records(spark, str(tmp_path / "a.csv")).orderBy("block", "nth").collect()]
+    assert got == ["text", *["plain"] * 60, '"open\n' + "inside\n" * 60 + 'end"', *["plain"] * 60]
+
+
 # --- JSON arrays -------------------------------------------------------------------
 
 
