@@ -329,3 +329,25 @@ def test_overlaps_equal_counters(monkeypatch, together):
                 best |= grams(r, n)
             assert row[n - 1] == sum((grams(predictions[i], n) & best).values())
     assert paircounts.clipped_overlaps([], [], 2).shape == (0, 2)
+
+
+def test_only_some_rows_of_a_batch_are_tokens_at_once(spark, monkeypatch):
+    """Whatever the batch, a worker holds about CHARS characters of it as tokens; results do not depend on the cuts."""
+    import pyarrow as pa
+
+    from proseframe.functions import paircounts
+
+    held = []
+    plain = paircounts.clipped_overlaps
+    monkeypatch.setattr(paircounts, "clipped_overlaps", lambda p, r, n: held.append(sum(map(len, p))) or plain(p, r, n))
+    lines = pa.array(["one two three", None, "four", "", "five six " * 50] * 40)[1:]
+    listed = pa.array([None if x is None else [x, None, "one five"] for x in lines.to_pylist()], type=pa.list_(pa.string()))[3:]
+    rouge, bleu = (f.func for f in (paircounts.rouge_counts_udf([1, 2], True, True), paircounts.bleu_counts_udf(4)))
+    found = []
+    for chars in (10, 2000, 10**9):
+        monkeypatch.setattr(paircounts, "CHARS", chars)
+        held.clear()
+        found.append((rouge(lines, lines).to_pylist(), bleu(lines[3:], listed).to_pylist(), max(held)))
+    assert found[0][:2] == found[1][:2] == found[2][:2] and len(found[0][0]) == 199 and len(found[0][1]) == 196
+    assert found[0][2] == 100 and found[1][2] < 300 and found[2][2] > 3000
+    assert found[0][0][3] == [100, 100, 100, 99, 100] and found[0][0][0] is None and found[0][1][1][:2] == [3, 3]
