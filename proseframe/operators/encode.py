@@ -6,7 +6,9 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count, islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from proseframe.session import write_through
 
 #: distinct words, and their characters, numbered together before a task starts anew
 BLOCK_WORDS, BLOCK_CHARS = 200_000, 8_000_000
+#: texts that share one row of the coded table, and their codes: a block's ids are copied once for each such row
+GROUP_ROWS, GROUP_CODES = 1000, 200_000
 
 
 def fixed_length(ids: Column, max_length: int, pad_id: int, padding_side: str = "right") -> tuple[Column, Column]:
@@ -34,18 +38,18 @@ def _coded(df: DataFrame, columns: list[str], most: int | None) -> DataFrame:
     """Rows of ``df`` with the texts in ``columns`` as arrays of codes, and what the codes of each block stand for.
 
     A block is what a task reads until its distinct words pass a bound. Rows
-    with ``_words`` list the words of their ``_block`` by code and are null
-    elsewhere; the others are the rows of ``df``. A text's codes stand for its
-    first ``most`` words.
+    with ``_words`` list the words of their ``_block`` by code; the others hold
+    in ``_rows`` some rows of ``df``, bounded in number and codes. A text's
+    codes stand for its first ``most`` words.
     """
     rest = [c for c in df.columns if c not in columns]
-    codes = ", ".join(f"`{c}` array<int>" for c in columns)
-    own = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in df.select(*rest).schema)
+    own = "".join(f"`{f.name}`: {f.dataType.simpleString()}, " for f in df.select(*rest).schema)
+    codes = ", ".join(f"`{c}`: array<int>" for c in columns)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: defaultdict[str, int] = defaultdict(count().__next__)
-        names = ["_block", "_words", *rest, *columns]
-        block, held, kinds = TaskContext.get().partitionId() << 32, 0, []
+        names = ["_block", "_words", "_rows"]
+        block, held, kind = TaskContext.get().partitionId() << 32, 0, None
 
         def numbers(text: str | None) -> list[int] | None:
             if text is None:
@@ -55,15 +59,23 @@ def _coded(df: DataFrame, columns: list[str], most: int | None) -> DataFrame:
 
         def words() -> pa.RecordBatch:
             listed = [pa.array([block], type=pa.int64()), pa.array([list(known)], type=pa.list_(pa.string()))]
-            return pa.RecordBatch.from_arrays(listed + [pa.nulls(1, kind) for kind in kinds], names=names)
+            return pa.RecordBatch.from_arrays([*listed, pa.nulls(1, kind)], names=names)
+
+        def grouped(rows: pa.StructArray, sizes: np.ndarray) -> pa.RecordBatch:
+            """Rows of a batch, some in each row of the result."""
+            nth = np.maximum(np.arange(len(sizes)) // GROUP_ROWS, np.cumsum(sizes) // GROUP_CODES)
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(nth)) + 1, [len(sizes)]])
+            lists = pa.ListArray.from_arrays(pa.array(cuts, type=pa.int32()), rows)
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(lists), type=pa.int64()), pa.nulls(len(lists), pa.list_(pa.string())), lists], names=names)
 
         for batch in batches:
             before = len(known)
             lists = [pa.array(list(map(numbers, batch.column(c).to_pylist())), type=pa.list_(pa.int32())) for c in columns]
-            kept = [batch.column(c) for c in rest]
-            kinds = [a.type for a in kept + lists]
-            rows = [pa.array([block] * batch.num_rows, type=pa.int64()), pa.nulls(batch.num_rows, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(rows + kept + lists, names=names)
+            rows = pa.StructArray.from_arrays([batch.column(c) for c in rest] + lists, names=[*rest, *columns])
+            kind = pa.list_(rows.type)
+            if batch.num_rows:
+                sizes = sum(pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False) for x in lists)
+                yield grouped(rows, sizes)
             held += sum(map(len, islice(reversed(known), len(known) - before)))
             if len(known) >= BLOCK_WORDS or held >= BLOCK_CHARS:
                 yield words()
@@ -73,14 +85,14 @@ def _coded(df: DataFrame, columns: list[str], most: int | None) -> DataFrame:
         if known:
             yield words()
 
-    return df.select(*rest, *columns).mapInArrow(coded, f"_block bigint, _words array<string>{own}, {codes}")
+    return df.select(*rest, *columns).mapInArrow(coded, f"_block bigint, _words array<string>, _rows array<struct<{own}{codes}>>")
 
 
 def lookup(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int, most: int | None = None) -> DataFrame:
     """Replace the texts in ``columns`` by arrays of the ids of their (first ``most``) words.
 
     Each task numbers its distinct words as it reads and keeps its texts as
-    arrays of these numbers; the result is written once to the shared folder.
+    arrays of these numbers, many texts a row; the result is written once to the shared folder.
     Only the distinct words of a block meet the vocabulary, whose ids then come
     back to the block's rows as one array: a word is shuffled once a block, not
     once a use, and no text is shuffled. A vocabulary of any size takes this
@@ -98,9 +110,15 @@ def lookup(df: DataFrame, columns: list[str], vocabulary: DataFrame, unk_id: int
     words = coded.where(F.col("_words").isNotNull()).select("_block", F.posexplode("_words").alias("_code", "token"))
     found = words.join(once, "token", "left").groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("_code", F.coalesce("token_id", F.lit(unk_id)).alias("id")))).alias("_ids"))
     rows = coded.where(F.col("_words").isNull()).drop("_words")
+    # a block's ids go along with many texts at once: beside each text they would be copied for each
     joined = rows.join(found.select("_block", F.col("_ids.id").alias("_ids")), "_block", "left")
-    ids = {c: F.transform(c, lambda x: F.get(F.col("_ids"), x)) for c in columns}
-    return joined.select(*[c for c in df.columns if c not in columns], *[v.alias(c) for c, v in ids.items()])
+    rest = [c for c in df.columns if c not in columns]
+
+    def with_ids(row: Column) -> Column:
+        ids = [F.transform(row[c], lambda x: F.get(F.col("_ids"), x)).alias(c) for c in columns]
+        return F.struct(*[row[c].alias(c) for c in rest], *ids)
+
+    return joined.select(F.inline(F.transform("_rows", with_ids)))
 
 
 def encode_fixed_length(
