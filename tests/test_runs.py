@@ -490,3 +490,37 @@ def test_checkpoint_folders_are_written_and_listed_by_few_tasks(spark, tmp_path)
     assert max(s.numTasks for s in stages if s) <= 4 * context.defaultParallelism
     assert rows(found.select("run_id", "step")) == [("r0", 298), ("r1", 299)]
     assert spark.conf.get(setting) == before
+
+
+def test_encode_copies_the_ids_of_a_block_for_many_texts_at_once(spark, monkeypatch):
+    from proseframe.operators import encode
+
+    monkeypatch.setattr(encode, "GROUP_ROWS", 500)
+    df = spark.range(3000, numPartitions=2).select("id", F.concat(F.lit("a w"), F.col("id") % 7).alias("text"))
+    coded = encode._coded(df, ["text"], None)
+    assert coded.where("_words is null").count() <= 8  # 3000 rows, each beside all ids of its block, before
+    vocabulary = spark.range(7).select(F.concat(F.lit("w"), "id").alias("token"), (F.col("id") + 2).cast("int").alias("token_id"))
+    got = encode.lookup(df, ["text"], vocabulary, 1)
+    assert got.columns == ["id", "text"] and rows(got.select("id", F.col("text")[0], F.col("text")[1])) == [(i, 1, i % 7 + 2) for i in range(3000)]
+    monkeypatch.setattr(encode, "GROUP_CODES", 100)
+    assert encode._coded(df, ["text"], None).where("_words is null").count() >= 60
+
+
+def test_quarantine_lines_come_in_three_batches_of_as_many_files_as_the_table_needs(spark, sf, monkeypatch, tmp_path):
+    from proseframe.plans import catalogue
+
+    monkeypatch.setattr(catalogue, "shared_dir", lambda _, name: str(tmp_path / name))
+    want = {r["reason"]: r["n_rows"] for r in catalogue.stream_jsonl_quarantine(spark, sf).collect()}
+    settings = {"spark.sql.files.maxPartitionBytes": "150000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    monkeypatch.setattr(catalogue, "shared_dir", lambda _, name: str(tmp_path / "small" / name))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r["reason"]: r["n_rows"] for r in catalogue.stream_jsonl_quarantine(spark, sf).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+    assert len(list((tmp_path / "small/stream-lines").glob("part-*"))) > 3
+    assert sorted(p.name for p in (tmp_path / "small/stream-out").glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
