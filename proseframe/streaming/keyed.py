@@ -64,37 +64,45 @@ def run_states(
     out = f"`{run}` {kind}, `{order}` bigint, `{metric}` double, is_best boolean, best_so_far double, strikes bigint, stop_at bigint, is_late boolean, is_closed boolean"
     wait = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
 
-    def frame(key, seq, value, is_best, best, strikes, stop, late, closed) -> pd.DataFrame:
-        n = len(seq)
-        columns = {run: [key[0]] * n, order: seq, metric: value, "is_best": is_best, "best_so_far": best, "strikes": strikes, "stop_at": stop, "is_late": late, "is_closed": [closed] * n}
-        return pd.DataFrame({k: pd.Series(list(v), dtype="Int64" if k in (order, "strikes", "stop_at") else "boolean" if k.startswith("is_") else None) for k, v in columns.items()})
+    names = [run, order, metric, "is_best", "best_so_far", "strikes", "stop_at", "is_late", "is_closed"]
+
+    def frame(key, seq, *columns) -> pd.DataFrame:
+        """Plain arrays, and one frame a call: most runs have few rows, so making frames is most of the work."""
+        keys = np.full(len(seq), key[0], dtype=object)
+        return pd.DataFrame(dict(zip(names, [keys, seq, *columns])), copy=False)
+
+    def nothing(n: int) -> np.ndarray:
+        return np.full(n, None, dtype=object)
 
     def advance(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         best, evals, last_reset, last_seq, stop_at, last_ms = state.get if state.exists else (None, 0, -1, None, None, 0)
         if state.hasTimedOut:
             state.remove()
-            yield frame(key, [last_seq], [None], [None], [best], [evals - last_reset if last_reset >= 0 else 0], [stop_at], [False], True)
+            one = [[last_seq], [None], [None], [best], [evals - last_reset if last_reset >= 0 else 0], [stop_at], [False], [True]]
+            yield frame(key, *[np.array(c, dtype=object) for c in one])
             return
-        rows = pd.concat(list(batches)).sort_values(order, kind="stable")
-        late = rows[order] <= last_seq if last_seq is not None else pd.Series(False, index=rows.index)
-        old, new = rows[late], rows[~late]
-        if len(old):
-            n = len(old)
-            yield frame(key, old[order], old[metric], [None] * n, [None] * n, [None] * n, [stop_at] * n, [True] * n, False)
-        if len(new):
-            values = new[metric].to_numpy(dtype="float64", na_value=np.nan)
-            is_best, running, count, last = _scanned(values, np.nan if best is None else best, evals, last_reset, threshold, greater_is_better)
-            strikes = np.where(last >= 0, count - last, 0)
-            stops = new[order].to_numpy()[strikes >= patience]
-            marks = [stop_at] * len(new)
-            if stop_at is None and len(stops):
-                stop_at = int(stops[0])
-                marks = [stop_at if s >= stop_at else None for s in new[order]]
-            shown = [None if np.isnan(x) else float(x) for x in running]
-            yield frame(key, new[order], new[metric], is_best, shown, strikes, marks, [False] * len(new), False)
-            best, evals, last_reset, last_seq = shown[-1], int(count[-1]), int(last[-1]), int(new[order].iloc[-1])
+        parts = list(batches)
+        at = np.concatenate([p[order].to_numpy(dtype="int64") for p in parts])
+        given = np.concatenate([p[metric].to_numpy(dtype="float64", na_value=np.nan) for p in parts])
         if ts:
-            last_ms = max(last_ms, int(rows[ts].max().timestamp() * 1000))
+            last_ms = max(last_ms, *[int(p[ts].max().timestamp() * 1000) for p in parts])
+        sort = np.argsort(at, kind="stable")
+        at, given = at[sort], given[sort]
+        n_old = int(np.searchsorted(at, last_seq, side="right")) if last_seq is not None else 0
+        is_best, running, strikes, marks = (nothing(len(at)) for _ in range(4))
+        marks[:n_old] = stop_at
+        if n_old < len(at):
+            found, best_after, count, last = _scanned(given[n_old:], np.nan if best is None else best, evals, last_reset, threshold, greater_is_better)
+            struck = np.where(last >= 0, count - last, 0)
+            stops = np.flatnonzero(struck >= patience)
+            marks[n_old:] = stop_at
+            if stop_at is None and len(stops):
+                stop_at = int(at[n_old + stops[0]])
+                marks[n_old:][at[n_old:] >= stop_at] = stop_at
+            is_best[n_old:], strikes[n_old:], running[n_old:] = found, struck, best_after
+            best = None if np.isnan(best_after[-1]) else float(best_after[-1])
+            evals, last_reset, last_seq = int(count[-1]), int(last[-1]), int(at[-1])
+        yield frame(key, at, given, is_best, running.astype("float64"), strikes, marks, np.arange(len(at)) < n_old, np.zeros(len(at), dtype=bool))
         state.update((best, evals, last_reset, last_seq, stop_at, last_ms))
         if ts:
             state.setTimeoutTimestamp(max(last_ms + wait, state.getCurrentWatermarkMs() + 1))

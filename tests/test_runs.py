@@ -524,3 +524,23 @@ def test_quarantine_lines_come_in_three_batches_of_as_many_files_as_the_table_ne
     assert got == want
     assert len(list((tmp_path / "small/stream-lines").glob("part-*"))) > 3
     assert sorted(p.name for p in (tmp_path / "small/stream-out").glob("batch=*")) == ["batch=0", "batch=1", "batch=2"]
+
+
+def test_run_states_read_as_many_files_a_batch_as_the_log_needs(spark, sf, monkeypatch, tmp_path):
+    from proseframe.plans import catalogue
+
+    monkeypatch.setattr(catalogue, "shared_dir", lambda _, name: str(tmp_path / name))
+    want = rows(catalogue.stream_run_states(spark, sf).select(F.to_json(F.struct("*"))))
+    settings = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    monkeypatch.setattr(catalogue, "shared_dir", lambda _, name: str(tmp_path / "small" / name))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = catalogue.stream_run_states(spark, sf).select(F.to_json(F.struct("*")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert rows(got) == want
+    files = len(list((tmp_path / "small/stream-log").glob("part-*")))
+    assert files > 4 and files % 4 == 0
