@@ -54,7 +54,9 @@ def near_pairs(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
 
     Each fingerprint stores its segments once and probes each with itself and
     with every clear bit set: of two segments one bit apart, the one without
-    the bit finds the other, so half a ball is enough.
+    the bit finds the other, so half a ball is enough. Spark sizes what an
+    explode returns as if it had not added rows, and would send the probes, 66
+    rows a fingerprint, through the driver: a merge join at every size.
     """
     if 64 % segments or distance // segments > 1:
         raise ValueError("segments must divide 64 and exceed half the distance")
@@ -76,7 +78,7 @@ def near_pairs(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
     probes = rows(ball, "u").select("u", F.col("e.seg").alias("seg"), F.explode("e.keys").alias("key"))
     table = rows(lambda i: F.array(part(i)), "v").select("v", F.col("e.seg").alias("seg"), F.col("e.keys")[0].alias("key"))
     differ = F.bit_count(F.col("u").bitwiseXOR(F.col("v")))
-    return probes.join(table, (probes.seg == table.seg) & (probes.key == table.key) & differ.between(1, distance)).select("u", "v")
+    return probes.join(table.hint("merge"), (probes.seg == table.seg) & (probes.key == table.key) & differ.between(1, distance)).select("u", "v")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 3, shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -109,17 +111,18 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Of rows that repeat an id, the one that lies in the group is found by a
     hash of id and text; rows that repeat both are one. Where no row of a group
-    has an id, one of them stays. What goes is a narrow table that grows with
-    the corpus, so it is never broadcast: texts are shuffled once to meet it, in
-    a merge join that may split hot keys. Rows that repeat id and text and stay
-    are shuffled once more, to become one.
+    has an id, one of them stays. The row chosen for each group and what goes
+    are narrow tables that grow with the corpus, so they are never broadcast:
+    texts are shuffled once to meet the latter, in a merge join that may split
+    hot keys. Rows that repeat id and text and stay are shuffled once more, to
+    become one.
     """
     groups = simhash_groups(docs, id_col, text_col, distance)
     first = F.col("id").eqNullSafe(F.col("component_id"))
     rows = write_through(groups.select("group", "key", "id", first.alias("first")), "simhash-rows")
     firsts = rows.where("first")
     chosen = firsts.groupBy("group").agg(F.min(F.struct("key", "id")).alias("row")).select("group", F.col("row.key").alias("__key"), F.col("row.id").alias("__id"))
-    others = firsts.join(chosen, "group").where((F.col("key") != F.col("__key")) | ~F.col("id").eqNullSafe(F.col("__id")))
+    others = firsts.join(chosen.hint("merge"), "group").where((F.col("key") != F.col("__key")) | ~F.col("id").eqNullSafe(F.col("__id")))
     gone = rows.where("not first").select("key", "id").unionByName(others.select("key", "id")).distinct()
     gone = write_through(gone.select(F.col("key").alias("__key"), F.col("id").alias("__id")), "simhash-gone")
     repeated = firsts.groupBy(F.col("key").alias("__key"), F.col("id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
