@@ -87,10 +87,12 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``group`` is a fingerprint that names the component, ``key`` a hash of id and text.
 
     Texts are read once and never shuffled: rows shrink to (id, fp), equal
-    fingerprints to one row, and only those are indexed. A null or empty text,
-    or one without words, has fingerprint 0; a repeated row appears as often as
-    in the input; a row without an id gets its group's smallest id, or null if
-    none of the group has one. Other columns are ignored. No rows give no rows.
+    fingerprints to one row, and only those are indexed. Rows get their group
+    in a merge join, so that neither side, which both grow with the corpus, is
+    broadcast. A null or empty text, or one without words, has fingerprint 0; a
+    repeated row appears as often as in the input; a row without an id gets its
+    group's smallest id, or null if none of the group has one. Other columns
+    are ignored. No rows give no rows.
     """
     small_batches(docs.sparkSession)
     rows = write_through(docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), fingerprint_column(F.col(text_col), shingle, seed).alias("fp")), "fingerprints")
@@ -99,7 +101,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grouped = prints.join(roots, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     told = grouped.join(lowest, "root").select("fp", "component_id", F.col("root").alias("group"))
-    return rows.join(told, "fp").select("id", "key", "fp", "component_id", "group")
+    return rows.join(told.hint("merge"), "fp").select("id", "key", "fp", "component_id", "group")
 
 
 def row_key(id_col: str, text_col: str):

@@ -3,7 +3,7 @@
 import re
 
 from proseframe.llm import simhash
-from proseframe.llm.simhash import near_pairs, one_per_group
+from proseframe.llm.simhash import near_pairs, one_per_group, simhash_groups
 
 
 def joins(df):
@@ -19,6 +19,10 @@ def test_probes_are_not_broadcast(spark, tmp_path):
     assert set(joins(pairs)) == {"SortMergeJoin"}
 
 
+def test_rows_are_not_broadcast(odd):
+    assert joins(simhash_groups(odd))[0] == "SortMergeJoin"
+
+
 def test_chosen_rows_are_not_broadcast(odd, monkeypatch):
     seen = {}
 
